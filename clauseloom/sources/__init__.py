@@ -1 +1 @@
-"""Readers: loan files, regulation text, rule packs, vocabularies."""
+"""Readers and writers: loan files, regulation text, rule packs, verdicts."""
