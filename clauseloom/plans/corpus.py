@@ -69,6 +69,25 @@ SQL: dict[str, str] = {
             as closing_date,
           timeshare, amount
         from {flat_loans}""",
+    # Texts of which some have their accents taken apart.
+    "accent_docs": """
+        select doc_id, case when doc_id % 5 = 0 then replace(text, 'é', 'e\u0301') else text end as text
+        from {documents}""",
+    # Sentence ids that several files may use.
+    "file_sentences": """
+        select doc_id as source, 's' || cast(doc_id % 300 as string) || '.' || cast(n as string) as id
+        from {doc_sentences}""",
+    "labels_of_parts": """
+        select p_partkey, '1026.' || cast(p_size as string) || '(' || p_brand || ')(' || p_type || ')' as label,
+          'derived.' || replace(p_name, ' ', '.') as path,
+          case p_partkey % 3 when 0 then 'how ' when 1 then 'the ' else '' end || p_name as phrase
+        from {part}""",
+    # Receipts that cite a document as their source, with the hash they recorded.
+    "citations": """
+        select l_orderkey as k, 'o' || cast(l_orderkey as string) || '/' || cast(l_linenumber as string) as rule_id,
+          'doc-' || cast(l_partkey as string) as source,
+          case when l_suppkey % 10 = 3 then 'stale' else 'current' end as version
+        from {lineitem}""",
     # Tests: per order one case, its expectation taken from the order, so some cases fail.
     "test_cases": """
         select o_orderkey as test_id,
@@ -79,6 +98,10 @@ SQL: dict[str, str] = {
                when o_orderstatus = 'F' then 'fail' when o_orderstatus = 'O' then 'pass'
                else 'not_applicable' end as expectation
         from {orders}""",
+    "test_rules": """
+        select 'c' || cast(c_custkey as string) || '/r1' as rule_id, 'rule' as kind from {customer}
+        union all
+        select 'c' || cast(c_custkey as string) || '/d1' as rule_id, 'derived_field' as kind from {customer}""",
     # A source file per document: its lines, most of them labelled paragraphs, some notes, some
     # lines left as they are.
     "doc_lines": """
@@ -201,7 +224,7 @@ SQL: dict[str, str] = {
     "quotes": """
         select sentence_id || '/r1' as rule_id,
           case when (doc_id + n) % 29 = 0 then 'x' || sentence_id else sentence_id end as sentence_id,
-          case when (doc_id + n) % 7 = 0 then upper(text) else substr(text, 3, 200) end as quote
+          case when (doc_id + n) % 7 = 0 then '-' || text else substr(text, 3, 200) end as quote
         from {doc_sentences}""",
 }
 
