@@ -1,9 +1,10 @@
 """Rules that wait: a rule that reads a derived field which no compiled rule defines.
 
-Blocking passes along the definitions, so this is the one iterative operator. Each round looks
-only at the fields that became undefined in the round before. State is cut by `checkpoint` into
-the shared folder, so a lost executor costs a task and not the rounds before it. There are at most
-as many rounds as rules stand in the longest chain of definitions.
+Blocking passes along the definitions, so this is the one iterative operator. A round starts from
+the rules the last round blocked, and only they are kept: each round is a table written to the
+folder the cluster shares, which cuts the lineage, survives lost executors, and tells the planner
+its size, so that a small round is sent to the big tables instead of shuffling them. There are as
+many rounds as rules stand in the longest chain of definitions.
 """
 
 from __future__ import annotations
@@ -11,48 +12,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clauseloom.session import shared_dir
+from clauseloom.session import shared_path
 
 
 def blocked_rules(definitions: DataFrame, uses: DataFrame) -> DataFrame:
-    """(rule_id, field): each blocked rule with a field it waits for (the first by name).
+    """(rule_id, field): each blocked rule with a field it waits for (the first by name of the
+    round that blocked it).
 
-    `definitions` has (rule_id, field, open): what a rule defines and whether its sentence has
-    an open question. A rule that defines nothing has a null field. `uses` has (rule_id, field).
+    `definitions` has (rule_id, field, open): what a rule defines, null when nothing, and whether
+    its sentence has an open question; a rule that defines several fields has several rows.
+    `uses` has (rule_id, field), the derived fields a rule reads.
     """
-    shared_dir(definitions.sparkSession)
-    uses = uses.select("rule_id", "field").distinct()
-    # A field is lost when every rule that defines it is open or blocked: count down to zero.
-    left = (
-        definitions.where(F.col("field").isNotNull())
-        .groupBy("field")
-        .agg(F.count(F.when(~F.col("open"), 1)).alias("n_left"))
+    spark = definitions.sparkSession
+    folder = shared_path(spark, "blocked")
+    rounds = 0
+
+    def keep(found: DataFrame) -> DataFrame:
+        nonlocal rounds
+        path = f"{folder}/round={rounds:05d}"
+        found.write.parquet(path)
+        rounds += 1
+        return spark.read.parquet(path)
+
+    compiled = definitions.where(~F.col("open"))
+    defines = compiled.where(F.col("field").isNotNull()).select("rule_id", "field")
+    readers = uses.select("rule_id", "field").join(
+        compiled.select("rule_id").distinct(), "rule_id", "left_semi"
     )
-    defines = definitions.where(F.col("field").isNotNull() & ~F.col("open")).select("rule_id", "field")
-    compiled = definitions.groupBy("rule_id").agg(F.max("open").alias("open")).where(~F.col("open"))
-    waiting_uses = uses.join(compiled.select("rule_id"), "rule_id", "left_semi")
-    undefined = (
-        waiting_uses.select("field").distinct().join(left, "field", "left")
-        .where(F.coalesce("n_left", F.lit(0)) == 0).select("field")
+    undefined = readers.select("field").distinct().join(
+        defines.select("field").distinct(), "field", "left_anti"
     )
-    frontier = _next(waiting_uses, undefined).checkpoint()
-    blocked = frontier
-    while not frontier.isEmpty():
-        gone = frontier.join(defines, "rule_id").groupBy(defines["field"]).agg(
-            F.count("*").alias("n_gone")
+    new = keep(_waiting(readers, undefined))
+    while not new.isEmpty():
+        blocked = spark.read.parquet(folder).select("rule_id")
+        lost = defines.join(new.select("rule_id"), "rule_id", "left_semi").select("field").distinct()
+        still = (
+            defines.join(lost, "field", "left_semi")
+            .join(blocked, "rule_id", "left_anti")
+            .select("field")
+            .distinct()
         )
-        left = left.join(gone, "field", "left").select(
-            "field", (F.col("n_left") - F.coalesce("n_gone", F.lit(0))).alias("n_left"),
-            F.col("n_gone").isNotNull().alias("touched"),
-        ).checkpoint()
-        undefined = left.where(F.col("touched") & (F.col("n_left") == 0)).select("field")
-        left = left.drop("touched")
-        new = _next(waiting_uses, undefined).join(blocked.select("rule_id"), "rule_id", "left_anti")
-        frontier = new.checkpoint()
-        blocked = blocked.unionByName(frontier)
-    return blocked
-
-
-def _next(uses: DataFrame, undefined: DataFrame) -> DataFrame:
+        undefined = lost.join(still, "field", "left_anti")
+        new = keep(_waiting(readers, undefined).join(blocked, "rule_id", "left_anti"))
+    return spark.read.parquet(folder).select("rule_id", "field")
+
+
+def _waiting(readers: DataFrame, undefined: DataFrame) -> DataFrame:
     """Rules that read one of the fields, once each. A minimum combines before the shuffle."""
-    return uses.join(undefined, "field").groupBy("rule_id").agg(F.min("field").alias("field"))
+    return readers.join(undefined, "field").groupBy("rule_id").agg(F.min("field").alias("field"))

@@ -5,94 +5,88 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clauseloom.model import NOT_APPLICABLE, Pack
-from clauseloom.operators.rules import (
-    HIT_TYPE,
-    _hits,
-    decision_rows,
-    fold_hits,
-    paragraphs,
-    with_decisions,
-)
+from clauseloom.model import NOT_APPLICABLE, DaySet, Pack
+from clauseloom.operators.rules import decision_rows, paragraphs, verdict, with_decisions
+from clauseloom.operators.rows import value_rows
 
+# What a test case expects: a result, or a value, or days.
 EXPECTED = "struct<result:string,value:string,includes:array<date>,excludes:array<date>>"
 
 
 def decided_tests(tests: DataFrame, pack: Pack) -> DataFrame:
-    """Test cases with what the pack gives for their input: every rule's hits and `derived`.
+    """Test cases with what the pack gives for their input: `own_result` (of the case's rule),
+    `paragraph_verdict` (of its paragraph), both null when nothing fires, and `derived`.
 
     A test case is a loan with columns test_id, rule_id, subsection, field and `expected`.
     """
     keep = ("test_id", "rule_id", "subsection", "field", "expected")
     cells = with_decisions(tests, pack, keep)
-    hits = F.concat(*[_hits(pack, p) for p in paragraphs(pack)]).cast(HIT_TYPE)
-    by_paragraph = F.create_map(
-        *[x for p in paragraphs(pack) for x in (F.lit(p), _hits(pack, p))]
+    results = [verdict(F.col(f"applies_{i}"), F.col(f"met_{i}")) for i in range(len(pack.rules))]
+    named = cells.select(*keep, "derived", *[r.alias(f"result_{i}") for i, r in enumerate(results)])
+    own = [
+        F.when(F.col("rule_id") == r.rule_id, F.col(f"result_{i}"))
+        for i, r in enumerate(pack.rules)
+    ]
+    # `fail` sorts before `pass`: the least of a paragraph's results is its fold.
+    folds = []
+    for p in paragraphs(pack):
+        members = [F.col(f"result_{i}") for i, r in enumerate(pack.rules) if r.subsection == p]
+        least = F.least(*members) if len(members) > 1 else members[0]
+        folds.append(F.when(F.col("subsection") == p, least))
+    return named.withColumns(
+        {"own_result": F.coalesce(*own), "paragraph_verdict": F.coalesce(*folds)}
     )
-    return cells.withColumn("hits", hits).withColumn("paragraph_hits", by_paragraph)
 
 
 def test_failures(tests: DataFrame, pack: Pack) -> DataFrame:
     """(test_id, problem) for each case that does not hold. Row-wise."""
-    decided = decided_tests(tests, pack).withColumn("problem", _problem(pack))
-    return decided.where(F.col("problem").isNotNull()).select("test_id", "problem")
+    return value_rows(decided_tests(tests, pack), ["test_id"], "problem", _problem(pack))
 
 
 def _problem(pack: Pack) -> Column:
-    result = F.col("expected.result")
-    own = F.transform(
-        F.filter("hits", lambda h: h["rule_id"] == F.col("rule_id")), lambda h: h["result"]
-    )
-    want = F.when(result == NOT_APPLICABLE, F.expr("cast(array() as array<string>)")).otherwise(
-        F.array(result)
-    )
-    got = F.when(F.size(own) == 0, NOT_APPLICABLE).otherwise(F.array_join(own, ", "))
+    wanted = F.col("expected.result")
+    got = F.coalesce("own_result", F.lit(NOT_APPLICABLE))
     known = F.col("rule_id").isin([r.rule_id for r in pack.rules])
-    paragraph = F.coalesce(
-        F.col("paragraph_hits")[F.col("subsection")], F.expr(f"cast(array() as {HIT_TYPE})")
-    )
-    by_rule = F.when(
-        ~known, F.concat(F.lit("no such rule: "), "rule_id")
-    ).when(
-        own != want, F.concat(F.lit("expected "), result, F.lit(", got "), got)
+    by_rule = F.when(~known, F.concat(F.lit("no such rule: "), "rule_id")).when(
+        got != wanted, F.concat(F.lit("expected "), wanted, F.lit(", got "), got)
     )
     by_paragraph = F.when(
-        F.size(paragraph) > 0,
+        F.col("paragraph_verdict").isNotNull(),
         F.concat(
-            F.lit("expected no rule of "), "subsection", F.lit(" to apply, got "), fold_hits(paragraph)
+            F.lit("expected no rule of "), "subsection", F.lit(" to apply, got "), "paragraph_verdict"
         ),
     )
-    scalar = F.lit(None).cast("string")
-    days = F.expr("cast(array() as array<date>)")
-    for spec in pack.derived:
-        here = F.col("field") == f"derived.{spec.name}"
-        value = F.col(f"derived.{spec.name}")
-        if hasattr(spec, "pad_days"):
-            days = F.when(here, F.coalesce(value, days)).otherwise(days)
-        else:
-            scalar = F.when(here, value.cast("string")).otherwise(scalar)
+    sets = [s.name for s in pack.derived if isinstance(s, DaySet)]
+    scalars = [s.name for s in pack.derived if not isinstance(s, DaySet)]
+
+    def chosen(names: list[str], kind: str) -> Column:
+        """The derived value the case is about."""
+        picks = [F.when(F.col("field") == f"derived.{n}", F.col(f"derived.{n}").cast(kind)) for n in names]
+        return F.coalesce(*picks, F.lit(None).cast(kind))
+
     none = F.expr("cast(array() as array<date>)")
-    missing = F.array_except(F.coalesce("expected.includes", none), days)
-    extra = F.array_intersect(F.coalesce("expected.excludes", none), days)
-    is_set = F.col("field").isin([f"derived.{s.name}" for s in pack.derived if hasattr(s, "pad_days")])
+    days = F.coalesce(chosen(sets, "array<date>"), none)
+    missing = F.size(F.array_except(F.coalesce("expected.includes", none), days))
+    extra = F.size(F.array_intersect(F.coalesce("expected.excludes", none), days))
     by_days = F.when(
-        (F.size(missing) > 0) | (F.size(extra) > 0),
+        missing + extra > 0,
         F.concat(
-            F.col("field"), F.lit(": missing "), F.size(missing).cast("string"),
-            F.lit(", not to contain "), F.size(extra).cast("string"),
+            F.col("field"), F.lit(": missing "), missing.cast("string"),
+            F.lit(", not to contain "), extra.cast("string"),
         ),
     )
+    value = chosen(scalars, "string")
     by_value = F.when(
-        ~scalar.eqNullSafe(F.col("expected.value")),
+        ~value.eqNullSafe(F.col("expected.value")),
         F.concat(
             F.col("field"), F.lit(": expected "), F.coalesce("expected.value", F.lit("nothing")),
-            F.lit(", got "), F.coalesce(scalar, F.lit("nothing")),
+            F.lit(", got "), F.coalesce(value, F.lit("nothing")),
         ),
     )
     return (
-        F.when(result.isNotNull() & F.col("rule_id").isNull(), by_paragraph)
-        .when(result.isNotNull(), by_rule)
-        .when(is_set, by_days)
+        F.when(wanted.isNotNull() & F.col("rule_id").isNull(), by_paragraph)
+        .when(wanted.isNotNull(), by_rule)
+        .when(F.col("field").isin([f"derived.{n}" for n in sets]), by_days)
         .otherwise(by_value)
     )
 
@@ -136,7 +130,7 @@ def coverage_gaps(tests: DataFrame, rules: DataFrame) -> DataFrame:
         "needs two cases with different values",
     )
     joined = rules.select("rule_id", "kind").join(seen, "rule_id", "left")
-    return joined.select("rule_id", gap.alias("gap")).where(F.col("gap").isNotNull())
+    return value_rows(joined, ["rule_id"], "gap", gap)
 
 
 def disagreements(one: DataFrame, other: DataFrame) -> DataFrame:
@@ -172,16 +166,17 @@ def test_run(tests: DataFrame, pack: Pack, rules: DataFrame) -> DataFrame:
         F.col("subsection_under_test").isNotNull(),
         paragraph_of[F.col("rule_id")] == F.col("subsection_under_test"),
     ).otherwise(F.col("has_result") & (F.col("rule_id") == F.col("rule_under_test")))
-    gap_cells = F.array(
-        F.when(F.col("applies").isNull(), "applies_when"), F.when(F.col("met").isNull(), "requirement")
-    )
-    undecided = cells.where(exercised).select(
+    gap_cells = value_rows(
+        cells.where(exercised),
+        ["test_id", "rule_id"],
+        "cell",
+        F.when(F.col("applies").isNull(), "applies_when"),
+        F.when(F.col("met").isNull(), "requirement"),
+    )
+    undecided = gap_cells.select(
         F.lit("cell").alias("check"),
         F.col("test_id").alias("subject"),
-        "rule_id",
-        F.explode(gap_cells).alias("cell"),
-    ).where(F.col("cell").isNotNull()).select(
-        "check", "subject", F.concat("rule_id", F.lit(" "), "cell", F.lit(" does not decide")).alias("detail")
+        F.concat("rule_id", F.lit(" "), "cell", F.lit(" does not decide")).alias("detail"),
     )
     expectations = tests.where(F.col("rule_id").isNotNull()).select(
         "rule_id", F.coalesce("expected.result", F.to_json("expected")).alias("expectation")

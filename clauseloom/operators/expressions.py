@@ -15,8 +15,8 @@ from clauseloom.functions.language import (
     EXPRESSION_KEYWORDS,
     FEEL_FUNCTIONS,
     FEEL_KEYWORDS,
-    WEEKDAYS,
 )
+from clauseloom.operators.rows import value_rows
 
 STRING = r'"(?:[^"\\]|\\.)*"'
 NUMBER = r"\d+(?:\.\d+)?(?:e[+-]?\d+)?"
@@ -70,11 +70,23 @@ def token_rows(rules: DataFrame, text: str, notation: str, keep: list[str]) -> D
 
 def uses(rules: DataFrame, text: str, notation: str, keep: list[str]) -> DataFrame:
     """(keep, pos, kind, name, role): fields, functions, methods, numbers, weekdays, day
-    references, and what a rule must not contain."""
-    rows = token_rows(rules, text, notation, keep)
-    classify = _expression_use if notation == "expression" else _feel_use
-    found = rows.select(*keep, "pos", F.explode(classify()).alias("u"))
-    return found.where(F.col("u.kind").isNotNull()).select(*keep, "pos", "u.*")
+    references, and what a rule must not contain.
+
+    What several branches ask of a token is computed in a step of its own: generated code beyond
+    the size the JVM compiles would run interpreted.
+    """
+    t = F.col("t")
+    rows = token_rows(rules, text, notation, keep).withColumns(
+        {
+            "is_name": t.rlike("^[A-Za-z_]"),
+            "is_number": t.rlike("^[0-9]"),
+            "called": F.coalesce(F.col("a1") == "(", F.lit(False)),
+            "own": F.array_contains("bound", F.substring_index(t, ".", 1)),
+            "keyword": t.isin(*KEYWORDS[notation]),
+        }
+    )
+    found = _expression_uses() if notation == "expression" else [_feel_use()]
+    return value_rows(rows, [*keep, "pos"], "u", *found).select(*keep, "pos", "u.*")
 
 
 def _use(kind: str, name: Column, role: str = "") -> Column:
@@ -108,62 +120,45 @@ def _numbers(notation: str) -> Column:
     return number.otherwise(_use("number", value, "plain"))
 
 
-def _expression_use() -> Column:
-    t, a1 = F.col("t"), F.col("a1")
-    called = F.coalesce(a1 == "(", F.lit(False))
-    is_name = t.rlike("^[A-Za-z_]")
-    root = F.substring_index(t, ".", 1)
-    dotted = t.contains(".")
-    own = F.array_contains("bound", root)
+def _expression_uses() -> list[Column]:
+    t = F.col("t")
+    is_name, called, dotted = F.col("is_name"), F.col("called"), t.contains(".")
     path = F.when(called & dotted, F.regexp_replace(t, r"\.\w+$", "")).otherwise(t)
-    method = F.substring_index(t, ".", -1)
-    nothing = F.lit(None)
-    single_equals = t == "="
-    return F.array(
-        F.when(t.rlike(r"^\d"), _numbers("expression"))
+    # What a rule must not contain, by the mark that gives it away.
+    forbidden = {
+        "=": "assignment",
+        "{": "object literal",
+        "$": "$ (value of the tested column)",
+        ";": "several statements",
+    }
+    marks = F.create_map(*[F.lit(x) for pair in forbidden.items() for x in pair])
+    return [
+        F.when(F.col("is_number"), _numbers("expression"))
+        .when(is_name & ~F.col("keyword") & called & ~dotted, _use("function", t))
+        .when(is_name & ~F.col("keyword") & ~F.col("own"), _use("field", path))
         .when(t == "#", _use("day", t))
-        .when(t == "$", _use("unsupported", F.lit("$ (value of the tested column)")))
-        .when(t.startswith("`"), _use("unsupported", F.lit("template string")))
-        .when(single_equals, _use("unsupported", F.lit("assignment")))
-        .when(t == "{", _use("unsupported", F.lit("object literal")))
-        .when(t == ";", _use("unsupported", F.lit("several statements")))
-        .when(t.startswith(".") & called, _use("method", method))
-        .when(is_name & t.isin(*EXPRESSION_KEYWORDS), nothing)
-        .when(is_name & called & ~dotted, _use("function", t))
-        .when(is_name & ~own, _use("field", path)),
-        F.when(is_name & called & dotted, _use("method", method)),
-    )
+        .when(t.startswith(".") & called, _use("method", F.substring_index(t, ".", -1)))
+        .when(t.isin(*forbidden), _use("unsupported", marks[t]))
+        .when(t.startswith("`"), _use("unsupported", F.lit("template string"))),
+        F.when(is_name & called & dotted, _use("method", F.substring_index(t, ".", -1))),
+    ]
 
 
 def _feel_use() -> Column:
     t, b1, b2, a1, a2 = (F.col(c) for c in ("t", "b1", "b2", "a1", "a2"))
-    called = F.coalesce(a1 == "(", F.lit(False))
-    is_name = t.rlike("^[A-Za-z_]")
-    root = F.substring_index(t, ".", 1)
-    own = F.array_contains("bound", root)
-    text = F.substring(t, 2, 1_000_000_000)
-    text = F.regexp_replace(text, '"$', "")
-    duration = F.coalesce((b1 == "(") & (b2 == "duration") & (a1 == ")"), F.lit(False))
-    day_name = F.coalesce(b1.isin("=", "!=") & (b2 == ")"), F.lit(False)) | F.coalesce(
-        a1.isin("=", "!=") & (a2 == "day of week"), F.lit(False)
-    )
+    is_name = F.col("is_name")
+    text = F.substring(t, F.lit(2), F.length(t) - 2)
     is_text = t.startswith('"')
-    nothing = F.lit(None)
-    return F.array(
-        F.when(
-            is_text & duration & text.rlike(DURATION),
-            _use("number", F.regexp_extract(text, DURATION, 1), "duration"),
-        )
+    duration = (b1 == "(") & (b2 == "duration") & (a1 == ")")
+    compared = (b1.isin("=", "!=") & (b2 == ")")) | (a1.isin("=", "!=") & (a2 == "day of week"))
+    return (
+        F.when(is_text & duration & text.rlike(DURATION),
+               _use("number", F.regexp_extract(text, "[0-9]+", 0), "duration"))
         .when(is_text & duration, _use("unsupported", F.concat(F.lit("duration literal "), text)))
-        .when(is_text & day_name, _use("weekday", text))
-        .when(t.rlike(r"^\d"), _numbers("feel"))
+        .when(is_text & compared, _use("weekday", text))
+        .when(F.col("is_number"), _numbers("feel"))
         .when(t == "{", _use("unsupported", F.lit("context literal")))
-        .when(is_name & (root == "item"), _use("day", F.lit("item")))
-        .when(is_name & called & ~t.isin(*[k for k in FEEL_KEYWORDS if k != "not"]), _use("function", t))
-        .when(is_name & t.isin(*FEEL_KEYWORDS), nothing)
-        .when(is_name & ~own, _use("field", t)),
-        F.when(
-            is_text & day_name & ~text.isin(*WEEKDAYS),
-            _use("unsupported", F.concat(F.lit("day name "), text)),
-        ),
+        .when(is_name & t.rlike(r"^item\b"), _use("day", F.lit("item")))
+        .when(is_name & F.col("called") & (~F.col("keyword")), _use("function", t))
+        .when(is_name & ~F.col("keyword") & ~F.col("own"), _use("field", t))
     )

@@ -14,9 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clauseloom.functions import text as tx
-from clauseloom.functions.language import DATE_METHODS, EXPRESSION_FUNCTIONS, FEEL_FUNCTIONS
+from clauseloom.functions.language import (
+    DATE_METHODS,
+    EXPRESSION_FUNCTIONS,
+    FEEL_FUNCTIONS,
+    WEEKDAYS,
+)
 from clauseloom.model import LOAN_VOCABULARY, Vocabulary
 from clauseloom.operators import expressions as ex
+from clauseloom.operators.rows import value_rows
 
 FINDING = ("check", "subject", "detail")
 
@@ -129,7 +135,7 @@ def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     numbers = _uses(receipts, text, notation).where(
         (F.col("kind") == "number") & (F.col("role") != "weekday")
     )
-    found = numbers.withColumn("detail", _number_detail(notation)).where(F.col("detail").isNotNull())
+    found = value_rows(numbers, ["rule_id"], "detail", _number_detail(notation))
     return _finding(found, "number", "rule_id", F.col("detail"))
 
 
@@ -177,33 +183,40 @@ def day_test_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     day = "#" if notation == "expression" else "item"
     toks = ex.tokens(F.col(text), notation)
     mentioned = F.exists(toks, lambda t: (t == day) | t.startswith(day + "."))
-    return _finding(receipts.where(~mentioned), "day test", "rule_id", f"the test does not use {day}")
+    silent = value_rows(receipts, ["rule_id"], "silent", F.when(~mentioned, day))
+    return _finding(silent, "day test", "rule_id", f"the test does not use {day}")
 
 
 def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     """Assignments, templates, literals of objects, several statements, odd durations and day
     names, and texts that end in the middle or leave a bracket open."""
     toks = ex.tokens(F.col(text), notation)
-    broken = receipts.select("rule_id", toks.alias("toks")).where(F.size("toks") > 0)
-    last = F.element_at("toks", -1)
+    cut = receipts.select("rule_id", toks.alias("toks"))
+    last = F.try_element_at("toks", F.lit(-1))
 
     def count(*marks: str) -> Column:
         return F.size(F.filter("toks", lambda t: t.isin(*marks)))
 
-    problems = F.array(
+    shape = value_rows(
+        cut,
+        ["rule_id"],
+        "detail",
         F.when(
             last.rlike(r"^(?:[-+*/%^<>?:,.=]|==|!=|<=|>=|\?\?|\*\*)$|^(?:and|or|not|in|then|else|return)$"),
             "the text ends in the middle",
         ),
         F.when(count("(", "[", "{") != count(")", "]", "}"), "brackets do not match"),
     )
-    shape = broken.select("rule_id", F.explode(problems).alias("detail")).where(
-        F.col("detail").isNotNull()
+    odd_day = (F.col("kind") == "weekday") & ~F.col("name").isin(*WEEKDAYS)
+    if notation == "expression":
+        odd_day = F.lit(False)
+    named = ex.uses(receipts, text, notation, ["rule_id"]).where(
+        (F.col("kind") == "unsupported") | odd_day
     )
-    named = ex.uses(receipts, text, notation, ["rule_id"]).where(F.col("kind") == "unsupported")
+    name = F.when(F.col("kind") == "weekday", F.concat(F.lit("day name "), "name")).otherwise(F.col("name"))
     return (
         _finding(shape, "construct", "rule_id", F.col("detail"))
-        .unionByName(_finding(named, "construct", "rule_id", F.col("name")))
+        .unionByName(_finding(named, "construct", "rule_id", name))
         .distinct()
     )
 

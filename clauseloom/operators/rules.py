@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from clauseloom.functions.dates import open_days_sql
 from clauseloom.functions.names import subsection_key
 from clauseloom.model import FAIL, NOT_APPLICABLE, PASS, DaySet, Derived, Pack
+from clauseloom.operators.rows import value_rows
 
 HIT_TYPE = "array<struct<rule_id:string,result:string>>"
 
@@ -88,11 +89,10 @@ def evaluate(loans: DataFrame, pack: Pack, key: str = "loan_id") -> DataFrame:
 
 def fired(cells: DataFrame, pack: Pack, keep: Iterable[str] = ("loan_id",)) -> DataFrame:
     """Verdict rows of decided cells."""
-    return (
-        decision_rows(cells, pack, keep)
-        .select(*keep, "rule_id", verdict(F.col("applies"), F.col("met")).alias("result"))
-        .where(F.col("result").isNotNull())
-    )
+    rows = decision_rows(cells, pack, keep)
+    return rows.select(
+        *keep, "rule_id", verdict(F.col("applies"), F.col("met")).alias("result")
+    ).where(F.col("result").isNotNull())
 
 
 def collect_hits(loans: DataFrame, pack: Pack, keep: Iterable[str] = ("loan_id",)) -> DataFrame:
@@ -169,23 +169,20 @@ def undecided(loans: DataFrame, pack: Pack, key: str = "loan_id") -> DataFrame:
     """(key, rule_id, cell) for each cell that does not decide: its row can never match, and
     without this report nobody would notice."""
     rows = decision_rows(with_decisions(loans, pack, (key,)), pack, (key,))
-    gaps = F.array(
+    return value_rows(
+        rows,
+        [key, "rule_id"],
+        "cell",
         F.when(F.col("applies").isNull(), "applies_when"),
         F.when(F.col("met").isNull(), "requirement"),
     )
-    return rows.select(key, "rule_id", F.explode(gaps).alias("cell")).where(
-        F.col("cell").isNotNull()
-    )
 
 
 def missing_receipt(loans: DataFrame, pack: Pack, key: str = "loan_id") -> DataFrame:
     """Loans whose receipt date cannot be derived: the general rule fails them, the timeshare
     rule says nothing, so they are reported apart."""
-    return (
-        with_derived(loans, pack)
-        .where(F.col("derived.cd_receipt_date").isNull())
-        .select(key, F.lit("derived.cd_receipt_date").alias("field"))
-    )
+    missing = F.when(F.col("derived.cd_receipt_date").isNull(), "derived.cd_receipt_date")
+    return value_rows(with_derived(loans, pack), [key], "field", missing)
 
 
 def result_document(loans: DataFrame, pack: Pack, key: str = "loan_id") -> DataFrame:
