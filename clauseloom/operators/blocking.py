@@ -25,36 +25,37 @@ def blocked_rules(definitions: DataFrame, uses: DataFrame) -> DataFrame:
     """
     spark = definitions.sparkSession
     folder = shared_path(spark, "blocked")
-    rounds = 0
 
-    def keep(found: DataFrame) -> DataFrame:
-        nonlocal rounds
-        path = f"{folder}/round={rounds:05d}"
-        found.write.parquet(path)
-        rounds += 1
-        return spark.read.parquet(path)
+    def keep(found: DataFrame, name: str) -> DataFrame:
+        found.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
 
+    # Two narrow tables serve every round: who defines what, and who reads what, of the rules
+    # whose own sentence is not open.
     compiled = definitions.where(~F.col("open"))
-    defines = compiled.where(F.col("field").isNotNull()).select("rule_id", "field")
-    readers = uses.select("rule_id", "field").join(
-        compiled.select("rule_id").distinct(), "rule_id", "left_semi"
+    defines = keep(
+        compiled.where(F.col("field").isNotNull()).select("rule_id", "field").distinct(), "defines"
     )
-    undefined = readers.select("field").distinct().join(
-        defines.select("field").distinct(), "field", "left_anti"
+    readers = keep(
+        uses.select("rule_id", "field").distinct().join(
+            compiled.select("rule_id").distinct(), "rule_id", "left_semi"
+        ),
+        "readers",
     )
-    new = keep(_waiting(readers, undefined))
+    undefined = readers.join(defines.select("field"), "field", "left_anti").select("field").distinct()
+    new = keep(_waiting(readers, undefined), "rounds/round=00000")
+    rounds = 1
     while not new.isEmpty():
-        blocked = spark.read.parquet(folder).select("rule_id")
+        blocked = spark.read.parquet(f"{folder}/rounds").select("rule_id")
         lost = defines.join(new.select("rule_id"), "rule_id", "left_semi").select("field").distinct()
-        still = (
-            defines.join(lost, "field", "left_semi")
-            .join(blocked, "rule_id", "left_anti")
-            .select("field")
-            .distinct()
+        still = defines.join(lost, "field", "left_semi").join(blocked, "rule_id", "left_anti")
+        undefined = lost.join(still.select("field"), "field", "left_anti")
+        new = keep(
+            _waiting(readers, undefined).join(blocked, "rule_id", "left_anti"),
+            f"rounds/round={rounds:05d}",
         )
-        undefined = lost.join(still, "field", "left_anti")
-        new = keep(_waiting(readers, undefined).join(blocked, "rule_id", "left_anti"))
-    return spark.read.parquet(folder).select("rule_id", "field")
+        rounds += 1
+    return spark.read.parquet(f"{folder}/rounds").select("rule_id", "field")
 
 
 def _waiting(readers: DataFrame, undefined: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,61 +86,75 @@ def calendar_index(lists: DataFrame) -> DataFrame:
 def with_calendar(
     loans: DataFrame, pad: int = PAD_DAYS, lists: DataFrame | None = None
 ) -> DataFrame:
-    """The loans with `cd_receipt_date` and `n_days` (business days from receipt to closing)."""
+    """The loans with `cd_receipt_date` and `n_days` (business days from receipt to closing).
+
+    Look-ups go in small steps: each stays below the size of generated code the JVM compiles, and
+    all run in the stage of the join, so that calendar arrays are read in place and never copied
+    into rows. Numbers and dates only leave the last of them.
+    """
     index = calendar_index(holiday_lists(loans) if lists is None else lists)
-    loans = loans.withColumns(
+    columns = loans.columns
+    bounded = loans.withColumns(
         {
             "window_lo": F.date_sub("cd.issue_date", pad),
             "window_hi": F.date_add("closing_date", pad),
             "holidays": F.col("calendar.holidays"),
         }
     )
-    joined = loans.join(
+    joined = bounded.join(
         F.broadcast(index), F.col("holidays") == F.col("calendar_holidays"), "left"
     )
+    keep = [*columns, "window_lo", "window_hi", "holidays"]
     lo, hi = F.col("window_lo"), F.col("window_hi")
-    usable = (lo <= hi) & F.col("holidays").isNotNull()
-    inside = (F.col("calendar_lo") <= lo) & (hi < F.col("calendar_hi"))
-    received = F.when(
-        F.col("cd.delivery_method") == "in_person", F.col("cd.received_date")
-    ).otherwise(_third_after(F.col("cd.mailed_date"), lo, hi))
-    # Numbers only leave this step, so the joined calendar arrays are never copied into rows.
-    looked_up = joined.select(
-        *loans.columns,
-        usable.alias("usable"),
-        F.coalesce(inside, F.lit(False)).alias("inside"),
-        F.when(usable & inside, received).alias("fast_receipt"),
-        F.when(usable & inside, _between(received, F.col("closing_date"), lo, hi)).alias("fast_days"),
+    in_person = F.coalesce(F.col("cd.delivery_method") == "in_person", F.lit(False))
+    placed = joined.select(
+        *keep,
+        F.coalesce(
+            (lo <= hi) & (F.col("calendar_lo") <= lo) & (hi < F.col("calendar_hi")), F.lit(False)
+        ).alias("covered"),
+        "calendar_lo", "n_before", "open_days",
+        in_person.alias("in_person"),
+        # The first day that counts: the recorded day itself, or the day after mailing.
+        F.when(in_person, F.col("cd.received_date"))
+        .otherwise(F.date_add("cd.mailed_date", 1))
+        .alias("first_day"),
+        F.greatest(F.least("closing_date", F.date_add(hi, 1)), lo).alias("end_day"),
     )
-    return _complete(looked_up, loans.columns)
-
-
-def _at(day: Column) -> Column:
-    """Business days before `day`, by the joined calendar."""
-    return F.get("n_before", F.datediff(day, F.col("calendar_lo")))
-
-
-def _third_after(mailed: Column, lo: Column, hi: Column) -> Column:
-    """The third business day after mailing, counted from the window start when mailed earlier;
-    null when the window ends before it."""
-    start = F.greatest(F.date_add(mailed, 1), lo)
-    third = F.get("open_days", _at(start) + 2)
-    return F.when(mailed.isNotNull() & (start <= hi) & (third <= hi), third)
-
-
-def _between(received: Column, closing: Column, lo: Column, hi: Column) -> Column:
-    """Business days of the window in `[received, closing)`; none without a receipt date."""
-    start = F.greatest(received, lo)
-    end = F.greatest(F.least(closing, F.date_add(hi, 1)), lo)
-    return F.when(received.isNull() | (start >= end), 0).otherwise(_at(end) - _at(start))
+    clipped = placed.withColumn("start_day", F.greatest("first_day", lo))
+    numbered = clipped.select(
+        *keep, "covered", "in_person", "first_day", "start_day", "end_day", "open_days",
+        F.get("n_before", F.datediff("start_day", F.col("calendar_lo"))).alias("n_start"),
+        F.get("n_before", F.datediff("end_day", F.col("calendar_lo"))).alias("n_end"),
+    )
+    found = numbered.select(
+        *keep, "covered", "in_person", "first_day", "start_day", "end_day", "n_start", "n_end",
+        F.get("open_days", F.col("n_start") + 2).alias("third_day"),
+    )
+    mailed = F.col("first_day").isNotNull() & (F.col("start_day") <= hi) & (F.col("third_day") <= hi)
+    received = found.select(
+        *keep, "covered", "in_person", "start_day", "end_day", "n_start", "n_end", "third_day",
+        F.when(F.col("in_person"), F.col("first_day"))
+        .when(mailed, F.col("third_day"))
+        .alias("fast_receipt"),
+    )
+    # A presumed receipt is a business day with two more before it than the day counting began.
+    begin = F.when(F.col("in_person"), F.col("start_day")).otherwise(F.col("third_day"))
+    n_begin = F.when(F.col("in_person"), F.col("n_start")).otherwise(F.col("n_start") + 2)
+    counted = received.select(
+        *keep, "covered", "fast_receipt",
+        F.when(F.col("fast_receipt").isNull() | (begin >= F.col("end_day")), 0)
+        .otherwise(F.col("n_end") - n_begin)
+        .alias("fast_days"),
+    )
+    return _complete(counted, columns)
 
 
 def _complete(looked_up: DataFrame, columns: list[str]) -> DataFrame:
     """Loans the calendars do not cover, by the array form; the branch is not taken for others."""
-    covered = F.col("usable") & F.col("inside")
+    covered = F.col("covered")
     days = F.expr(dates.open_days_sql("window_lo", "window_hi", 7, "holidays"))
-    slow = looked_up.withColumn("days", F.when(~F.coalesce(covered, F.lit(False)), days))
-    by_array = slow.withColumn(
+    slow = looked_up.withColumn("days", F.when(~covered, days))
+    received = slow.withColumn(
         "cd_receipt_date",
         F.when(covered, F.col("fast_receipt")).otherwise(
             dates.receipt_date(
@@ -152,10 +166,7 @@ def _complete(looked_up: DataFrame, columns: list[str]) -> DataFrame:
     n_days = F.when(covered, F.col("fast_days")).otherwise(
         dates.count_days_between(F.col("days"), F.col("cd_receipt_date"), F.col("closing_date"))
     )
-    return by_array.withColumn("n_days", n_days).drop(
-        "days", "usable", "inside", "fast_receipt", "fast_days",
-        "window_lo", "window_hi", "holidays",
-    )
+    return received.select(*columns, "cd_receipt_date", n_days.alias("n_days"))
 
 
 def evaluate_by_calendar(

@@ -269,7 +269,7 @@ def nest_loans(flat: DataFrame, holidays=None) -> DataFrame:
     """Flat loan columns as the nested loan file. The holiday list comes in two orders, so loans
     do not all share one list."""
     if holidays is None:
-        days = F.array(*[F.lit(d) for d in holiday_dates()])
+        days = F.expr("array(" + ", ".join(f"date'{d}'" for d in holiday_dates()) + ")")
         holidays = F.when(F.col("loan_id") % 2 == 0, days).otherwise(F.reverse(days))
     return flat.select(
         "loan_id",

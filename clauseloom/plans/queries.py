@@ -54,7 +54,7 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 
 def _raw_nested(i: Inputs) -> DataFrame:
     flat = i["raw_loans"]
-    days = F.array(*[F.lit(str(d)) for d in holiday_dates()])
+    days = F.expr("array(" + ", ".join(f"'{d}'" for d in holiday_dates()) + ")")
     listed = F.when(F.col("loan_id") % 61 != 0, days)
     return nest_loans(flat, listed).withColumns(
         {"ltv": F.lit(None).cast("double"), "flood_zone": F.lit(None).cast("string")}
