@@ -189,7 +189,7 @@ FEEL_FUNCTIONS = {
     "string": "cast({0} as string)",
     "number": "try_cast({0} as double)",
     "date": "try_to_date({0}, 'yyyy-MM-dd')",
-    "time": "try_to_time({0})",
+    "time": "date_format(try_to_timestamp({0}, 'HH:mm:ss'), 'HH:mm:ss')",
     "date and time": "try_to_timestamp({0})",
     "duration": "cast({0} as interval day to second)",
     "years and months duration": "cast(months_between({1}, {0}) as int)",

@@ -191,8 +191,9 @@ def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataF
     """Assignments, templates, literals of objects, several statements, odd durations and day
     names, and texts that end in the middle or leave a bracket open."""
     toks = ex.tokens(F.col(text), notation)
-    cut = receipts.select("rule_id", toks.alias("toks"))
-    last = F.try_element_at("toks", F.lit(-1))
+    cut = receipts.select("rule_id", text, toks.alias("toks"))
+    # A single dash stands for "any" in a cell.
+    last = F.when(F.trim(F.col(text)) != "-", F.try_element_at("toks", F.lit(-1)))
 
     def count(*marks: str) -> Column:
         return F.size(F.filter("toks", lambda t: t.isin(*marks)))
