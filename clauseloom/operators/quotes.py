@@ -40,37 +40,44 @@ def _longest(runs: Column) -> Column:
 
 
 def anchors(quotes: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, class, anchor): each quote's class and the hash it is found by."""
+    """(key, class, anchor): each quote's class and the hash it is found by.
+
+    Class 0 is anchored at a run of words, 1 at a word, 2 to 4 at its first one to three
+    characters. The class is part of the hash.
+    """
     inner = F.expr("slice(words, 2, greatest(size(words) - 2, 0))")
-    cut = quotes.select(key, F.col(text).alias("q"), _words(F.col(text)).alias("words")).withColumn(
-        "inner", inner
-    )
-    run = F.when(F.size("inner") >= RUN, _longest(_runs("inner", RUN)))
-    word = F.when(F.size("inner") >= 1, _longest(_runs("inner", 1)))
+    cut = quotes.select(key, F.col(text).alias("q"), _words(F.col(text)).alias("words"))
     lead = F.substring("q", 1, LEAD)
-    kind = F.when(run.isNotNull(), 0).when(word.isNotNull(), 1).otherwise(1 + F.length(lead))
-    return cut.select(
-        key, kind.alias("class"), F.xxhash64(F.coalesce(run, word, lead)).alias("anchor")
+    chosen = cut.withColumn("inner", inner).select(
+        key,
+        F.when(F.size("inner") >= RUN, F.struct(F.lit(0).alias("class"), _longest(_runs("inner", RUN)).alias("a")))
+        .when(F.size("inner") >= 1, F.struct(F.lit(1).alias("class"), _longest(F.col("inner")).alias("a")))
+        .otherwise(F.struct((1 + F.length(lead)).alias("class"), lead.alias("a")))
+        .alias("c"),
     )
+    return chosen.select(key, "c.class", F.xxhash64("c.class", "c.a").alias("anchor"))
 
 
-def _offers(texts: DataFrame, key: str, text: str, kind: int) -> DataFrame:
-    """(key, anchor): what a text offers to quotes of one class, each once per text."""
+def _offered(kind: int) -> Column:
+    """What a text (columns words, t) offers to quotes of one class."""
     if kind == 0:
-        cut = texts.select(key, _words(F.col(text)).alias("words"))
-        offered = _runs("words", RUN)
-    elif kind == 1:
-        cut = texts.select(key, _words(F.col(text)).alias("words"))
-        offered = F.col("words")
-    else:
-        size = kind - 1
-        cut = texts.select(key, F.col(text).alias("t"))
-        offered = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("t") - size + 1, F.lit(1))),
-            lambda i: F.substring(F.col("t"), i, F.lit(size)),
-        )
-    hashes = F.array_distinct(F.transform(offered, lambda r: F.xxhash64(r)))
-    rows = cut.select(key, F.explode_outer(hashes).alias("anchor"))
+        return _runs("words", RUN)
+    if kind == 1:
+        return F.col("words")
+    size = kind - 1
+    starts = F.sequence(F.lit(1), F.greatest(F.length("t") - size + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.substring(F.col("t"), i, F.lit(size)))
+
+
+def _hashed(offered: Column, kind: int) -> Column:
+    return F.transform(offered, lambda r: F.xxhash64(F.lit(kind), r))
+
+
+def offers(texts: DataFrame, key: str, text: str, kinds: list[int]) -> DataFrame:
+    """(key, anchor): what a text offers to quotes of the given classes, each once per text."""
+    cut = texts.select(key, F.col(text).alias("t"), _words(F.col(text)).alias("words"))
+    hashes = [_hashed(_offered(kind), kind) for kind in kinds]
+    rows = cut.select(key, F.explode_outer(F.array_distinct(F.concat(*hashes))).alias("anchor"))
     return rows.where(F.col("anchor").isNotNull())
 
 
@@ -78,14 +85,17 @@ def quote_search(
     quotes: DataFrame, texts: DataFrame, quote_key: str, text_key: str, text: str = "text"
 ) -> DataFrame:
     """(quote_key, text_key) for every quote and every text that contains it. Empty quotes are
-    in every text and are left out."""
+    in every text and are left out.
+
+    The classes that occur (five at most) are looked up first, so that texts, read once for
+    their offers, do not offer single characters when every quote has words.
+    """
     quotes = quotes.where(F.length(text) > 0)
     anchored = anchors(quotes, quote_key, text)
-    candidates = None
-    for kind in range(2 + LEAD):
-        some = anchored.where(F.col("class") == kind).select(quote_key, "anchor")
-        found = _offers(texts, text_key, text, kind).join(some, "anchor").select(quote_key, text_key)
-        candidates = found if candidates is None else candidates.unionByName(found)
-    worded = candidates.join(quotes.select(quote_key, F.col(text).alias("quote")), quote_key)
+    kinds = sorted(r[0] for r in anchored.select("class").distinct().collect())
+    if not kinds:
+        kinds = [0]
+    found = offers(texts, text_key, text, kinds).join(anchored, "anchor").select(quote_key, text_key)
+    worded = found.join(quotes.select(quote_key, F.col(text).alias("quote")), quote_key)
     whole = texts.select(text_key, F.col(text).alias("whole"))
     return whole.join(worded, text_key).where(F.contains("whole", "quote")).select(quote_key, text_key)

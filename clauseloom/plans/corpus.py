@@ -13,6 +13,8 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clauseloom.session import shared_path
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -231,12 +233,13 @@ SQL: dict[str, str] = {
 
 # Tables whose rows are worked on at length, with their unique key.
 SPREAD = {"orders": "o_orderkey", "documents": "doc_id"}
+SPREAD_OVER = 200
 
 
 def spread(frame: DataFrame, key: str) -> DataFrame:
-    """A table of fewer splits than cores, as one small file is, over all cores. A table of many
+    """A table of fewer splits than cores, as one small file is, over more cores. A table of many
     files has enough splits and is left as it is."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
+    cores = min(frame.sparkSession.sparkContext.defaultParallelism, SPREAD_OVER)
     return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
 
 
@@ -261,6 +264,13 @@ class Inputs:
             return self.spark.sql(text, **needs)
         return BUILT[name](self)
 
+    def stored(self, name: str) -> DataFrame:
+        """A derived input as a table in the shared folder, where a plan reads it several times
+        and would otherwise derive it each time."""
+        path = shared_path(self.spark, name)
+        self[name].write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def loans(self) -> DataFrame:
         return nest_loans(self["flat_loans"])
 

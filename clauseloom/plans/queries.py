@@ -33,7 +33,7 @@ from clauseloom.operators import (
     sentences,
     tables,
 )
-from clauseloom.plans.corpus import Inputs, holiday_dates, nest_loans
+from clauseloom.plans.corpus import SQL, Inputs, holiday_dates, nest_loans
 from clauseloom.session import shared_path
 from clauseloom.sources import loans as loan_source
 from clauseloom.sources import packs
@@ -497,9 +497,14 @@ def rule_functions(i: Inputs) -> DataFrame:
 
 # --- gates ------------------------------------------------------------------------------------
 
+def _quotes_of(i: Inputs, table: DataFrame) -> DataFrame:
+    return i.spark.sql(SQL["quotes"], doc_sentences=table)
+
+
 @query
 def quote_missing(i: Inputs) -> DataFrame:
-    return gates.quote_missing(i["quotes"], i["doc_sentences"])
+    table = i.stored("doc_sentences")
+    return gates.quote_missing(_quotes_of(i, table), table)
 
 
 @query
@@ -697,7 +702,7 @@ def test_run(i: Inputs) -> DataFrame:
 # --- reports ----------------------------------------------------------------------------------
 
 def _sentence_table(i: Inputs) -> DataFrame:
-    return i["doc_sentences"].select(
+    return i.stored("doc_sentences").select(
         F.col("doc_id").alias("source"), F.col("n").alias("seq"), "sentence_id", "heading", "text"
     )
 
@@ -713,7 +718,10 @@ def _readback(i: Inputs) -> DataFrame:
         "sentence_id", F.lit("reference").alias("kind"), F.col("source").cast("string").alias("target"),
         F.lit("paragraph").alias("cited_as"),
     )
-    return report.readback(table, states, i["quotes"], links)
+    as_derived = table.select(
+        F.col("source").alias("doc_id"), F.col("seq").alias("n"), "sentence_id", "text"
+    )
+    return report.readback(table, states, _quotes_of(i, as_derived), links)
 
 
 @query
@@ -752,8 +760,6 @@ def loan_explanations(i: Inputs) -> DataFrame:
 # --- stream -----------------------------------------------------------------------------------
 
 def _loans_of_orders(i: Inputs) -> Callable[[DataFrame], DataFrame]:
-    from clauseloom.plans.corpus import SQL
-
     return lambda orders: nest_loans(i.spark.sql(SQL["flat_loans"], orders=orders))
 
 
