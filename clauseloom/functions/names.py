@@ -31,3 +31,22 @@ def feel_name(path: Column) -> Column:
 def label_phrase(label: Column) -> Column:
     """A label as a noun phrase: `the ` in front unless it starts with `the ` or `how `."""
     return F.when(label.rlike("^(the|how) "), label).otherwise(F.concat(F.lit("the "), label))
+
+
+def labelled(text: Column, labels: dict[str, str]) -> Column:
+    """Rule text with each field path replaced by its label phrase, longest paths first. Labels
+    are those of a vocabulary, a few dozen."""
+    for path in sorted(labels, key=len, reverse=True):
+        label = labels[path]
+        phrase = label if label.startswith(("the ", "how ")) else f"the {label}"
+        pattern = r"(?<![\w.])" + path.replace(".", r"\.") + r"(?![\w.])"
+        text = F.regexp_replace(text, pattern, phrase.replace("\\", "\\\\").replace("$", r"\$"))
+    return text
+
+
+def rule_sentence(applies_when: Column, requirement: Column, result: Column) -> Column:
+    """One decision row as a sentence."""
+    lead = F.when(F.trim(applies_when).isin("", "-"), "For every loan file").otherwise(
+        F.concat(F.lit("When "), applies_when)
+    )
+    return F.concat(lead, F.lit(", and "), requirement, F.lit(", the result is **"), result, F.lit("**."))

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clauseloom.functions import names
 from clauseloom.functions import text as tx
 from clauseloom.functions.language import (
     DATE_METHODS,
@@ -254,15 +255,71 @@ def expected_rows(receipts: DataFrame) -> DataFrame:
 def row_mismatch(receipts: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows that a receipt promises and that are missing or differ. Row ids are unique on both
     sides, so the join spreads evenly."""
-    cells = F.struct("rule_id", "i1", "i2", "result")
-    want = expected_rows(receipts).select("row_id", cells.alias("want"))
-    have = rows.select("row_id", cells.alias("have"))
-    off = want.join(have, "row_id", "left").where(~F.col("want").eqNullSafe(F.col("have")))
-    return _finding(
-        off, "row", "row_id", F.when(F.col("have").isNull(), "missing row").otherwise("row differs")
+    return _mismatch(expected_rows(receipts), rows, "row_id", ["rule_id", "i1", "i2", "result"], "row")
+
+
+def input_entry(cell: Column) -> Column:
+    """A boolean cell as an input entry of the second model format: empty is `-`, and one
+    `not(...)` over the whole cell goes in parentheses, because a leading `not(` means "the input
+    is not", which also holds when the value is missing.
+
+    The `not(` spans the cell when the depth of brackets, texts in quotes left out, comes back to
+    zero once only, at its end.
+    """
+    cell = F.trim(cell)
+    marks = F.regexp_extract_all(F.regexp_replace(cell, ex.STRING, ""), F.lit("[()]"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed"))
+
+    def step(state: Column, mark: Column) -> Column:
+        depth = state["depth"] + F.when(mark == "(", 1).otherwise(-1)
+        return F.struct(
+            depth.alias("depth"), (state["closed"] + F.when(depth == 0, 1).otherwise(0)).alias("closed")
+        )
+
+    spans = cell.startswith("not(") & cell.endswith(")")
+    once = F.aggregate(marks, start, step)["closed"] == 1
+    return (
+        F.when(cell == "", "-")
+        .when(spans & once, F.concat(F.lit("("), cell, F.lit(")")))
+        .otherwise(cell)
+    )
+
+
+def expected_dmn_rows(receipts: DataFrame) -> DataFrame:
+    """The two rules of the second model format a receipt stands for, from its `feel_when` and
+    `feel` cells: (xml_id, applies_when, requirement, rule_id, result, description)."""
+    negated = F.concat(F.lit("not("), "feel", F.lit(")"))
+    pair = F.array(
+        F.struct(F.lit("pass").alias("result"), input_entry(F.col("feel")).alias("requirement")),
+        F.struct(F.lit("fail").alias("result"), input_entry(negated).alias("requirement")),
+    )
+    rules = receipts.where(F.col("kind") == "rule").select(
+        "rule_id", input_entry(F.col("feel_when")).alias("applies_when"), F.explode(pair).alias("r")
+    )
+    return rules.select(
+        names.rule_xml_id(F.col("rule_id"), F.col("r.result")).alias("xml_id"),
+        "applies_when",
+        "r.requirement",
+        "rule_id",
+        "r.result",
+        F.concat("rule_id", F.lit("/"), "r.result").alias("description"),
     )
 
 
+def dmn_row_mismatch(receipts: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same for the second model format: rules missing or different from their receipt."""
+    cells = ["applies_when", "requirement", "rule_id", "result", "description"]
+    return _mismatch(expected_dmn_rows(receipts), rules, "xml_id", cells, "dmn rule")
+
+
+def _mismatch(want: DataFrame, have: DataFrame, key: str, cells: list[str], check: str) -> DataFrame:
+    wanted = want.select(key, F.struct(*cells).alias("want"))
+    given = have.select(key, F.struct(*cells).alias("have"))
+    off = wanted.join(given, key, "left").where(~F.col("want").eqNullSafe(F.col("have")))
+    detail = F.when(F.col("have").isNull(), f"missing {check}").otherwise(f"{check} differs")
+    return _finding(off, check, key, detail)
+
+
 def derived_mismatch(receipts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Derived fields whose model expression is not the receipt's, wrapped as the receipt says.
 
@@ -288,14 +345,19 @@ def orphans(receipts: DataFrame, rows: DataFrame) -> DataFrame:
 def graph_integrity(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Per pack: node ids used twice, edges to nodes that are not there, rules without exactly
     two inputs and two outputs. Subjects are `pack/id`."""
-    nodes = nodes.withColumn("subject", F.concat_ws("/", "pack", "node_id"))
+    nodes = nodes.select(
+        F.concat_ws("/", "pack", "node_id").alias("subject"), "n_inputs", "n_outputs"
+    )
     twice = nodes.groupBy("subject").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     ends = edges.select(
         F.concat_ws("/", "pack", "edge_id").alias("edge"),
         F.explode(F.array("source_id", "target_id")).alias("node_id"),
         "pack",
     ).select("edge", F.concat_ws("/", "pack", "node_id").alias("subject"))
-    dangling = ends.join(nodes.select("subject").distinct(), "subject", "left_anti")
+    # Many edges may name one node: named nodes meet the nodes once each, and only the few that
+    # are not there go back to the edges.
+    lost = ends.select("subject").distinct().join(nodes.select("subject").distinct(), "subject", "left_anti")
+    dangling = ends.join(lost, "subject")
     odd = nodes.where((F.col("n_inputs") != 2) | (F.col("n_outputs") != 2)).select("subject").distinct()
     return (
         _finding(twice, "graph", "subject", "id is used twice")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clauseloom.functions import names
+from clauseloom.model import LOAN_VOCABULARY, Vocabulary
 from clauseloom.operators.checks import disagreements
 
 
@@ -61,6 +63,16 @@ def readback(
     return lines.unionByName(rules).unionByName(cited)
 
 
+def rule_sentences(rows: DataFrame, vocabulary: Vocabulary = LOAN_VOCABULARY) -> DataFrame:
+    """(row_id, line): decision rows as sentences, fields by their labels, the rest as written."""
+    line = names.rule_sentence(
+        names.labelled(F.col("i1"), vocabulary.labels),
+        names.labelled(F.col("i2"), vocabulary.labels),
+        F.col("result"),
+    )
+    return rows.select("row_id", line.alias("line"))
+
+
 def in_report_order(lines: DataFrame) -> DataFrame:
     """Report lines sorted for writing: a range sort over the cluster, not one task."""
     return lines.orderBy("source", "seq", "part", "item")

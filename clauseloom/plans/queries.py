@@ -585,6 +585,11 @@ def row_receipt_mismatch(i: Inputs) -> DataFrame:
     return gates.row_mismatch(i["receipts"], i["model_rows"])
 
 
+@query
+def dmn_row_receipt_mismatch(i: Inputs) -> DataFrame:
+    return gates.dmn_row_mismatch(i["receipts"], i["dmn_model_rows"])
+
+
 @query
 def orphan_rows(i: Inputs) -> DataFrame:
     return gates.orphans(i["receipts"], i["model_rows"])
@@ -734,6 +739,11 @@ def label_phrases(i: Inputs) -> DataFrame:
     return i["labels_of_parts"].select("p_partkey", names.label_phrase(F.col("phrase")).alias("phrase"))
 
 
+@query
+def rule_sentences(i: Inputs) -> DataFrame:
+    return report.rule_sentences(i["model_rows"])
+
+
 @query
 def readback_stale(i: Inputs) -> DataFrame:
     """A committed report in which the lines of some sentences were edited."""

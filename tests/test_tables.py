@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clauseloom.functions import language
-from clauseloom.operators import gates, tables
+from clauseloom.operators import audit, gates, tables
 from clauseloom.sources import packs
 
 DISCOUNTS = ({"tier": '"gold"', "total": ">= 100", "discount": 0.15}, {"tier": "", "total": "-", "discount": 0.0})
@@ -227,6 +227,26 @@ def test_pack_relations(pack):
     }
 
 
+def test_input_entries(spark):
+    cells = ["", " ltv > 3 ", "not(a)", "not(a) and not(b)", "not(f(\")\") = (1))", "not(a", "(not(a))"]
+    frame = spark.createDataFrame(enumerate(cells), "i int, c string")
+    got = [r.e for r in frame.select("i", gates.input_entry(F.col("c")).alias("e")).orderBy("i").collect()]
+    assert got == ["-", "ltv > 3", "(not(a))", "not(a) and not(b)", "(not(f(\")\") = (1)))", "not(a", "(not(a))"]
+
+
+def test_audit(spark, pack):
+    one = {k: v.where(F.col("pack").endswith("/one")) for k, v in pack.items()}
+    sentences = spark.createDataFrame([("p", "Within three days.")], "sentence_id string, text string")
+    sources = spark.createDataFrame([("s.txt", "01")], "source string, sha256 string")
+    found = {(r.check, r.subject, r.detail) for r in audit.audit(one, sentences, sources).collect()}
+    assert ("quote", "p/r1", "quote not in p") not in found
+    assert ("source", "p/r1", "hash differs for s.txt") in found
+    assert ("dmn rule", "rule_p_r1_fail", "missing dmn rule") in found
+    assert ("derived field", "p/d1", "derived.x is not a derived field of the vocabulary") in found
+    assert ("decision", "p/d1", "no receipt in the second model") in found
+    assert ("number", "p/r1", "number 3 is not stated") not in found
+
+
 def test_gates_over_a_pack_that_was_read(pack):
     one = {k: v.where(F.col("pack").endswith("/one")) for k, v in pack.items()}
     assert gates.row_mismatch(one["receipt"], one["row"]).count() == 0
