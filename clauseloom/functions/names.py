@@ -34,14 +34,17 @@ def label_phrase(label: Column) -> Column:
 
 
 def labelled(text: Column, labels: dict[str, str]) -> Column:
-    """Rule text with each field path replaced by its label phrase, longest paths first. Labels
-    are those of a vocabulary, a few dozen."""
-    for path in sorted(labels, key=len, reverse=True):
-        label = labels[path]
-        phrase = label if label.startswith(("the ", "how ")) else f"the {label}"
-        pattern = r"(?<![\w.])" + path.replace(".", r"\.") + r"(?![\w.])"
-        text = F.regexp_replace(text, pattern, phrase.replace("\\", "\\\\").replace("$", r"\$"))
-    return text
+    """Rule text with each field path replaced by its label phrase. The text is cut into paths and
+    what stands between them, and each path is looked up."""
+    phrases = {
+        path: label if label.startswith(("the ", "how ")) else f"the {label}"
+        for path, label in labels.items()
+    }
+    lookup = F.map_from_arrays(
+        F.array(*[F.lit(p) for p in phrases]), F.array(*[F.lit(p) for p in phrases.values()])
+    )
+    pieces = F.regexp_extract_all(text, F.lit(r"[\w.]+|[^\w.]+"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.coalesce(lookup[p], p)), "")
 
 
 def rule_sentence(applies_when: Column, requirement: Column, result: Column) -> Column:

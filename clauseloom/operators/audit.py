@@ -36,6 +36,7 @@ def audit(
     found = [
         gates.quote_missing(receipts, sentences),
         gates.source_drift(receipts, sources),
+        gates.changed_sources(tables["source"], sources),
         gates.row_mismatch(receipts, tables["row"]),
         gates.dmn_row_mismatch(receipts, tables["dmn_rule"]),
         gates.orphans(receipts, tables["row"]),

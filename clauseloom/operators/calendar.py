@@ -6,7 +6,7 @@ after" and "business days between" are array look-ups by day number.
 
 The calendars are joined by broadcast. Their size has a bound that does not grow with the loans:
 at most MAX_CALENDARS lists (the most used ones) times MAX_DAYS days times two 4-byte arrays, some
-12 MB. Loans with a rarer list or a window outside the calendar take the array form in the next
+12 MB, whichever lists the caller gives; a list longer than the days themselves gets none. Loans with a rarer list or a window outside the calendar take the array form in the next
 step of the same row, so the result is whole and the same.
 """
 
@@ -28,11 +28,11 @@ MAX_DAYS = (LAST_DAY - FIRST_DAY).days + 1
 
 
 def holiday_lists(loans: DataFrame, limit: int = MAX_CALENDARS) -> DataFrame:
-    """The most used holiday lists with the days their loans span, clipped to the calendar range.
+    """(holidays, lo, hi): the most used holiday lists with the days their loans span.
 
     Partial aggregation leaves one row per list and task, however many loans share the list.
     """
-    return (
+    used = (
         loans.where(F.col("calendar.holidays").isNotNull())
         .groupBy(F.col("calendar.holidays").alias("holidays"))
         .agg(
@@ -42,13 +42,18 @@ def holiday_lists(loans: DataFrame, limit: int = MAX_CALENDARS) -> DataFrame:
         )
         .orderBy(F.desc("n_loans"), "holidays")
         .limit(limit)
-        .select(
-            "holidays",
-            F.greatest("lo", F.lit(FIRST_DAY)).alias("lo"),
-            F.least("hi", F.lit(LAST_DAY)).alias("hi"),
-        )
-        .where(F.col("lo") <= F.col("hi"))
     )
+    return _bounded(used)
+
+
+def _bounded(lists: DataFrame) -> DataFrame:
+    """Lists within the bound of the broadcast: their number, their length, their days."""
+    fitting = lists.where(F.size("holidays") <= MAX_DAYS).limit(MAX_CALENDARS)
+    return fitting.select(
+        "holidays",
+        F.greatest("lo", F.lit(FIRST_DAY)).alias("lo"),
+        F.least("hi", F.lit(LAST_DAY)).alias("hi"),
+    ).where(F.col("lo") <= F.col("hi"))
 
 
 def calendar_dim(lists: DataFrame) -> DataFrame:
@@ -92,7 +97,7 @@ def with_calendar(
     all run in the stage of the join, so that calendar arrays are read in place and never copied
     into rows. Numbers and dates only leave the last of them.
     """
-    index = calendar_index(holiday_lists(loans) if lists is None else lists)
+    index = calendar_index(holiday_lists(loans) if lists is None else _bounded(lists))
     columns = loans.columns
     bounded = loans.withColumns(
         {

@@ -91,6 +91,15 @@ def source_drift(receipts: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def changed_sources(recorded: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sources a pack was built from that have changed or gone since: one row per source."""
+    current = sources.select("source", F.col("sha256").alias("current_sha256"))
+    off = recorded.select("source", "sha256").distinct().join(current, "source", "left").where(
+        ~F.col("sha256").eqNullSafe(F.col("current_sha256"))
+    )
+    return _finding(off, "source", "source", "changed since the pack was built")
+
+
 # --- one rule text ----------------------------------------------------------------------------
 
 def _uses(receipts: DataFrame, text: str, notation: str) -> DataFrame:
@@ -103,28 +112,22 @@ def _uses(receipts: DataFrame, text: str, notation: str) -> DataFrame:
 def _number_detail(notation: str) -> Column:
     """Detail of a number the quote does not state; null when it is stated. A list position
     counts as the ordinal it takes; the count of a duration counts as a number."""
-    name, role = F.col("name"), F.col("role")
-    negative = name.startswith("-")
-    value = tx.canonical_number(F.regexp_replace(name, "^-", ""))
-    shift = 1 if notation == "expression" else 0
-    position = F.when(value.rlike(r"^\d{1,18}$"), (value.cast("bigint") + shift).cast("string"))
-    element = F.coalesce(position, value)
+    name, role, value, element = (F.col(c) for c in ("name", "role", "value", "element"))
+    negative = F.col("negative")
     below = negative if notation == "expression" else (negative | (value == "0"))
-    stated = F.col("stated")
+    indexed = F.when(below, F.concat(F.lit("index ["), name, F.lit("] is not allowed"))).when(
+        ~F.col("element_stated"),
+        F.concat(F.lit("index ["), name, F.lit("] (element "), element, F.lit(") is not stated")),
+    )
+    unstated = ~F.col("value_stated")
     return (
-        F.when(
-            (role == "index") & below, F.concat(F.lit("index ["), name, F.lit("] is not allowed"))
-        )
-        .when(
-            (role == "index") & ~F.array_contains(stated, element),
-            F.concat(F.lit("index ["), name, F.lit("] (element "), element, F.lit(") is not stated")),
-        )
+        F.when(role == "index", indexed)
         .when(
-            (role == "duration") & ~F.array_contains(stated, value),
+            (role == "duration") & unstated,
             F.concat(F.lit("duration of "), value, F.lit(" is not stated")),
         )
         .when(
-            (role == "plain") & (negative | ~F.array_contains(stated, value)),
+            (role == "plain") & (negative | unstated),
             F.concat(F.lit("number "), name, F.lit(" is not stated")),
         )
     )
@@ -132,11 +135,26 @@ def _number_detail(notation: str) -> Column:
 
 def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     """Numbers of a rule that its quote does not state. Quote and rule are in one row, so the
-    set difference needs no join."""
+    set difference needs no join. Steps keep the generated code small enough to be compiled."""
     numbers = _uses(receipts, text, notation).where(
         (F.col("kind") == "number") & (F.col("role") != "weekday")
     )
-    found = value_rows(numbers, ["rule_id"], "detail", _number_detail(notation))
+    shift = 1 if notation == "expression" else 0
+    value = F.col("value")
+    position = F.when(value.rlike(r"^\d{1,18}$"), (value.cast("bigint") + shift).cast("string"))
+    valued = numbers.select(
+        "rule_id", "name", "role", "stated",
+        F.col("name").startswith("-").alias("negative"),
+        tx.canonical_number(F.regexp_replace("name", "^-", "")).alias("value"),
+    )
+    placed = valued.withColumn("element", F.coalesce(position, value))
+    judged = placed.withColumns(
+        {
+            "value_stated": F.array_contains("stated", value),
+            "element_stated": F.array_contains("stated", F.col("element")),
+        }
+    )
+    found = value_rows(judged, ["rule_id"], "detail", _number_detail(notation))
     return _finding(found, "number", "rule_id", F.col("detail"))
 
 

@@ -241,6 +241,7 @@ def test_audit(spark, pack):
     found = {(r.check, r.subject, r.detail) for r in audit.audit(one, sentences, sources).collect()}
     assert ("quote", "p/r1", "quote not in p") not in found
     assert ("source", "p/r1", "hash differs for s.txt") in found
+    assert ("source", "s.txt", "changed since the pack was built") in found
     assert ("dmn rule", "rule_p_r1_fail", "missing dmn rule") in found
     assert ("derived field", "p/d1", "derived.x is not a derived field of the vocabulary") in found
     assert ("decision", "p/d1", "no receipt in the second model") in found
