@@ -33,23 +33,30 @@ def blocked_rules(definitions: DataFrame, uses: DataFrame) -> DataFrame:
     # Two narrow tables serve every round: who defines what, and who reads what, of the rules
     # whose own sentence is not open.
     compiled = definitions.where(~F.col("open"))
-    defines = keep(
-        compiled.where(F.col("field").isNotNull()).select("rule_id", "field").distinct(), "defines"
-    )
+    pairs = compiled.where(F.col("field").isNotNull()).select("rule_id", "field").distinct()
+    definers = pairs.groupBy("field").agg(F.count("*").alias("n_definers"))
+    defines = keep(pairs.join(definers, "field"), "defines")
     readers = keep(
         uses.select("rule_id", "field").distinct().join(
             compiled.select("rule_id").distinct(), "rule_id", "left_semi"
         ),
         "readers",
     )
+    shared = not defines.where(F.col("n_definers") > 1).isEmpty()
     undefined = readers.join(defines.select("field"), "field", "left_anti").select("field").distinct()
     new = keep(_waiting(readers, undefined), "rounds/round=00000")
     rounds = 1
     while not new.isEmpty():
         blocked = spark.read.parquet(f"{folder}/rounds").select("rule_id")
-        lost = defines.join(new.select("rule_id"), "rule_id", "left_semi").select("field").distinct()
-        still = defines.join(lost, "field", "left_semi").join(blocked, "rule_id", "left_anti")
-        undefined = lost.join(still.select("field"), "field", "left_anti")
+        lost = defines.join(new.select("rule_id"), "rule_id", "left_semi")
+        undefined = lost.where(F.col("n_definers") == 1).select("field")
+        if shared:
+            # A field of several rules is lost when none of them is left.
+            doubtful = lost.where(F.col("n_definers") > 1).select("field").distinct()
+            left = defines.join(doubtful, "field", "left_semi").join(blocked, "rule_id", "left_anti")
+            undefined = undefined.unionByName(
+                doubtful.join(left.select("field"), "field", "left_anti")
+            )
         new = keep(
             _waiting(readers, undefined).join(blocked, "rule_id", "left_anti"),
             f"rounds/round={rounds:05d}",
