@@ -75,7 +75,7 @@ def main() -> None:
                     "sentence split, texts/s": rate(texts, "sentences"),
                     "stated numbers, texts/s": rate(texts, "stated_numbers"),
                 },
-                "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf")),
                 "cores": cores,
             }
         )

@@ -388,8 +388,8 @@ CHECKS: dict[str, str] = {
     "business_days_between": "select loan_id, receipt as cd_receipt_date, n_days from {decided}",
     "calendar_dim": f"""
         select c.first as calendar, day, is_business,
-          coalesce(sum(cast(is_business as int)) over (partition by c.first order by day
-            rows between unbounded preceding and 1 preceding), 0) as n_before
+          cast(coalesce(sum(cast(is_business as int)) over (partition by c.first order by day
+            rows between unbounded preceding and 1 preceding), 0) as int) as n_before
         from (select *, isodow(day) <> 7 and not list_contains({_HOLIDAYS}, day) as is_business from (
             select parity, unnest(list_transform(range(0, hi - lo + 1), lambda i: lo + cast(i as int))) as day
             from (select loan_id % 2 as parity, min(least(issue_date, closing_date)) - 10 as lo,
