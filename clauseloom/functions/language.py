@@ -197,6 +197,47 @@ FEEL_FUNCTIONS = {
     "from json": "from_json({0}, {1})",
 }
 
+# The operators of the two notations and the Spark SQL that computes each. Logic is
+# three-valued in Spark SQL as it stands: a missing operand decides nothing.
+OPERATORS = {
+    "and": "{0} and {1}",
+    "or": "{0} or {1}",
+    "not": "not {0}",
+    "==": "{0} = {1}",
+    "=": "{0} = {1}",
+    "!=": "{0} <> {1}",
+    "<": "{0} < {1}",
+    ">": "{0} > {1}",
+    "<=": "{0} <= {1}",
+    ">=": "{0} >= {1}",
+    "in": "array_contains({1}, {0})",
+    "not in": "not array_contains({1}, {0})",
+    "in [a..b]": "{0} between {1} and {2}",
+    "in (a..b)": "{0} > {1} and {0} < {2}",
+    "+": "{0} + {1}",
+    "-": "{0} - {1}",
+    "*": "{0} * {1}",
+    "/": "try_divide({0}, {1})",
+    "%": "{0} % {1}",
+    "^": "pow({0}, {1})",
+    "**": "pow({0}, {1})",
+    "? :": "case when {0} then {1} else {2} end",
+    "if then else": "case when {0} then {1} else {2} end",
+    "??": "coalesce({0}, {1})",
+    "x[n] from 0": "get({0}, {1})",
+    "x[n] from 1": "try_element_at({0}, {1})",
+    "x[test]": "filter({0}, x -> {1})",
+    "[a..b]": "sequence({0}, {1})",
+    "for in return": "transform(sequence({0}, {1}), x -> {2})",
+    "[a, b]": "array({0}, {1})",
+    ".days": "datediff({0}, {1})",
+    "+ PnD": "date_add({0}, {1})",
+    "- PnD": "date_sub({0}, {1})",
+    "+ PnW": "date_add({0}, 7 * {1})",
+    "+ PnM": "add_months({0}, {1})",
+    "+ PnY": "add_months({0}, 12 * {1})",
+}
+
 # Keywords of the two notations, day names, duration literals.
 EXPRESSION_KEYWORDS = ("and", "or", "not", "in", "as", "true", "false", "null")
 FEEL_KEYWORDS = (

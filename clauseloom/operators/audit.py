@@ -44,21 +44,17 @@ def audit(
         _unknown_fields(derived, vocabulary),
         _other_decisions(receipts, tables["decision"]),
     ]
-    texts = [
-        (rules, "applies_when", "expression"),
-        (rules, "requirement", "expression"),
-        (derived, "expression", "expression"),
-        (rules, "feel_when", "feel"),
-        (rules, "feel", "feel"),
-        (derived, "feel", "feel"),
-    ]
-    for frame, text, notation in texts:
-        written = frame.where(F.col(text).isNotNull())
+    # All texts of a notation are one corpus, so each gate is planned once per notation.
+    first = _texts(
+        (rules, "applies_when"), (rules, "requirement"), (derived, "expression")
+    )
+    second = _texts((rules, "feel_when"), (rules, "feel"), (derived, "feel"))
+    for written, notation in ((first, "expression"), (second, "feel")):
         found += [
-            gates.number_gate(written, text, notation),
-            gates.vocabulary_gate(written, text, notation, vocabulary),
-            gates.encoding_gate(written, text, notation, vocabulary),
-            gates.forbidden_constructs(written, text, notation),
+            gates.number_gate(written, "text", notation),
+            gates.vocabulary_gate(written, "text", notation, vocabulary),
+            gates.encoding_gate(written, "text", notation, vocabulary),
+            gates.forbidden_constructs(written, "text", notation),
         ]
     found += [
         gates.day_test_gate(day_sets, "expression", "expression"),
@@ -67,6 +63,15 @@ def audit(
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def _texts(*parts: tuple[DataFrame, str]) -> DataFrame:
+    """(rule_id, quote, text) of the given text columns."""
+    frames = [
+        frame.select("rule_id", "quote", F.col(text).alias("text")).where(F.col("text").isNotNull())
+        for frame, text in parts
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _unknown_fields(derived: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Derived receipts whose field the vocabulary does not derive."""
     lost = derived.where(~F.col("field").isin(list(vocabulary.derived)))

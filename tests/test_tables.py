@@ -113,6 +113,7 @@ FEEL = {
 }
 # Calls whose value changes or is not plain: they only have to run.
 RUNS = {
+    "operator": {},
     "expression": {"rand": ("5",), "duration": ("'3 00:00:00'",)},
     "method": {"tz": (D, "'Europe/Paris'")},
     "feel": {
@@ -122,7 +123,22 @@ RUNS = {
         "from json": ("'{\"a\": 1}'", "'a int'"), "round half up": ("5.5", "0"),
     },
 }
+OPERATORS = {
+    "and": ("true", "null", None), "or": ("true", "null", True), "not": ("cast(null as boolean)", None),
+    "==": ("1", "1", True), "=": ("1", "2", False), "!=": ("1", "2", True), "<": ("1", "2", True), ">": ("1", "2", False),
+    "<=": ("1", "1", True), ">=": ("null", "1", None), "in": ("1", "array(1, 2)", True), "not in": ("1", "array(1)", False),
+    "in [a..b]": ("1", "1", "3", True), "in (a..b)": ("1", "1", "3", False), "+": ("1", "2", 3), "-": ("1", "2", -1),
+    "*": ("2", "3", 6), "/": ("1", "0", None), "%": ("7", "4", 3), "^": ("2", "3", 8.0), "**": ("2", "3", 8.0),
+    "? :": ("cast(null as boolean)", "1", "2", 2), "if then else": ("true", "1", "2", 1), "??": ("null", "1", 1),
+    "x[n] from 0": ("array(10, 20)", "2", None), "x[n] from 1": ("array(10, 20)", "2", 20),
+    "x[test]": ("array(10, 20)", "x > 10", [20]), "[a..b]": ("0", "2", [0, 1, 2]),
+    "for in return": ("0", "2", "x * 2", [0, 2, 4]), "[a, b]": ("1", "2", [1, 2]),
+    ".days": ("date'2026-10-19'", "date'2026-10-09'", 10), "+ PnD": (D, "3", date(2026, 10, 14)),
+    "- PnD": (D, "11", date(2026, 9, 30)), "+ PnW": (D, "1", date(2026, 10, 18)),
+    "+ PnM": ("date'2026-01-31'", "1", date(2026, 2, 28)), "+ PnY": (D, "1", date(2027, 10, 11)),
+}
 CATALOGUES = {
+    "operator": (language.OPERATORS, OPERATORS),
     "expression": (language.EXPRESSION_FUNCTIONS, EXPRESSIONS),
     "method": (language.DATE_METHODS, METHODS),
     "feel": (language.FEEL_FUNCTIONS, FEEL),
