@@ -248,6 +248,19 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 DURATION = r"^P(\d+)[DWMY]$"
 
 
+# How the two model formats write a day set around its day test.
+DAY_SET_TEXT = {
+    "expression": (
+        'filter(map([0..d({to}, "UTC").add({pad}, "d").diff(d({from}, "UTC").sub({pad}, "d"), "day")],'
+        ' d({from}, "UTC").sub({pad}, "d").add(#, "d").format("%Y-%m-%d")), {test})'
+    ),
+    "feel": (
+        '(for i in 0..(date({to}) + duration("P{pad}D") - (date({from}) - duration("P{pad}D"))).days'
+        ' return string(date({from}) - duration("P{pad}D") + duration("P1D") * i))[{test}]'
+    ),
+}
+
+
 def spark_sql(name: str, *args: str, table: dict[str, str] = EXPRESSION_FUNCTIONS) -> str:
     """The Spark SQL text of one call. Arguments are SQL texts."""
     return "(" + table[name].format(*args) + ")"

@@ -1,7 +1,8 @@
-"""The audit of packs: every gate over the relations of a pack, as one table of findings.
+"""The audit of a pack: every gate over its relations, as one table of findings.
 
-`tables` are the relations of `sources.packs.read_pack`, of one pack or of many; `sentences` has
-(sentence_id, text), `sources` has (source, sha256). Findings carry (check, subject, detail).
+`tables` are the relations of `sources.packs.read_pack` for one pack, within which ids are unique;
+`sentences` has (sentence_id, text), `sources` has (source, sha256). Findings carry (check,
+subject, detail).
 """
 
 from __future__ import annotations
@@ -43,6 +44,12 @@ def audit(
         gates.unknown_changes(tables["change"], receipts),
         _unknown_fields(derived, vocabulary),
         _other_decisions(receipts, tables["decision"]),
+        _derived_in_first_model(derived, tables["derived_node"], vocabulary),
+        _derived_in_second_model(derived, tables["decision"], vocabulary),
+        gates.empty_texts(rules, "requirement"),
+        gates.empty_texts(rules, "feel"),
+        gates.empty_texts(derived, "expression"),
+        gates.empty_texts(derived, "feel"),
     ]
     # All texts of a notation are one corpus, so each gate is planned once per notation.
     first = _texts(
@@ -63,6 +70,23 @@ def audit(
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def _derived_in_first_model(derived: DataFrame, nodes: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    want = derived.select(
+        "rule_id", gates.model_text(F.col("expression"), "expression", vocabulary).alias("expression")
+    )
+    places = derived.select("rule_id", F.col("node").alias("node_id"), "field")
+    have = nodes.select("node_id", "field", "expression").join(places, ["node_id", "field"])
+    return gates.derived_mismatch(want, have)
+
+
+def _derived_in_second_model(derived: DataFrame, decisions: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    want = derived.select("rule_id", gates.model_text(F.col("feel"), "feel", vocabulary).alias("expression"))
+    places = derived.select("rule_id", F.col("dmn.decision").alias("decision"))
+    literal = decisions.where(F.col("kind") == "literal")
+    have = literal.select("decision", F.col("text").alias("expression")).join(places, "decision")
+    return gates.derived_mismatch(want, have)
+
+
 def _texts(*parts: tuple[DataFrame, str]) -> DataFrame:
     """(rule_id, quote, text) of the given text columns."""
     frames = [

@@ -17,6 +17,7 @@ from clauseloom.functions import names
 from clauseloom.functions import text as tx
 from clauseloom.functions.language import (
     DATE_METHODS,
+    DAY_SET_TEXT,
     EXPRESSION_FUNCTIONS,
     FEEL_FUNCTIONS,
     WEEKDAYS,
@@ -206,6 +207,11 @@ def day_test_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     return _finding(silent, "day test", "rule_id", f"the test does not use {day}")
 
 
+def empty_texts(receipts: DataFrame, text: str) -> DataFrame:
+    """Rules whose requirement or expression says nothing."""
+    return _finding(receipts.where(F.trim(F.col(text)) == ""), "construct", "rule_id", "empty expression")
+
+
 def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     """Assignments, templates, literals of objects, several statements, odd durations and day
     names, and texts that end in the middle or leave a bracket open."""
@@ -338,11 +344,22 @@ def _mismatch(want: DataFrame, have: DataFrame, key: str, cells: list[str], chec
     return _finding(off, check, key, detail)
 
 
-def derived_mismatch(receipts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Derived fields whose model expression is not the receipt's, wrapped as the receipt says.
+def model_text(text: Column, notation: str, vocabulary: Vocabulary = LOAN_VOCABULARY) -> Column:
+    """A derived receipt's expression as the model writes it: the day test of a day set (column
+    `field` names it) stands inside its window, anything else stands as it is."""
+    out = text
+    for name, window in vocabulary.windows.items():
+        filled = DAY_SET_TEXT[notation]
+        for key, value in (("from", window["from"]), ("to", window["to"]), ("pad", window["pad_days"])):
+            filled = filled.replace("{" + key + "}", str(value))
+        before, after = filled.split("{test}")
+        out = F.when(F.col("field") == name, F.concat(F.lit(before), text, F.lit(after))).otherwise(out)
+    return out
 
-    Both sides carry (rule_id, expression); the wrapping is done by the reader of the model.
-    """
+
+def derived_mismatch(receipts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Derived fields whose model expression is not the receipt's. Both sides carry
+    (rule_id, expression), the receipt's as `model_text` gives it."""
     off = receipts.select("rule_id", F.col("expression").alias("want")).join(
         nodes.select("rule_id", F.col("expression").alias("have")), "rule_id", "left"
     ).where(~F.col("want").eqNullSafe(F.col("have")))

@@ -250,6 +250,16 @@ def test_input_entries(spark):
     assert got == ["-", "ltv > 3", "(not(a))", "not(a) and not(b)", "(not(f(\")\") = (1)))", "not(a", "(not(a))"]
 
 
+def test_model_text_of_a_day_set(spark):
+    frame = spark.createDataFrame(
+        [("derived.business_days", "T"), ("derived.cd_receipt_date", "T")], "field string, text string"
+    )
+    for notation, start in (("expression", "filter(map([0..d(closing_date, "), ("feel", "(for i in 0..(date(closing_date)")):
+        got = [r.m for r in frame.select(gates.model_text(F.col("text"), notation).alias("m")).collect()]
+        assert got[0].startswith(start) and got[0].endswith((", T)", ")[T]")) and "{" not in got[0]
+        assert got[1] == "T"
+
+
 def test_audit(spark, pack):
     one = {k: v.where(F.col("pack").endswith("/one")) for k, v in pack.items()}
     sentences = spark.createDataFrame([("p", "Within three days.")], "sentence_id string, text string")
@@ -262,6 +272,7 @@ def test_audit(spark, pack):
     assert ("derived field", "p/d1", "derived.x is not a derived field of the vocabulary") in found
     assert ("decision", "p/d1", "no receipt in the second model") in found
     assert ("number", "p/r1", "number 3 is not stated") not in found
+    assert ("derived field", "p/d1", "the model differs from the receipt") in found
 
 
 def test_gates_over_a_pack_that_was_read(pack):
