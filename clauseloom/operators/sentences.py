@@ -71,9 +71,14 @@ def duplicates(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n_uses")).where(F.col("n_uses") > 1)
 
 
-@F.pandas_udf(T.BooleanType())
-def _not_nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: not unicodedata.is_normalized("NFC", t))
+def _not_nfc():
+    """The test as a local function, which travels to the executors by value: they need not have
+    this package installed."""
+
+    def not_nfc(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: not unicodedata.is_normalized("NFC", t))
+
+    return F.pandas_udf(not_nfc, T.BooleanType())
 
 
 def nfc_violations(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -82,7 +87,7 @@ def nfc_violations(texts: DataFrame, key: str, text: str) -> DataFrame:
     return (
         texts.select(key, text)
         .where(F.col(text).rlike(tx.MAY_COMPOSE))
-        .where(_not_nfc(F.col(text)))
+        .where(_not_nfc()(F.col(text)))
         .select(key)
     )
 

@@ -173,31 +173,38 @@ QUESTIONS = (
 )
 
 
-def _yaml_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import yaml
-
-    for batch in batches:
-        rows = []
-        for pack, text in zip(batch["pack"], batch["body"]):
-            data = yaml.safe_load(text) or {}
-            for q in data.get("questions") or []:
-                rows.append((pack, "question", q["id"], q["sentence_id"], q["issue"], None, None))
-                for r in q.get("readings") or []:
-                    rows.append((pack, "reading", q["id"], q["sentence_id"], r["reading"], r["id"], None))
-            for a in data.get("answers") or []:
-                rows.append((pack, "answer", a["question_id"], a["sentence_id"], a["reading"],
-                             a["reading_id"], a.get("answered_by")))
-            for b in data.get("blocked") or []:
-                rows.append((pack, "blocked", b["id"], b["sentence_id"], b["reason"], None, None))
-            for s in data.get("skipped_fixtures") or []:
-                rows.append((pack, "skipped_fixture", s["fixture"], s["subsection"], s["reason"], None, None))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in QUESTIONS.split(", ")])
-
-
 def question_rows(bodies: DataFrame) -> DataFrame:
     """Question and answer files (YAML) as rows with a `part`: question, reading, answer, blocked,
-    skipped_fixture. Files are parsed where they lie, a batch at a time."""
-    return bodies.select("pack", "body").mapInPandas(_yaml_rows, QUESTIONS)
+    skipped_fixture. Files are parsed where they lie, a batch at a time.
+
+    The parser is a local function, which travels to the executors by value: they need PyYAML, not
+    this package.
+    """
+    columns = [c.split()[0] for c in QUESTIONS.split(", ")]
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import yaml
+
+        for batch in batches:
+            rows = []
+            for pack, text in zip(batch["pack"], batch["body"]):
+                data = yaml.safe_load(text) or {}
+                for q in data.get("questions") or []:
+                    asked = (q["id"], q["sentence_id"])
+                    rows.append((pack, "question", *asked, q["issue"], None, None))
+                    for r in q.get("readings") or []:
+                        rows.append((pack, "reading", *asked, r["reading"], r["id"], None))
+                for a in data.get("answers") or []:
+                    rows.append((pack, "answer", a["question_id"], a["sentence_id"], a["reading"],
+                                 a["reading_id"], a.get("answered_by")))
+                for b in data.get("blocked") or []:
+                    rows.append((pack, "blocked", b["id"], b["sentence_id"], b["reason"], None, None))
+                for s in data.get("skipped_fixtures") or []:
+                    rows.append((pack, "skipped_fixture", s["fixture"], s["subsection"], s["reason"],
+                                 None, None))
+            yield pd.DataFrame(rows, columns=columns)
+
+    return bodies.select("pack", "body").mapInPandas(parse, QUESTIONS)
 
 
 def read_pack(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
