@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.llm.components import components
 from clauseloom.llm.shared import shuffle_partitions, written
-from clauseloom.llm.words import mix, ranges, row_blocks, text_bytes, word_hashes, word_spans
+from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, word_hashes, word_spans
 
 BLOCK = 300_000  # words worked on at a time
 PER_BUCKET = 2_000_000  # segment codes in a bucket, on average
@@ -91,7 +91,7 @@ def nodes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                          F.lit(0).cast("long").alias("n")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, 1)):
             keys, ns = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int64)
             for lo, hi, values, first in shingle_sets(batch.column(1), size):
                 keys[lo:hi], ns[lo:hi] = set_keys(values, first), np.diff(first)
@@ -167,7 +167,7 @@ def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: in
 
     def run(batches):
         seen = set()
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, 0)):
             for _, _, values, first in shingle_sets(batch.column(0), size):
                 keys = set_keys(values, first)
                 wanted = []
@@ -328,7 +328,7 @@ def needed_sets(docs: DataFrame, keys: DataFrame, text: str, size: int) -> DataF
 
     def run(batches):
         seen = set()
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, 0)):
             for _, _, values, first in shingle_sets(batch.column(0), size):
                 ks = set_keys(values, first).view(np.int64)
                 spots = ks & (FILTER_BITS - 1)
@@ -424,7 +424,7 @@ def emitted_sizes(docs: DataFrame, keys: DataFrame, text: str, size: int, percen
 
     def run(batches):
         seen = set()
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, 0)):
             for _, _, values, first in shingle_sets(batch.column(0), size):
                 ks = set_keys(values, first).view(np.int64)
                 spots = ks & (FILTER_BITS - 1)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clauseloom.llm.words import ranges, row_blocks, text_bytes, word_hashes, word_spans
+from clauseloom.llm.words import parts, ranges, row_blocks, text_bytes, word_hashes, word_spans
 
 BITS = 17
 SEGMENT = 48  # words per segment of the chain
@@ -290,7 +290,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     schema = docs.select(*keep, *made).schema
 
     def label_batches(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, b.schema.get_field_index(column))):
             texts = batch.column(batch.schema.get_field_index(column))
             names, values = ["und"] * len(texts), np.zeros(len(texts))
             if model.languages:
@@ -321,7 +321,7 @@ def label_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     schema = docs.select(key, F.array(F.lit("")).alias("languages")).schema
 
     def label_batches(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, 1)):
             rows = [[] for _ in range(batch.num_rows)]
             if model.languages:
                 for lo, hi, p, _, f in _blocks(model, batch.column(1)):

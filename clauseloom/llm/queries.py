@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import langid
+from clauseloom.llm import exact_dedup, jaccard, langid, mixing
 from clauseloom.llm.shared import remainder, table
+from clauseloom.llm.sql import ORACLES
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,7 +19,29 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of equal texts of every document, and which of them stays."""
+    return exact_dedup.groups(table(spark, folder, "documents"))
+
+
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of 0.75 and more of five-word shingles."""
+    return jaccard.join(table(spark, folder, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often every document occurs in a mixture with at most one and a half passes."""
+    return mixing.mixture(table(spark, folder, "documents")).select(
+        "doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"),
+        F.round("exponent", 6).alias("exponent"), "block", "copies",
+    )
+
+
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]

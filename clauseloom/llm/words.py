@@ -125,3 +125,14 @@ def row_blocks(first: np.ndarray, most: int):
         hi = max(lo + 1, int(np.searchsorted(first, first[lo] + most, "right")) - 1)
         yield lo, min(hi, n)
         lo = min(hi, n)
+
+
+def parts(batch: pa.RecordBatch, text: int, most: int = 8 << 20):
+    """Slices of the batch with some `most` bytes of text each, whole rows, one at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(False))
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
