@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, jaccard, langid, mixing
+from clauseloom.llm import exact_dedup, jaccard, langid, mixing, pieces
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -37,11 +37,21 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of every document, their score, and whether decoding gives the text back."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pieces.with_ids(
+        docs, pieces.load(), score="score", trip="round_trip", drop_text=True
+    )
+    return found.withColumn("n_pieces", F.size("ids").cast("long"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
