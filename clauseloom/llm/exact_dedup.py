@@ -35,7 +35,8 @@ def frequent(digests: DataFrame, column: str, capacity: int = CAPACITY) -> DataF
     parts = digests.groupBy((F.spark_partition_id() % TREE).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate({column}, {capacity})").alias("summary")
     )
-    whole = parts.agg(F.expr(f"approx_top_k_combine(summary, {capacity})").alias("summary"))
+    # Grouped, as a combination without rows, as in an empty partition, is an error.
+    whole = parts.groupBy((F.col("part") >= 0).alias("all")).agg(F.expr(f"approx_top_k_combine(summary, {capacity})").alias("summary"))
     named = whole.select(
         F.explode(F.expr(f"approx_top_k_estimate(summary, {capacity})")).alias("found")
     )
