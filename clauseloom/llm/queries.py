@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, jaccard, langid, mixing, pieces
+from clauseloom.llm import exact_dedup, jaccard, langid, lm, mixing, pieces
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -24,6 +24,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """The log10 probability of every document, learned from the rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, remainder("doc_id", 7) == 2)
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document under links of 0.75 and more of five-word shingles."""
     return jaccard.join(table(spark, folder, "documents"))
@@ -48,6 +54,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
