@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, jaccard, langid, lm, mixing, pieces
+from clauseloom.llm import exact_dedup, hamming, jaccard, langid, lm, mixing, pieces
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -19,6 +19,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op1_hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest rows, by sign bits, of every vector whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return hamming.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=10)
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The group of equal texts of every document, and which of them stays."""
     return exact_dedup.groups(table(spark, folder, "documents"))
@@ -53,6 +59,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hamming_top_k": op1_hamming_top_k,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_jaccard_join": op5_jaccard_join,

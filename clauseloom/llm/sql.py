@@ -3,6 +3,20 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op1_hamming_top_k": """
+        with bits as (
+            select vec_id, list_transform(embedding, lambda x: (x > 0)::int) as code from embeddings),
+        pairs as (
+            select q.vec_id as query_id, v.vec_id,
+                   list_sum(list_transform(list_zip(q.code, v.code), lambda x: xor(x[1], x[2])))::bigint
+                       as distance
+            from bits q join bits v on q.vec_id % 20 = 0 and v.vec_id <> q.vec_id),
+        ranked as (
+            select query_id, row_number() over (partition by query_id order by distance, vec_id)
+                       as rank, vec_id, distance
+            from pairs)
+        select * from ranked where rank <= 10
+    """,
     "op2_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                row_number() over (partition by coalesce(text, '') order by doc_id desc) = 1 as kept,
