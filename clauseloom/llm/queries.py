@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, hamming, jaccard, langid, lm, mixing, pieces
+from clauseloom.llm import exact_dedup, hamming, jaccard, langid, lm, mixing, pieces, quality
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -49,6 +49,14 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, learned from the labels that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(docs, labels.where(remainder("doc_id", 3) != 1))
+    marked = docs.select("doc_id", "text", (remainder("doc_id", 3) == 1).alias("held_out"))
+    return quality.predict(marked, model, keep=["doc_id", "held_out"])
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every document, their score, and whether decoding gives the text back."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -65,6 +73,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

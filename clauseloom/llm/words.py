@@ -62,7 +62,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the n + 1 offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, where, data = column.buffers()
