@@ -104,23 +104,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
             .select("query", "segment", F.col("whole").bitwiseXOR(F.col("flip")).alias("value"))
         )
         met = (
-            probes.join(index, ["segment", "value"])
+            probes.join(index.hint("merge"), ["segment", "value"])
             .where(_first_meeting("query", "code", count) == radius * count + F.col("segment"))
             .select("query", "code", _distance("query", "code").alias("distance"))
         )
         # A code gives one row at least: codes beyond the k + 1 nearest cannot matter.
         nearest = Window.partitionBy("query").orderBy("distance")
         close = met.withColumn("place", F.rank().over(nearest)).where(F.col("place") <= most)
-        found = close.join(entries.select("code", "id"), "code").select("query", "distance", "id")
+        found = close.join(entries.select("code", "id").hint("merge"), "code").select("query", "distance", "id")
         if best is not None:
             found = found.unionByName(best.select("query", "distance", "id"))
         best = written(_best(found, most), f"best-{radius}")
         covered = count * (radius + 1) - 1
         settled = best.where((F.col("nth") == enough) & (F.col("distance") <= covered)).select("query")
-        pending = written(pending.join(settled, "query", "left_anti"), "pending")
+        pending = written(pending.join(settled.hint("merge"), "query", "left_anti"), "pending")
         if radius == size or pending.isEmpty():
             break
-    answers = asked.join(best.withColumnRenamed("id", "other"), asked["code"] == best["query"])
+    answers = asked.join(best.withColumnRenamed("id", "other").hint("merge"), asked["code"] == best["query"])
     answers = answers.where(~F.col("id").eqNullSafe(F.col("other")))
     order = Window.partitionBy("id").orderBy("distance", "other")
     return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
