@@ -13,12 +13,15 @@ with more than D segments that are not empty has one of these in common with eac
 with fewer also emits its empty ones, which then meet those of other such sets.
 
 Steps: (1) a key for each text's set; equal sets are one node. (2) Segment codes, once per node and
-task, are dealt to buckets in packed arrays and sorted there; equal codes are runs. (3) Each run
-gives links to check from its first node to all others: as many as nodes, not pairs. (4) They are
-checked, by the Hamming bound of a dense sketch first, then by the sets. (5) Runs whose nodes are
-still in several components give the pairs across components. In a run of over LONG nodes, only nodes count
-that have no spare segments: one that has more than D segments in shorter runs meets all its partners
-there. So no link between components is lost, and boilerplate does not make pairs. (6) Components.
+task, are dealt to buckets in packed arrays and sorted there; equal codes are runs. (3) A node that
+emits e codes has at most D that a given partner does not share, so of all its codes, rarest first,
+one of the first D + 1 is shared with each partner, and the rarest shared one is among the first D + 1
+of both. All others are left out: most nodes have D + 1 codes that nobody shares and are done,
+and codes of boilerplate come last. (4) Each run of what is left gives pairs of one node and each other:
+as many as nodes. They are checked, by the Hamming bound of a dense sketch first, then by the sets.
+Runs whose nodes are still in several components do so again from another node. (5) In
+runs that are left nodes of different components are all compared, by size and sketch within the
+task; only pairs that may link leave it, so no link between components is lost. (6) Components.
 
 Keys and shingles are 64-bit hashes. Cases: null text is empty; null and repeated doc_ids get a row
 each; the component is named by its smallest doc_id. An empty table gives no rows. Other columns are
@@ -31,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clauseloom.llm.components import components
 from clauseloom.llm.shared import shuffle_partitions, written
@@ -38,7 +42,8 @@ from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, wor
 
 BLOCK = 300_000  # words worked on at a time
 PER_BUCKET = 2_000_000  # segment codes in a bucket, on average
-LONG = 32  # nodes of a run from which spare segments are counted
+PER_GROUP = 20_000  # rows of runs compared in one group, on average
+STARS = 2  # turns of checks against one node of each run, before all pairs across components
 FILTER_BITS = 1 << 23  # of the filter that tells which texts are needed again
 
 _STEP = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -86,18 +91,22 @@ def set_keys(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(doc_id, key, n): the set of every text, as a key and its size."""
+    """(doc_id, key, n, sketch): the set of every text, as a key, its size and a dense sketch."""
     schema = docs.select(F.col(key).alias("doc_id"), F.lit(0).cast("long").alias("key"),
-                         F.lit(0).cast("long").alias("n")).schema
+                         F.lit(0).cast("long").alias("n"),
+                         F.lit("").cast("binary").alias("sketch")).schema
 
     def run(batches):
         for batch in (p for b in batches for p in parts(b, 1)):
             keys, ns = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int64)
+            sketches = []
             for lo, hi, values, first in shingle_sets(batch.column(1), size):
                 keys[lo:hi], ns[lo:hi] = set_keys(values, first), np.diff(first)
+                sketches += [dense(values[a:b]) for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys.view(np.int64)), pa.array(ns)],
-                names=["doc_id", "key", "n"],
+                [batch.column(0), pa.array(keys.view(np.int64)), pa.array(ns),
+                 pa.array(sketches, pa.binary())],
+                names=["doc_id", "key", "n", "sketch"],
             )
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
@@ -121,19 +130,19 @@ def most_apart(band: np.ndarray, edges: np.ndarray, percent: int) -> np.ndarray:
 
 def segment_codes(values, first, edges, percent: int):
     """(node, turn, code) of the segments that nodes emit; turn 0: their own band, 1: the next.
-    Also (nodes, 2): how many each emits, and D."""
+    Also (nodes, 2): how many of these each may leave out, the most frequent ones."""
     n = np.diff(first)
     owner = np.repeat(np.arange(len(n)), n)
     out_node, out_turn, out_code = [], [], []
-    emitted, apart = np.zeros((len(n), 2), np.int64), np.zeros((len(n), 2), np.int64)
+    spare = np.zeros((len(n), 2), np.int64)
     if len(values) == 0:
         none = np.zeros(0, np.int64)
-        return none, none, none.view(np.uint64), emitted, apart
+        return none, none, none.view(np.uint64), spare
     code_of = values * _STEP[62]
     for turn in (0, 1):
         band = np.searchsorted(edges, np.maximum(n, 1), "right") - 1 + turn
         d = most_apart(band, edges, percent)
-        segments = np.where(d > 0, d * 47 // 32 + 3, 1)
+        segments = np.where(d > 0, d * 57 // 32 + 3, 1)
         seg = ((values >> np.uint64(32)) * segments[owner].astype(np.uint64)) >> np.uint64(32)
         new = np.ones(len(values), bool)
         new[1:] = (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1])
@@ -157,12 +166,12 @@ def segment_codes(values, first, edges, percent: int):
         out_code.append(mix(full))
         out_node.append(node)
         out_turn.append(np.full(len(node), turn))
-        emitted[:, turn], apart[:, turn] = np.bincount(node, minlength=len(n)), d
-    return (np.concatenate(out_node), np.concatenate(out_turn), np.concatenate(out_code), emitted, apart)
+        spare[:, turn] = np.maximum(used - d - 1, 0)
+    return (np.concatenate(out_node), np.concatenate(out_turn), np.concatenate(out_code), spare)
 
 
 def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, codes, slots, keys, turns): packed codes of each bucket, once per node and task."""
+    """(bucket, codes, counts, keys, turns, spare): packed codes, once per node and task."""
     edges = bounds(percent)
 
     def run(batches):
@@ -181,7 +190,8 @@ def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: in
                 number = np.diff(first)[wanted]
                 values = values[ranges(first[:-1][wanted], number)]
                 bound = np.concatenate([[0], np.cumsum(number)])
-                node, turn, code, *_ = segment_codes(values, bound, edges, percent)
+                node, turn, code, spare = segment_codes(values, bound, edges, percent)
+                spare = spare.ravel()
                 keys = keys[wanted]
                 bucket = ((code >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -198,17 +208,18 @@ def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: in
                         low[cut[b] : cut[b + 1]][by].tobytes(),
                         np.minimum(count, 0xFFFFFFFF).astype(np.uint32).tobytes(),
                         keys[own >> 1].tobytes(), (own & 1).astype(np.uint8).tobytes(),
+                        spare[own].astype(np.uint32).tobytes(),
                     ))
                 for lo in range(0, len(rows), 64):
                     part = packed[lo : lo + 64]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(rows[lo : lo + 64], pa.int32()),
-                         *(pa.array([p[j] for p in part], pa.binary()) for j in range(4))],
-                        names=["bucket", "codes", "counts", "keys", "turns"],
+                         *(pa.array([p[j] for p in part], pa.binary()) for j in range(5))],
+                        names=["bucket", "codes", "counts", "keys", "turns", "spare"],
                     )
 
     return docs.select(text).mapInArrow(
-        run, "bucket int, codes binary, counts binary, keys binary, turns binary"
+        run, "bucket int, codes binary, counts binary, keys binary, turns binary, spare binary"
     )
 
 
@@ -225,10 +236,9 @@ def runs_of(codes: np.ndarray):
 
 
 def in_runs(dealt: DataFrame) -> DataFrame:
-    """What the buckets show, by `kind`: 0: nodes a and b to check, sharing `n` codes here;
-    1: node b of run a, for runs of three and more, `n` = 1 where the run is long;
-    2: node a has `n` codes of turn b in long runs."""
-    schema = "kind int, a long, b long, n long"
+    """What the buckets show, by `kind`: 1: node a, in `turn`, has the code b, which n nodes have;
+    2: node a, in `turn`, has n such codes here and may leave out b of all its codes."""
+    schema = "kind int, a long, turn int, b long, n long"
 
     def run(group: pa.Table) -> pa.Table:
         def joined(name, kind):
@@ -236,60 +246,51 @@ def in_runs(dealt: DataFrame) -> DataFrame:
 
         counts = joined("counts", np.uint32).astype(np.int64)
         slot = np.repeat(np.arange(len(counts)), counts)
-        keys, turns = joined("keys", np.uint64), joined("turns", np.uint8)
-        place, number = runs_of(joined("codes", np.uint32))
-        key, turn = keys[slot[place]], turns[slot[place]].astype(np.int64)
-        order = np.lexsort((turn, key, number))
-        key, turn, number = key[order], turn[order], number[order]
+        keys, turns, spare = joined("keys", np.uint64), joined("turns", np.uint8), joined("spare", np.uint32)
+        codes = joined("codes", np.uint32)
+        place, number = runs_of(codes)
+        code, slot = codes[place], slot[place]
+        key = keys[slot]
+        order = np.lexsort((key, number))
+        key, number, code, slot = key[order], number[order], code[order], slot[order]
         new = np.ones(len(key), bool)  # a node that several tasks emitted counts once
         new[1:] = (key[1:] != key[:-1]) | (number[1:] != number[:-1])
-        key, turn, number = key[new], turn[new], number[new]
-        start = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(key) else number
-        length = np.diff(np.append(start, len(key)))
-        start, length = start[length > 1], length[length > 1]
-        at = ranges(start, length)
-        key, turn = key[at], turn[at]
-        first = np.cumsum(length) - length
-        lead = np.repeat(key[first], length) if len(key) else key
-        star = np.ones(len(key), bool)
-        star[first] = False
-        out = [np.zeros(0, np.int64)] * 4
-        parts = []
-        if star.any():
-            # Pairs of one leader are counted in one sort.
-            pair = np.stack([lead[star], key[star]])
-            by = np.lexsort((pair[1], pair[0]))
-            pair = pair[:, by]
-            edge = np.flatnonzero(np.concatenate([[True], (pair[:, 1:] != pair[:, :-1]).any(axis=0)]))
-            size = np.diff(np.append(edge, pair.shape[1]))
-            parts.append((0, pair[0, edge].view(np.int64), pair[1, edge].view(np.int64), size))
-            # Runs with the same nodes are one.
-            name = mix(np.add.reduceat(mix(key * _STEP[20]), first) + length.astype(np.uint64))
-            _, one = np.unique(name, return_index=True)
-            one = one[length[one] > 2]
-            member = key[ranges(first[one], length[one])]
-            parts.append((
-                1, np.repeat(name[one], length[one]).view(np.int64), member.view(np.int64),
-                np.repeat((length[one] > LONG).astype(np.int64), length[one]),
-            ))
-            far = np.repeat(length > LONG, length)
-            if far.any():
-                both = np.stack([key[far], turn[far].astype(np.uint64)])
-                which, size = np.unique(both, axis=1, return_counts=True)
-                parts.append((2, which[0].view(np.int64), which[1].view(np.int64), size))
-        if parts:
-            out = [
-                np.concatenate([np.full(len(p[1]), p[0]) for p in parts]),
-                *(np.concatenate([p[j] for p in parts]) for j in (1, 2, 3)),
-            ]
-        return pa.table(
-            [pa.array(out[0].astype(np.int32)), *(pa.array(np.ascontiguousarray(o, dtype=np.int64)) for o in out[1:])],
-            names=["kind", "a", "b", "n"],
-        )
+        key, number, code, slot = key[new], number[new], code[new], slot[new]
+        length = np.bincount(number)[number] if len(number) else number
+        many = length > 1
+        key, code, slot, length = key[many], code[many], slot[many], length[many]
+        turn = turns[slot].astype(np.int32)
+        bucket = group.column("bucket")[0].as_py() if group.num_rows else 0
+        run_id = (np.uint64(bucket) << np.uint64(32)) | code.astype(np.uint64)
+        by = np.lexsort((turn, key))
+        k, t, sp = key[by], turn[by], spare[slot[by]]
+        edge = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])])) if len(k) else by
+        size = np.diff(np.append(edge, len(k)))
+        columns = [
+            np.concatenate([np.full(len(key), 1), np.full(len(edge), 2)]).astype(np.int32),
+            np.concatenate([key, k[edge]]).view(np.int64),
+            np.concatenate([turn, t[edge]]).astype(np.int32),
+            np.concatenate([run_id.view(np.int64), sp[edge].astype(np.int64)]),
+            np.concatenate([length, size]).astype(np.int64),
+        ]
+        return pa.table([pa.array(c) for c in columns], names=["kind", "a", "turn", "b", "n"])
 
     return dealt.groupBy("bucket").applyInArrow(run, schema)
 
 
+def kept_members(found: DataFrame) -> DataFrame:
+    """(run, key): for each node and turn the rarest codes, as many as exactness asks for; runs of
+    one node are gone."""
+    open_nodes = (
+        found.where("kind = 2").groupBy("a", "turn")
+        .agg((F.sum("n") - F.max("b")).alias("asked")).where("asked > 0")
+    )
+    order = Window.partitionBy("a", "turn").orderBy("n", "b")
+    ranked = found.where("kind = 1").select("a", "turn", "b", "n").join(open_nodes, ["a", "turn"])
+    kept = ranked.withColumn("nth", F.row_number().over(order)).where("nth <= asked")
+    return kept.select(F.col("b").alias("run"), F.col("a").alias("key")).distinct()
+
+
 # --- checking ----------------------------------------------------------------------------------
 
 
@@ -323,7 +324,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
 
 
 def needed_sets(docs: DataFrame, keys: DataFrame, text: str, size: int) -> DataFrame:
-    """(key, n, sketch, members) of the nodes in `keys`: a dense sketch, the sorted shingles."""
+    """(key, members) of the nodes in `keys`: their sorted shingles."""
     bits = key_filter(keys)
 
     def run(batches):
@@ -338,26 +339,30 @@ def needed_sets(docs: DataFrame, keys: DataFrame, text: str, size: int) -> DataF
                     if ks[i] not in seen:
                         seen.add(ks[i])
                         v = values[first[i] : first[i + 1]]
-                        rows.append((int(ks[i]), len(v), dense(v), v.tobytes()))
+                        rows.append((int(ks[i]), v.tobytes()))
                 for a in range(0, len(rows), 256):
                     part = list(zip(*rows[a : a + 256]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()),
-                         pa.array(part[2], pa.binary()), pa.array(part[3], pa.binary())],
-                        names=["key", "n", "sketch", "members"],
+                        [pa.array(part[0], pa.int64()), pa.array(part[1], pa.binary())],
+                        names=["key", "members"],
                     )
 
-    found = docs.select(text).mapInArrow(run, "key long, n long, sketch binary, members binary")
+    found = docs.select(text).mapInArrow(run, "key long, members binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
-def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: by sizes, then sketches, then whole sets."""
-    def sides(frame: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            named = sets.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-            frame = frame.join(named, side)
-        return frame
+def sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b) with columns of both ends."""
+    for side in ("a", "b"):
+        named = table.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        pairs = pairs.join(named, side)
+    return pairs
+
+
+def checked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text: str, size: int,
+            percent: int) -> DataFrame:
+    """The pairs (a, b) that link: by sizes, then sketches (both in `sets`), then whole sets, which
+    are made again of the texts that are still in question."""
 
     def near(batches):
         for batch in batches:
@@ -389,88 +394,116 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  batch.column("b").take(pa.array(keep, pa.int64()))], names=["a", "b"],
             )
 
-    sized = sides(pairs.select("a", "b"), "n", "sketch").where(
+    sized = sides(pairs.select("a", "b"), sets, "n", "sketch").where(
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     )
-    close = sized.mapInArrow(near, "a long, b long")
-    return sides(close, "members").mapInArrow(linked, "a long, b long")
-
-
-def unresolved(found: DataFrame, sizes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of nodes of one run in different components that no shorter run settles."""
-    member = found.where("kind = 1").select(F.col("a").alias("run"), F.col("b").alias("key"),
-                                            F.col("n").alias("long")).distinct()
-    member = member.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    split = member.groupBy("run").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
-    member = written(member.join(split.select("run"), "run", "left_semi"), "split-runs")
-    # Nodes that are not settled by their codes in shorter runs, per band they emit for.
-    spare = found.where("kind = 2").groupBy(F.col("a").alias("key"), F.col("b").alias("turn")).agg(
-        F.sum("n").alias("far")
-    ).join(sizes, "key")
-    bound = (F.col("emitted")[F.col("turn").cast("int")] - F.col("far")
-             <= F.col("apart")[F.col("turn").cast("int")])
-    tight = spare.where(bound).select("key").distinct()
-    short = member.where("long = 0").select("run", "key", "root")
-    far = member.where("long = 1").join(tight, "key", "left_semi").select("run", "key", "root")
-    both = short.unionByName(far)
-    other = both.select("run", F.col("key").alias("b"), F.col("root").alias("other"))
-    pairs = both.join(other, "run").where((F.col("root") < F.col("other")))
-    return pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-
-
-def emitted_sizes(docs: DataFrame, keys: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """(key, emitted, apart) of nodes in long runs: codes per band and D, worked out again."""
-    edges, bits = bounds(percent), key_filter(keys)
-
-    def run(batches):
-        seen = set()
-        for batch in (p for b in batches for p in parts(b, 0)):
-            for _, _, values, first in shingle_sets(batch.column(0), size):
-                ks = set_keys(values, first).view(np.int64)
-                spots = ks & (FILTER_BITS - 1)
-                hit = ((bits[spots >> 6] >> (spots & 63)) & 1 == 1) & (ks != 0)
-                wanted = [i for i in np.flatnonzero(hit) if ks[i] not in seen and not seen.add(ks[i])]
-                number = np.diff(first)[wanted]
-                bound = np.concatenate([[0], np.cumsum(number)])
-                picked = values[ranges(first[:-1][wanted], number)]
-                *_, emitted, apart = segment_codes(picked, bound, edges, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ks[wanted]), pa.array(emitted.tolist(), pa.list_(pa.int64())),
-                     pa.array(apart.tolist(), pa.list_(pa.int64()))],
-                    names=["key", "emitted", "apart"],
-                )
-
-    found = docs.select(text).mapInArrow(run, "key long, emitted array<long>, apart array<long>")
-    return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
+    close = written(sized.mapInArrow(near, "a long, b long"), "close")
+    ends = close.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    whole = needed_sets(docs, written(ends, "ends"), text, size)
+    return sides(close, whole, "members").mapInArrow(linked, "a long, b long")
+
+
+def split_runs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(run, key, root) of the runs whose nodes are in several components."""
+    placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    split = placed.groupBy("run").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
+    return written(placed.join(split.select("run"), "run", "left_semi"), "split-runs")
+
+
+def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the leader of each run, another one each turn, with the nodes of other components."""
+    drawn = F.struct(F.xxhash64("key", F.lit(turn)), "key", "root")
+    leads = placed.groupBy("run").agg(F.min(drawn).alias("lead"))
+    pairs = placed.join(leads, "run").where(F.col("root") != F.col("lead.root"))
+    return pairs.select(
+        F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")
+    ).distinct()
+
+
+def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of nodes of one run in different components whose sizes and sketches allow
+    a link. Only these leave the task; runs are dealt to groups of some PER_GROUP rows."""
+    rows = placed.join(sets.select("key", "n", "sketch"), "key")
+    groups = max(shuffle_partitions(placed.sparkSession), placed.count() // PER_GROUP + 1)
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("run"), F.lit(groups)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        run, key, root, n = (table.column(c).to_numpy() for c in ("run", "key", "root", "n"))
+        sketches = table.column("sketch").to_pylist()
+        order = np.argsort(run, kind="stable")
+        cut = np.flatnonzero(np.concatenate([[True], run[order][1:] != run[order][:-1], [True]]))
+        out = [np.zeros((2, 0), np.int64)]
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            at = order[lo:hi]
+            size = min(len(sketches[i]) for i in at)
+            # Folded to the shortest, which keeps the bound.
+            bits = np.stack([
+                np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint8).reshape(-1, size), axis=0)
+                for i in at
+            ])
+            k, r, m = key[at], root[at], n[at]
+            for j in range(len(at) - 1):
+                rest = slice(j + 1, None)
+                apart = np.bitwise_count(bits[rest] ^ bits[j]).sum(axis=1, dtype=np.int64)
+                fits = (r[rest] != r[j]) & (apart <= (m[rest] + m[j]) * (100 - percent) // (100 + percent))
+                fits &= 100 * np.minimum(m[rest], m[j]) >= percent * np.maximum(m[rest], m[j])
+                if fits.any():
+                    other = k[rest][fits]
+                    out.append(np.stack([np.minimum(other, k[j]), np.maximum(other, k[j])]))
+        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
+        return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    found = dealt.groupBy("group").applyInArrow(compare, "a long, b long")
+    return found.distinct()
 
 
 # --- the join ------------------------------------------------------------------------------------
 
 
-def links(docs: DataFrame, all_nodes: DataFrame, text: str, size: int, percent: int) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     """(a, b): enough links between nodes to connect every pair that is linked in any way."""
     spark = docs.sparkSession
-    total = all_nodes.agg(F.sum("n")).first()[0] or 0
+    total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), total // PER_BUCKET + 1)
     dealt = dealt_codes(docs, text, size, percent, buckets)
-    found = written(in_runs(dealt), "runs")
-    pairs = written(found.where("kind = 0").select("a", "b").distinct(), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(needed_sets(docs, ends, text, size), "sets")
-    first = written(checked(pairs, sets, percent), "links")
-    roots = components(first)
-    far = found.where("kind = 2").select(F.col("a").alias("key")).distinct()
-    sizes = written(emitted_sizes(docs, far, text, size, percent), "emitted")
-    more = written(unresolved(found, sizes, roots, percent), "more-pairs")
-    return first.unionByName(written(checked(more, sets, percent), "more-links"))
+    members = written(kept_members(written(in_runs(dealt), "runs")), "members")
+    # Runs of the same nodes are one.
+    sets_of = members.groupBy("run").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("key")).alias("x"), F.min("key").alias("y")
+    ).where("size > 1").groupBy("size", "x", "y").agg(F.min("run").alias("run"))
+    members = written(members.join(sets_of.select("run", "size"), "run"), "distinct-runs")
+    alone = spark.createDataFrame([], "key long, root long")
+    placed = members.withColumn("root", F.col("key"))
+    found, roots = None, alone
+    for turn in range(STARS):
+        pairs = written(star_pairs(placed, turn), "pairs")
+        new = written(checked(pairs, docs, sets, text, size, percent), "links")
+        found = new if found is None else found.unionByName(new)
+        if turn and new.isEmpty():
+            break
+        roots = components(found)
+        # A run of two nodes has been checked as a whole.
+        placed = split_runs(members.where("size > 2").drop("size"), roots)
+    more = written(cross_pairs(placed, sets, percent), "more-pairs")
+    if more.isEmpty():
+        return found
+    return found.unionByName(
+        written(checked(more, docs, sets, text, size, percent), "more-links")
+    )
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
          percent: int = 75) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
     all_nodes = written(nodes(docs, key, text, size), "nodes")
-    roots = components(written(links(docs, all_nodes, text, size, percent), "all-links"))
-    least = all_nodes.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+    least = written(
+        all_nodes.where("n > 0").groupBy("key").agg(
+            F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        ),
+        "sets",
+    )
+    roots = components(links(docs, least, text, size, percent))
+    least = least.select("key", "least")
     placed = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(placed.join(smallest, "root").select("key", "component_id"), "named")

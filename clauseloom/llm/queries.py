@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, hamming, jaccard, langid, lm, mixing, pieces, quality
+from clauseloom.llm import exact_dedup, hamming, html_text, jaccard, langid, lm, mixing, pieces, quality
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -41,6 +41,12 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page, without anything around it."""
+    pages = table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.train(pages), keep=["page_id", "url"])
+
+
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often every document occurs in a mixture with at most one and a half passes."""
     return mixing.mixture(table(spark, folder, "documents")).select(
@@ -71,6 +77,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_html_extraction": op6_html_extraction,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,

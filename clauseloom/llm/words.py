@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_MULT), -1, 1 << 64))
-WINDOW = 1 << 20  # bytes hashed at a time, so that the arrays stay in cache
+WINDOW = 1 << 18  # bytes hashed at a time, so that the arrays stay in cache
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -127,7 +127,7 @@ def row_blocks(first: np.ndarray, most: int):
         lo = min(hi, n)
 
 
-def parts(batch: pa.RecordBatch, text: int, most: int = 8 << 20):
+def parts(batch: pa.RecordBatch, text: int, most: int = 3 << 20):
     """Slices of the batch with some `most` bytes of text each, whole rows, one at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(False))
     at = 0
