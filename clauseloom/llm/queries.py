@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, hamming, html_text, jaccard, langid, lm, mixing, pieces, quality
+from clauseloom.llm import exact_dedup, hamming, html_text, jaccard, langid, lm, mixing, pieces, pii, quality
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -36,6 +36,11 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(docs, remainder("doc_id", 7) == 2)
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.extract(table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document under links of 0.75 and more of five-word shingles."""
     return jaccard.join(table(spark, folder, "documents"))
@@ -76,6 +81,7 @@ QUERIES = {
     "op1_hamming_top_k": op1_hamming_top_k,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_pii": op4_pii,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_html_extraction": op6_html_extraction,
     "op7_source_mixing": op7_source_mixing,
