@@ -19,8 +19,8 @@ one of the first D + 1 is shared with each partner, and the rarest shared one is
 of both. All others are left out: most nodes have D + 1 codes that nobody shares and are done,
 and codes of boilerplate come last. (4) Each run of what is left gives pairs of one node and each other:
 as many as nodes. They are checked, by the Hamming bound of a dense sketch first, then by the sets.
-Runs whose nodes are still in several components do so again from another node. (5) In
-runs that are left nodes of different components are all compared, by size and sketch within the
+(5) In runs
+whose nodes are still in several components, nodes of different components are all compared, by size and sketch within the
 task; only pairs that may link leave it, so no link between components is lost. (6) Components.
 
 Keys and shingles are 64-bit hashes. Cases: null text is empty; null and repeated doc_ids get a row
@@ -43,7 +43,7 @@ from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, wor
 BLOCK = 300_000  # words worked on at a time
 PER_BUCKET = 2_000_000  # segment codes in a bucket, on average
 PER_GROUP = 20_000  # rows of runs compared in one group, on average
-STARS = 2  # turns of checks against one node of each run, before all pairs across components
+STARS = 1  # turns of checks against one node of each run, before all pairs across components
 FILTER_BITS = 1 << 23  # of the filter that tells which texts are needed again
 
 _STEP = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -425,7 +425,11 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a link. Only these leave the task; runs are dealt to groups of some PER_GROUP rows."""
     rows = placed.join(sets.select("key", "n", "sketch"), "key")
     groups = max(shuffle_partitions(placed.sparkSession), placed.count() // PER_GROUP + 1)
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64("run"), F.lit(groups)))
+    # Runs with the same first node mostly have the same nodes: they go together.
+    first = rows.groupBy("run").agg(F.min("key").alias("first"))
+    dealt = rows.join(first, "run").withColumn(
+        "group", F.pmod(F.xxhash64("first"), F.lit(groups))
+    ).drop("first")
 
     def compare(table: pa.Table) -> pa.Table:
         run, key, root, n = (table.column(c).to_numpy() for c in ("run", "key", "root", "n"))
@@ -450,6 +454,8 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if fits.any():
                     other = k[rest][fits]
                     out.append(np.stack([np.minimum(other, k[j]), np.maximum(other, k[j])]))
+            if sum(o.shape[1] for o in out) > 100_000:
+                out = [np.unique(np.concatenate(out, axis=1), axis=1)]
         pairs = np.unique(np.concatenate(out, axis=1), axis=1)
         return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
