@@ -4,16 +4,14 @@ The array form works out a window per loan. Loans share holiday lists, so the ca
 builds one calendar per list with a running count of business days; then "the third business day
 after" and "business days between" are array look-ups by day number.
 
-The calendars are joined by broadcast. Their size has a bound that does not grow with the loans:
-at most MAX_CALENDARS lists (the most used ones) times MAX_DAYS days times two 4-byte arrays, some
-12 MB, whichever lists the caller gives; a list longer than the days themselves gets none. Loans with a rarer list or a window outside the calendar take the array form in the next
-step of the same row, so the result is whole and the same.
+Every list that occurs gets a calendar, over the days its own loans span. Calendars are joined by the
+list; they are broadcast only after their size was counted and found small, and otherwise meet the
+loans in an equi-join. A caller may give lists that leave loans out, and some loans have no window;
+these take the array form in the next step of the same row, so the result is whole and the same.
 """
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,13 +20,11 @@ from clauseloom.functions import dates
 from clauseloom.model import PAD_DAYS, Pack
 from clauseloom.operators.rules import fired
 
-MAX_CALENDARS = 64
-FIRST_DAY, LAST_DAY = date(1990, 1, 1), date(2050, 12, 31)
-MAX_DAYS = (LAST_DAY - FIRST_DAY).days + 1
+BROADCAST_DAYS = 2_000_000  # days of all calendars up to which they are broadcast, 8 bytes each
 
 
-def holiday_lists(loans: DataFrame, limit: int = MAX_CALENDARS) -> DataFrame:
-    """(holidays, lo, hi): the most used holiday lists with the days their loans span.
+def holiday_lists(loans: DataFrame) -> DataFrame:
+    """(holidays, lo, hi): every holiday list with the days its loans span.
 
     Partial aggregation leaves one row per list and task, however many loans share the list.
     """
@@ -36,29 +32,22 @@ def holiday_lists(loans: DataFrame, limit: int = MAX_CALENDARS) -> DataFrame:
         loans.where(F.col("calendar.holidays").isNotNull())
         .groupBy(F.col("calendar.holidays").alias("holidays"))
         .agg(
-            F.count("*").alias("n_loans"),
             F.min(F.date_sub(F.least("cd.issue_date", "closing_date"), PAD_DAYS)).alias("lo"),
             F.max(F.date_add(F.greatest("cd.issue_date", "closing_date"), PAD_DAYS)).alias("hi"),
         )
-        .orderBy(F.desc("n_loans"), "holidays")
-        .limit(limit)
     )
-    return _bounded(used)
+    return used.where(F.col("lo") <= F.col("hi"))
 
 
-def _bounded(lists: DataFrame) -> DataFrame:
-    """Lists within the bound of the broadcast: their number, their length, their days."""
-    fitting = lists.where(F.size("holidays") <= MAX_DAYS).limit(MAX_CALENDARS)
-    return fitting.select(
-        "holidays",
-        F.greatest("lo", F.lit(FIRST_DAY)).alias("lo"),
-        F.least("hi", F.lit(LAST_DAY)).alias("hi"),
-    ).where(F.col("lo") <= F.col("hi"))
+def _placed(index: DataFrame, lists: DataFrame) -> DataFrame:
+    """The calendars, marked for broadcast if the days of all of them are few."""
+    days = lists.agg(F.sum(F.datediff("hi", "lo") + 1)).first()[0] or 0
+    return F.broadcast(index) if days <= BROADCAST_DAYS else index
 
 
 def calendar_dim(lists: DataFrame) -> DataFrame:
     """(holidays, day, is_business, n_before): every day of each list's range with the number of
-    business days before it. One window partition is one calendar, at most MAX_DAYS rows."""
+    business days before it. One window partition is one calendar, the days its loans span."""
     days = lists.select(
         "holidays", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day")
     )
@@ -73,7 +62,7 @@ def calendar_dim(lists: DataFrame) -> DataFrame:
 
 def calendar_index(lists: DataFrame) -> DataFrame:
     """One row per list: `lo`, `hi`, `n_before` by day number from `lo`, and the business days in
-    order. Each group is one calendar, at most MAX_DAYS rows."""
+    order. Each group is one calendar."""
     packed = (
         calendar_dim(lists)
         .groupBy("holidays")
@@ -97,7 +86,8 @@ def with_calendar(
     all run in the stage of the join, so that calendar arrays are read in place and never copied
     into rows. Numbers and dates only leave the last of them.
     """
-    index = calendar_index(holiday_lists(loans) if lists is None else _bounded(lists))
+    lists = holiday_lists(loans) if lists is None else lists
+    index = _placed(calendar_index(lists), lists)
     columns = loans.columns
     bounded = loans.withColumns(
         {
@@ -107,7 +97,7 @@ def with_calendar(
         }
     )
     joined = bounded.join(
-        F.broadcast(index), F.col("holidays") == F.col("calendar_holidays"), "left"
+        index, F.col("holidays") == F.col("calendar_holidays"), "left"
     )
     keep = [*columns, "window_lo", "window_hi", "holidays"]
     lo, hi = F.col("window_lo"), F.col("window_hi")

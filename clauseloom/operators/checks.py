@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clauseloom.model import NOT_APPLICABLE, DaySet, Pack
 from clauseloom.operators.rules import decision_rows, paragraphs, verdict, with_decisions
-from clauseloom.operators.rows import value_rows
+from clauseloom.operators.rows import catalogue, value_rows
 
 # What a test case expects: a result, or a value, or days.
 EXPECTED = "struct<result:string,value:string,includes:array<date>,excludes:array<date>>"
@@ -102,7 +102,7 @@ def rules_under_test(tests: DataFrame, rules: DataFrame) -> DataFrame:
         "test_id", "rule_id"
     )
     by_paragraph = tests.where(F.col("subsection").isNotNull()).select("test_id", "subsection").join(
-        rules.select("rule_id", "subsection"), "subsection"
+        catalogue(rules.select("rule_id", "subsection")), "subsection"
     ).select("test_id", "rule_id")
     return own.unionByName(by_paragraph)
 

@@ -134,6 +134,15 @@ def _number_detail(notation: str) -> Column:
     )
 
 
+def _next_whole(digits: Column) -> Column:
+    """The whole number after the one written in digits, of any length, as text."""
+    head = F.regexp_extract(digits, r"^(\d*?)([0-8]?)9*$", 1)
+    last = F.regexp_extract(digits, r"^(\d*?)([0-8]?)9*$", 2)
+    nines = F.length(digits) - F.length(head) - F.length(last)
+    raised = F.when(last == "", F.lit("1")).otherwise(F.translate(last, "012345678", "123456789"))
+    return F.concat(head, raised, F.repeat(F.lit("0"), nines))
+
+
 def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     """Numbers of a rule that its quote does not state. Quote and rule are in one row, so the
     set difference needs no join. Steps keep the generated code small enough to be compiled."""
@@ -142,7 +151,7 @@ def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     )
     shift = 1 if notation == "expression" else 0
     value = F.col("value")
-    position = F.when(value.rlike(r"^\d{1,18}$"), (value.cast("bigint") + shift).cast("string"))
+    position = F.when(value.rlike(r"^\d+$"), _next_whole(value) if shift else value)
     valued = numbers.select(
         "rule_id", "name", "role", "stated",
         F.col("name").startswith("-").alias("negative"),

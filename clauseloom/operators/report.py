@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clauseloom.functions import names
 from clauseloom.model import LOAN_VOCABULARY, Vocabulary
 from clauseloom.operators.checks import disagreements
+from clauseloom.operators.rows import catalogue
 
 
 def readback(
@@ -88,9 +89,9 @@ def explain(verdicts: DataFrame, receipts: DataFrame, sentences: DataFrame, key:
     """Verdicts with the quote and the sentence behind them.
 
     Receipts meet their sentences first; that table is of the size of the catalogue, and the
-    verdicts meet it once.
+    verdicts meet it once, where it is.
     """
     basis = receipts.select("rule_id", "sentence_id", "quote").join(
         sentences.select("sentence_id", F.col("text").alias("sentence")), "sentence_id"
     )
-    return verdicts.join(basis, "rule_id").select(key, "rule_id", "result", "sentence_id", "quote", "sentence")
+    return verdicts.join(catalogue(basis), "rule_id").select(key, "rule_id", "result", "sentence_id", "quote", "sentence")

@@ -16,3 +16,12 @@ def value_rows(frame: DataFrame, keep: list, name: str, *values: Column) -> Data
     return frame.select(*keep, F.explode(F.array(*values)).alias(name)).where(
         F.col(name).isNotNull()
     )
+
+
+CATALOGUE_ROWS = 10_000
+
+
+def catalogue(frame: DataFrame) -> DataFrame:
+    """A table of rules or receipts, marked for broadcast if it was counted and found small. Without a
+    mark a join may broadcast the facts instead, whose size is not known to be bounded."""
+    return F.broadcast(frame) if frame.limit(CATALOGUE_ROWS + 1).count() <= CATALOGUE_ROWS else frame

@@ -246,7 +246,7 @@ SQL: dict[str, str] = {
     "quotes": """
         select sentence_id || '/r1' as rule_id,
           case when (doc_id + n) % 29 = 0 then 'x' || sentence_id else sentence_id end as sentence_id,
-          case when (doc_id + n) % 7 = 0 then '-' || text else substr(text, 3, 200) end as quote
+          case when (doc_id + n) % 7 = 0 then '-' || text else substr(text, 3) end as quote
         from {doc_sentences}""",
 }
 

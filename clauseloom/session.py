@@ -29,13 +29,16 @@ def local_session(cores: int | str = 8, name: str = "clauseloom", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`.
 
-    A cluster names it. Where it is unset, as in a test, a local folder stands in.
+    A cluster names it; without it a job on a cluster stops here, as executors do not share their own
+    folders. Where it is unset in a local session, as in a test, a temporary folder stands in.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="clauseloom-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="clauseloom-")
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

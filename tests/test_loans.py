@@ -85,7 +85,7 @@ def test_calendar_form(frame, loans):
 
 def test_calendar_form_with_few_calendars(frame, loans):
     """Lists that got no calendar go through the array form of the same plan."""
-    lists = calendar.holiday_lists(frame, limit=1)
+    lists = calendar.holiday_lists(frame).orderBy("lo", "holidays").limit(1)
     assert rows(calendar.evaluate_by_calendar(frame, timing_pack(), lists=lists)) == wanted(loans)
     none = calendar.holiday_lists(frame).where("false")
     assert rows(calendar.evaluate_by_calendar(frame, timing_pack(), lists=none)) == wanted(loans)
@@ -100,8 +100,25 @@ def test_calendar_arrays_stay_in_the_stage_of_the_join(frame):
     assert "CartesianProduct" not in plan
 
 
-def test_calendar_size_has_a_bound():
-    assert calendar.MAX_CALENDARS * calendar.MAX_DAYS * 8 < 16 * 2**20
+def test_every_list_and_every_day_has_its_calendar(frame):
+    """Many lists, and days long ago and far ahead: no calendar and no day is left out."""
+    many = frame.limit(1).crossJoin(frame.sparkSession.range(200).withColumnRenamed("id", "k")).withColumn(
+        "calendar", F.struct(F.array(F.date_add(F.lit("2020-01-01"), F.col("k").cast("int"))).alias("holidays"))
+    )
+    assert calendar.holiday_lists(many).count() == 200
+    for issue in ("1885-03-02", "1985-03-02", "2060-03-02"):
+        old = many.withColumns({
+            "cd": F.col("cd").withField("issue_date", F.to_date(F.lit(issue))),
+            "closing_date": F.date_add(F.to_date(F.lit(issue)), 9),
+        })
+        dim = calendar.calendar_dim(calendar.holiday_lists(old))
+        assert dim.select("holidays").distinct().count() == 200
+        assert dim.where(F.col("day") == F.lit(issue)).count() == 200
+
+
+def test_calendars_too_large_to_broadcast(frame, loans, monkeypatch):
+    monkeypatch.setattr(calendar, "BROADCAST_DAYS", 0)
+    assert rows(calendar.evaluate_by_calendar(frame, timing_pack())) == wanted(loans)
 
 
 def test_property_of_three_days(frame, loans):
