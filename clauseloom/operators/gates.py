@@ -49,7 +49,7 @@ def quote_missing(receipts: DataFrame, sentences: DataFrame) -> DataFrame:
     """
     cited = sentences.select(F.col("sentence_id"), F.col("text").alias("sentence_text"))
     checked = cited.join(receipts.select("rule_id", "sentence_id", "quote"), "sentence_id").select(
-        "rule_id", F.contains("sentence_text", "quote").alias("found")
+        "rule_id", F.coalesce(F.contains("sentence_text", "quote"), F.lit(False)).alias("found")
     )
     status = receipts.select("rule_id", "sentence_id").join(checked, "rule_id", "left")
     wrong = status.where(F.col("found").isNull() | ~F.col("found"))
@@ -80,14 +80,15 @@ def source_drift(receipts: DataFrame, sources: DataFrame) -> DataFrame:
             F.col("source_sha256").alias("d_sha"),
             F.col("current_sha256").isNull().alias("gone"),
         ),
-        (F.col("source") == F.col("d_source")) & F.col("source_sha256").eqNullSafe(F.col("d_sha")),
+        F.col("source").eqNullSafe(F.col("d_source")) & F.col("source_sha256").eqNullSafe(F.col("d_sha")),
     )
     return _finding(
         hit,
         "source",
         "rule_id",
-        F.when(F.col("gone"), F.concat(F.lit("no source "), "source")).otherwise(
-            F.concat(F.lit("hash differs for "), "source")
+        F.concat(
+            F.when(F.col("gone"), F.lit("no source ")).otherwise(F.lit("hash differs for ")),
+            F.coalesce("source", F.lit("null")),
         ),
     )
 
@@ -388,27 +389,31 @@ def orphans(receipts: DataFrame, rows: DataFrame) -> DataFrame:
 
 def graph_integrity(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Per pack: node ids used twice, edges to nodes that are not there, rules without exactly
-    two inputs and two outputs. Subjects are `pack/id`."""
-    nodes = nodes.select(
-        F.concat_ws("/", "pack", "node_id").alias("subject"), "n_inputs", "n_outputs"
-    )
-    twice = nodes.groupBy("subject").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    two inputs and two outputs. Subjects read `pack/id`; pack and id are compared apart, so that
+    a slash in either makes no two nodes one."""
+    subject = F.concat_ws("/", "pack", "node_id")
+    odd = F.coalesce((F.col("n_inputs") != 2) | (F.col("n_outputs") != 2), F.lit(False))
+    # One grouping tells which nodes are there, which twice, and which are odd.
+    there = nodes.groupBy("pack", "node_id").agg(F.count("*").alias("n"), F.max(odd).alias("odd"))
     ends = edges.select(
-        F.concat_ws("/", "pack", "edge_id").alias("edge"),
+        "pack", F.concat_ws("/", "pack", "edge_id").alias("edge"),
         F.explode(F.array("source_id", "target_id")).alias("node_id"),
-        "pack",
-    ).select("edge", F.concat_ws("/", "pack", "node_id").alias("subject"))
+    )
     # Many edges may name one node: named nodes meet the nodes once each, and only the few that
     # are not there go back to the edges.
-    lost = ends.select("subject").distinct().join(nodes.select("subject").distinct(), "subject", "left_anti")
-    dangling = ends.join(lost, "subject")
-    odd = nodes.where((F.col("n_inputs") != 2) | (F.col("n_outputs") != 2)).select("subject").distinct()
-    return (
-        _finding(twice, "graph", "subject", "id is used twice")
-        .unionByName(
-            _finding(dangling, "graph", "edge", F.concat(F.lit("names no node: "), "subject"))
-        )
-        .unionByName(_finding(odd, "graph", "subject", "needs two inputs and two outputs"))
+    named = ends.select("pack", "node_id").distinct().alias("e")
+    same = F.col("e.pack").eqNullSafe(F.col("n.pack")) & F.col("e.node_id").eqNullSafe(F.col("n.node_id"))
+    lost = named.join(there.alias("n"), same, "left_anti").alias("n")
+    dangling = ends.alias("e").join(lost, same).select("edge", "e.pack", "e.node_id")
+    broken = there.select(
+        subject.alias("subject"),
+        F.explode(F.array(
+            F.when(F.col("n") > 1, "id is used twice"),
+            F.when(F.col("odd"), "needs two inputs and two outputs"),
+        )).alias("detail"),
+    ).where(F.col("detail").isNotNull())
+    return _finding(broken, "graph", "subject", F.col("detail")).unionByName(
+        _finding(dangling, "graph", "edge", F.concat(F.lit("names no node: "), subject))
     )
 
 

@@ -457,7 +457,8 @@ CHECKS: dict[str, str] = {
         select 'source' as "check", rule_id as subject,
           case when doc_id is null then 'no source ' else 'hash differs for ' end || c.source as detail
         from {citations} c left join {documents} on c.source = 'doc-' || doc_id
-        where doc_id is null or version <> 'current'""",
+        where doc_id is null
+          or sha256(case when version = 'current' then text else text || ' (older)' end) <> sha256(text)""",
     "stated_numbers": _stated("s", "{documents}", "doc_id", "text"),
     "stated_quote_numbers": "select rule_id, value from {stated_quotes}",
     "number_gate": _number_gate("uses_1", 1) + " union all " + _number_gate("uses_2", 0),

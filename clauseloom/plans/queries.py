@@ -509,15 +509,20 @@ def quote_missing(i: Inputs) -> DataFrame:
 
 @query
 def source_drift(i: Inputs) -> DataFrame:
-    documents = i["documents"]
-    sources = sentences.fingerprints(
-        documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("source"), "text"),
-        "source", "text",
+    """Receipts recorded the hash of the text they were taken from; some of an older text."""
+    texts = i["documents"].select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("source"), "text"
     )
-    cited = i["citations"].select(
-        "rule_id", "source", F.sha2(F.concat("source", F.lit(" "), "version"), 256).alias("source_sha256")
+    now = sentences.fingerprints(texts, "source", "text")
+    older = sentences.fingerprints(
+        texts.select("source", F.concat("text", F.lit(" (older)")).alias("text")), "source", "text"
+    )
+    known = now.join(older.withColumnRenamed("sha256", "older"), "source")
+    cited = i["citations"].join(known, "source", "left").select(
+        "rule_id", "source",
+        F.when(F.col("version") == "current", F.col("sha256")).otherwise(F.col("older"))
+        .alias("source_sha256"),
     )
-    now = sources.select("source", F.sha2(F.concat("source", F.lit(" current")), 256).alias("sha256"))
     return gates.source_drift(cited, now)
 
 

@@ -242,3 +242,26 @@ def test_readback_and_explanation(spark):
     }
     verdicts = spark.createDataFrame([(7, "p/r1", "pass")], "loan_id int, rule_id string, result string")
     assert tuple(report.explain(verdicts, receipts, sentences).first()) == (7, "p/r1", "pass", "p", "Text", "Text one.")
+
+
+def test_a_slash_makes_no_two_nodes_one(spark):
+    nodes = spark.createDataFrame(
+        [("a", "b/c", 2, 2), ("a/b", "c", 2, 2), (None, "x", 2, 2)],
+        "pack string, node_id string, n_inputs long, n_outputs long",
+    )
+    edges = spark.createDataFrame(
+        [("a", "e1", "b/c", "b/c"), (None, "e2", "x", "x"), ("a/b", "e3", "c", "b/c")],
+        "pack string, edge_id string, source_id string, target_id string",
+    )
+    assert [r.subject for r in gates.graph_integrity(nodes, edges).collect()] == ["a/b/e3"]
+
+
+def test_null_quotes_and_sources_are_findings(spark):
+    receipts = spark.createDataFrame(
+        [("r1", "s", None, None, "h"), ("r2", "s", "text", "f", "h")],
+        "rule_id string, sentence_id string, quote string, source string, source_sha256 string",
+    )
+    sentences = spark.createDataFrame([("s", "the text")], "sentence_id string, text string")
+    sources = spark.createDataFrame([("f", "h")], "source string, sha256 string")
+    assert [r.detail for r in gates.quote_missing(receipts, sentences).collect()] == ["quote not in s"]
+    assert [r.detail for r in gates.source_drift(receipts, sources).collect()] == ["no source null"]
