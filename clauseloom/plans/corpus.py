@@ -59,6 +59,15 @@ SQL: dict[str, str] = {
           o_totalprice as amount
         from {orders}""",
     # Loan files as they arrive: dates are text, some are no dates, some methods are unknown.
+    # chr(123) and chr(125) are the braces.
+    "arrived_bodies": """
+        select o_orderkey as loan_id,
+          case when o_orderkey % 41 = 0 then concat(chr(123), '"note": ', chr(123), '"amount": ', cast(o_orderkey as string))
+            when o_orderkey % 43 = 0 then ' '
+            when o_orderkey % 47 = 0 then concat('[', cast(o_orderkey as string), ']')
+            else concat(chr(123), '"note": ', cast(o_orderkey as string), ', "status": "', o_orderstatus, '"', chr(125))
+          end as body
+        from {orders}""",
     "raw_loans": """
         select loan_id,
           case when loan_id % 41 = 0 then 'not a date' when loan_id % 53 = 0 then '1997-02-30'

@@ -316,6 +316,11 @@ CHECKS: dict[str, str] = {
           {_parsed('closing_date')} as closing_date, timeshare,
           case when loan_id % 61 <> 0 then {len(holiday_dates())} end as n_holidays
         from {{raw_loans}}""",
+    "unreadable_files": """
+        select 'unreadable' as "check", cast(loan_id as string) as subject,
+          case when trim(body) = '' then 'empty file' else 'not a JSON object' end as detail
+        from {arrived_bodies}
+        where not json_valid(body) or json_type(case when json_valid(body) then body end) <> 'OBJECT'""",
     "conformance_report": f"""
         select loan_id, 'cd.issue_date' as field, 'not a date' as problem from {{raw_loans}}
           where issue_date is not null and {_parsed('issue_date')} is null

@@ -78,6 +78,12 @@ def loan_files(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def unreadable_files(i: Inputs) -> DataFrame:
+    """Bodies of loan files as they arrive: some are cut off, some empty, some no object."""
+    return packs.unreadable(i["arrived_bodies"], "loan_id")
+
+
 @query
 def conformance_report(i: Inputs) -> DataFrame:
     return conform.conform(_raw_nested(i), "loan_id")

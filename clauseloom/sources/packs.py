@@ -207,6 +207,17 @@ def question_rows(bodies: DataFrame) -> DataFrame:
     return bodies.select("pack", "body").mapInPandas(parse, QUESTIONS)
 
 
+def unreadable(bodies: DataFrame, name: str = "pack", body: str = "body") -> DataFrame:
+    """(check, subject, detail): JSON files that do not parse, or whose top is no object. Readers
+    make no rows of them, so without this finding an unreadable pack would look sound."""
+    keys = F.json_object_keys(F.col(body))
+    return bodies.where(keys.isNull()).select(
+        F.lit("unreadable").alias("check"), F.col(name).cast("string").alias("subject"),
+        F.when(F.trim(F.coalesce(F.col(body), F.lit(""))) == "", "empty file")
+        .otherwise("not a JSON object").alias("detail"),
+    )
+
+
 def read_pack(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All relations of the packs under `folder`, which may be a glob over many packs."""
     out = dict(receipt_tables(read_bodies(spark, f"{folder}/receipts.json")))
