@@ -1,13 +1,16 @@
 """Main text of web pages: boosted trees over DOM nodes, decoded along the tree.
 
-A page is parsed to a tree of elements. Each element has features: the text in its subtree and its
-density (text per tag, share of text in links, sentences), its depth and place among siblings, their
+A page is parsed to a tree of elements. What stands directly in an element, text and inline elements
+between two blocks or double line breaks, is a text node of its own with the element as its parent, also
+outside <body> and in a page without tags; an element that holds one such run and nothing else is a text
+node itself. Inline elements are part of their text node and
+never decided apart. Each node has features: the text in its subtree and its density (text per tag, share of text in links, sentences), its depth and place among siblings, their
 number and likeness, its tag, and whether words of its class, id and role stand for content or for
 something else. Gradient-boosted trees give three probabilities: all of its text is main text
 (content), none is (other), or some is (mixed).
 
-Decoding chooses a state for every element at once: below `other` all is other; below `mixed` and
-`content` anything but mixed below content is open. The best sum of log probabilities over the whole tree
+Decoding chooses a state for every node at once: below `other` all is other; below `mixed` and
+`content` anything but mixed below content is open. A text node is content or other, never mixed. The best sum of log probabilities over the whole tree
 is found from the leaves upwards, so an ancestor and a descendant never contradict each other.
 
 Training pages are made from real ones. Pages whose main text is marked by an <article> or <main>
@@ -18,7 +21,8 @@ structure and not one template.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks follow in
 page order with one space between. Scripts, styles and the like have no text. Cases: null or empty
-html, or a page without main text: empty text. Unclosed and stray tags are mended as browsers do in
+html, or a page without main text: empty text. A page without block elements is main text as a
+whole. Unclosed and stray tags are mended as browsers do in
 the common cases. If no page has marked main text, the trees fall back on the class names alone.
 """
 
@@ -46,11 +50,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section "
-                     "table ul".split())
+                     "table ul x-main x-other".split())
+HELPERS = ("x-main", "x-other")  # of training pages
 SIBLINGS = {"li": ("ul", "ol", "menu"), "td": ("tr", "table"), "th": ("tr", "table"),
             "tr": ("table",), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}
 GROUPS = ("p", "li", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form",
-          "h1", "h2", "table", "ul", "blockquote", "body", "a")
+          "h1", "h2", "table", "ul", "blockquote", "body", "a", "#text")
 # Usual words of class, id and role attributes.
 CONTENT_WORDS = ("article", "content", "main", "post", "entry", "story", "body", "text", "blog",
                  "page", "hentry", "prose", "news")
@@ -69,12 +74,13 @@ TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "children", "marked")
+    __slots__ = ("tag", "words", "parent", "children", "marked", "text")
 
     def __init__(self, tag, words=(), parent=None):
         self.tag, self.words, self.parent = tag, words, parent
         self.children: list = []  # nodes and texts in order
         self.marked = None
+        self.text = tag == "#text"
 
 
 class Tree(HTMLParser):
@@ -123,16 +129,107 @@ def parse(html: str) -> Node:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    return tree.root
+    return boxed(tree.root)
+
+
+def boxed(root: Node) -> Node:
+    """Puts each run of text and inline elements into a text node. Only white space stays outside, and
+    what is all of an element makes that element a text node."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(c for c in node.children if isinstance(c, Node) and c.tag not in SILENT)
+    blocks = set()  # elements that are blocks or hold one
+    for node in reversed(order):
+        if node.tag not in INLINE and (node.tag not in VOID or node.tag == "hr") or id(node) in blocks:
+            blocks.add(id(node))
+            if node.parent is not None:
+                blocks.add(id(node.parent))
+    for node in order:
+        if id(node) not in blocks and node is not root:
+            continue
+        out, run, breaks = [], [], 0
+
+        def close():
+            if any(_has_text(c) for c in run):
+                box = Node("#text", (), node)
+                box.children = list(run)
+                out.append(box)
+            else:
+                out.extend(run)
+            run.clear()
+
+        for c in node.children:
+            if isinstance(c, Node) and id(c) in blocks:
+                close()
+                out.append(c)
+                breaks = 0
+                continue
+            if isinstance(c, Node) and c.tag == "br":
+                breaks += 1
+            elif _has_text(c):
+                if breaks > 1:
+                    close()
+                breaks = 0
+            run.append(c)
+        close()
+        node.children = out
+        if node.tag not in HELPERS:
+            _joined(node)
+    return root
+
+
+def _joined(node: Node) -> None:
+    """Makes an element with one text node and nothing else a text node."""
+    inner = [c for c in node.children if isinstance(c, Node)]
+    if len(inner) == 1 and inner[0].tag == "#text" and node.parent is not None:
+        at = node.children.index(inner[0])
+        node.children[at : at + 1] = inner[0].children
+        node.text = True
+        node.marked = inner[0].marked if node.marked is None else node.marked
+
+
+def _pieces(items: list):
+    """(text, whether in a link) of what is in a text node, with None where a word ends."""
+    todo = [(c, False) for c in reversed(items)]
+    while todo:
+        item, linked = todo.pop()
+        if isinstance(item, str):
+            yield item, linked
+        elif item.tag in SILENT:
+            continue
+        elif item.tag not in INLINE:
+            yield None, linked
+        else:
+            todo.extend((c, linked or item.tag == "a") for c in reversed(item.children))
+
+
+def _has_text(item) -> bool:
+    return any(t is not None and not t.isspace() and t for t, _ in _pieces([item]))
+
+
+def _around(items: list) -> tuple:
+    """Class words of the outermost inline elements that hold all of a text node."""
+    words = ()
+    for _ in range(4):
+        full = [c for c in items if _has_text(c)]
+        if len(full) != 1 or isinstance(full[0], str):
+            break
+        words += tuple(full[0].words)
+        items = full[0].children
+    return words
 
 
 def nodes_of(root: Node) -> list[Node]:
-    """Elements in page order, parents first; silent ones and what is in them are left out."""
+    """Blocks and text nodes in page order, parents first; silent ones and what is in them are left out."""
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         out.append(node)
-        todo.extend(c for c in reversed(node.children) if isinstance(c, Node) and c.tag not in SILENT)
+        if not node.text:
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node)
+                        and c.tag not in SILENT and (c.tag == "#text" or c.tag not in VOID or c.tag == "hr"))
     return out
 
 
@@ -142,15 +239,20 @@ N_FEATURES = 20 + len(GROUPS)
 
 
 def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
-    """(features, parents) of the elements of one page; parent of the root: -1."""
+    """(features, parents) of the nodes of one page; parent of the root: -1."""
     place = {id(n): i for i, n in enumerate(nodes)}
     n = len(nodes)
     parent = np.array([place[id(x.parent)] if x.parent is not None else -1 for x in nodes])
+    names = [tuple(x.words) for x in nodes]
     own = np.zeros((n, 5))  # characters, words, sentence ends, characters in links, tags
     for i, x in enumerate(nodes):
-        text = " ".join(c for c in x.children if isinstance(c, str))
-        words = text.split()
-        own[i] = (sum(map(len, words)), len(words), sum(w[-1] in ".!?;,:" for w in words), 0, 1)
+        own[i, 4] = 1
+        if x.text:
+            pieces = list(_pieces(x.children))
+            words = "".join(" " if t is None else t for t, _ in pieces).split()
+            own[i] = (sum(map(len, words)), len(words), sum(w[-1] in ".!?;,:" for w in words),
+                      sum(len("".join(t.split())) for t, linked in pieces if linked and t), 1)
+            names[i] += _around(x.children)
     in_link = np.zeros(n, bool)
     depth = np.zeros(n)
     for i in range(1, n):
@@ -166,8 +268,8 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
     for i in range(n):
         before[i] = count
         count += own[i, 0]
-    good = np.array([sum(w in CONTENT_WORDS for w in y.words) for y in nodes], float)
-    bad = np.array([sum(w in OTHER_WORDS for w in y.words) for y in nodes], float)
+    good = np.array([sum(w in CONTENT_WORDS for w in y) for y in names], float)
+    bad = np.array([sum(w in OTHER_WORDS for w in y) for y in names], float)
     up_good, up_bad = good.copy(), bad.copy()
     for i in range(1, n):
         up_good[i] += up_good[parent[i]]
@@ -195,8 +297,9 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
     x[1:, 18] = x[parent[1:], 6]
     x[1:, 19] = x[parent[1:], 8]
     for i, y in enumerate(nodes):
-        if y.tag in GROUPS:
-            x[i, 20 + GROUPS.index(y.tag)] = 1
+        for tag in (y.tag, y.parent.tag) if y.tag == "#text" else (y.tag,):
+            if tag in GROUPS:
+                x[i, 20 + GROUPS.index(tag)] = 1
     return x, parent
 
 
@@ -281,6 +384,7 @@ def _softmax(s):
 # --- decoding ---------------------------------------------------------------------------------------
 
 CONTENT, OTHER, MIXED = 0, 1, 2
+NEVER = -1e9
 
 
 def decode(log_p: np.ndarray, parent: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -311,15 +415,21 @@ def main_texts(pages: list[str | None], model: Boosted) -> list[str]:
     log_p = model.log_probabilities(np.concatenate([x for x, _ in made]))
     out, at = [], 0
     for nodes, (x, parent) in zip(trees, made):
-        state = decode(log_p[at : at + len(nodes)], parent, 1 + np.sqrt(x[:, 17]))
+        text = np.array([n.text for n in nodes])
+        if all(n.tag in ("#root", "#text", "hr") for n in nodes):  # no blocks: nothing is around the text
+            state = np.full(len(nodes), CONTENT)
+        else:
+            page = log_p[at : at + len(nodes)].copy()
+            page[text, MIXED] = NEVER
+            state = decode(page, parent, 1 + np.sqrt(x[:, 17]))
         out.append(text_where(nodes, state))
         at += len(nodes)
     return out
 
 
 def text_where(nodes: list[Node], state) -> str:
-    """Text of the elements in state CONTENT, in page order, in blocks."""
-    kept = {id(n): s == CONTENT for n, s in zip(nodes, state)}
+    """Text of the text nodes in state CONTENT, in page order, in blocks."""
+    kept = {id(n) for n, s in zip(nodes, state) if s == CONTENT}
     out, todo = [], [nodes[0]]
     while todo:
         item = todo.pop()
@@ -329,14 +439,13 @@ def text_where(nodes: list[Node], state) -> str:
             out.append(" ")
         elif item.tag in SILENT:
             continue
+        elif item.text and id(item) not in kept:
+            out.append(" ")
         else:
-            edge = item.tag not in INLINE
-            if edge:
+            if item.tag not in INLINE and item.tag != "#text":
                 out.append(" ")
                 todo.append(())
-            for child in reversed(item.children):
-                if isinstance(child, Node) or kept.get(id(item), False):
-                    todo.append(child)
+            todo.extend(reversed(item.children))
     return " ".join("".join(out).split())
 
 
@@ -344,15 +453,14 @@ def text_where(nodes: list[Node], state) -> str:
 
 
 def labelled(root: Node) -> tuple[list[Node], np.ndarray]:
-    """Elements and their truth from `marked` (True: main text) of the nearest marked ancestor."""
+    """Nodes and their truth from `marked` (True: main text) of the nearest marked ancestor."""
     nodes = nodes_of(root)
     place = {id(n): i for i, n in enumerate(nodes)}
     main, own = np.zeros(len(nodes), bool), np.zeros((len(nodes), 2))
     for i, x in enumerate(nodes):
         above = main[place[id(x.parent)]] if x.parent is not None else False
         main[i] = above if x.marked is None else x.marked
-        words = sum(len(c.split()) for c in x.children if isinstance(c, str))
-        own[i, 0 if main[i] else 1] = words
+        own[i, 0 if main[i] else 1] = x.text
     for i in range(len(nodes) - 1, 0, -1):
         own[place[id(nodes[i].parent)]] += own[i]
     label = np.where(own[:, 1] == 0, np.where(own[:, 0] > 0, CONTENT, np.where(main, CONTENT, OTHER)),
@@ -394,7 +502,12 @@ def rewritten(blocks: list[str], other: list[list[str]], rng: random.Random) ->
 
     def advert():
         return box(rng.choice(("div", "aside")), ("ad", "ads", "advert", "sponsored", "promo banner"),
-                   rng.choice((paragraphs(1, 4, 30), words(rng.randint(3, 25)))))
+                   rng.choice((paragraphs(1, 4, 30), words(rng.randint(3, 25)),
+                               words(rng.randint(3, 25)) + paragraphs(1, 4, 30))))
+
+    def loose():
+        return "<hr>" + rng.choice((f"&copy; {words(rng.randint(2, 8))}", words(rng.randint(1, 6)),
+                                    f"<a href='/'>{words(2)}</a> | <a href='/x'>{words(1)}</a>"))
 
     def form():
         return f"<form>{words(3)}<input><button>{words(1)}</button>{paragraphs(rng.randint(0, 1), 3, 20)}</form>"
@@ -415,11 +528,21 @@ def rewritten(blocks: list[str], other: list[list[str]], rng: random.Random) ->
                    rng.choice((f"&copy; {words(8)}", paragraphs(1, 3, 30), links(4) + words(6))))
 
     extras = (menu, header, advert, notice, form, sidebar)
+    if len(blocks) > 1 and rng.random() < 0.25:  # without its title
+        blocks = blocks[1:]
     inner = []
     head = [f"<h1>{escape(blocks[0])}</h1>"] if rng.random() < 0.8 else [f"<p>{escape(blocks[0])}</p>"]
     style = rng.random()
+    bare = rng.random() < 0.25  # text directly in its container, or in no container at all
+    mostly = rng.choice((0.4, 1.0))
+    if bare and rng.random() < 0.4:
+        head = [escape(blocks[0]) + rng.choice(("<br>", "<br><br>"))]
     for b in blocks[1:]:
-        if style < 0.15:
+        if bare and rng.random() < mostly:
+            inner.append(escape(b) + rng.choice(("<br>", "<br>", "<br><br>", "<hr>")))
+            if rng.random() < 0.2:
+                inner.append("<x-other>" + rng.choice((advert, notice))() + "</x-other>")
+        elif style < 0.15:
             inner.append(f"<p><b>{escape(b)}<br>")
         elif rng.random() < 0.1:
             inner.append(f"<h2>{escape(' '.join(b.split()[:5]))}</h2><p>{escape(b)}</p>")
@@ -441,55 +564,52 @@ def rewritten(blocks: list[str], other: list[list[str]], rng: random.Random) ->
     if rng.random() < 0.2:
         inside += "<x-other>" + comments() + "</x-other>"
     core = f"<{tag}{attr}><x-main>{inside}</x-main></{tag}>"
+    if bare and rng.random() < 0.4:
+        core = f"<x-main>{inside}</x-main>"
     before = "".join(f() for f in rng.sample(extras, rng.randint(0, 4)))
-    after = "".join(f() for f in rng.sample((*extras, comments, footer), rng.randint(0, 4)))
+    after = "".join(f() for f in rng.sample((*extras, comments, footer, loose), rng.randint(0, 4)))
     if rng.random() < 0.3:
         core = f'<div class="{rng.choice(("wrapper", "container", "page", "layout"))}">{core}{rng.choice((sidebar, advert, comments))()}</div>'
-    return f"<html><body>{before}{core}{after}{footer() if rng.random() < 0.7 else ''}</body></html>"
+    foot = footer() if rng.random() < 0.7 else ""
+    if bare and rng.random() < 0.2:
+        before = after = foot = ""
+    if bare and rng.random() < 0.35:  # text behind the end of the page
+        return f"<html><body>{before}{after}{foot}</body></html>{core}"
+    return f"<html><body>{before}{core}{after}{foot}</body></html>"
 
 
 def with_truth(html: str) -> tuple[list[Node], np.ndarray]:
     """The tree of a rewritten page: the two helper elements become marks of what is around them."""
     root = parse(html)
-    for node in nodes_of(root):
-        for i, child in enumerate(list(node.children)):
-            if isinstance(child, Node) and child.tag in ("x-main", "x-other"):
-                for c in child.children:
-                    if isinstance(c, Node):
-                        c.parent = node
-                        c.marked = child.tag == "x-main"
-                at = node.children.index(child)
-                node.children[at : at + 1] = child.children
-    changed = True
-    while changed:  # helpers inside what a helper held
-        changed = False
-        for node in nodes_of(root):
-            for child in list(node.children):
-                if isinstance(child, Node) and child.tag in ("x-main", "x-other"):
-                    for c in child.children:
-                        if isinstance(c, Node):
-                            c.parent = node
-                            c.marked = child.tag == "x-main"
-                    at = node.children.index(child)
-                    node.children[at : at + 1] = child.children
-                    changed = True
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        out, items = [], [(c, None) for c in reversed(node.children)]
+        while items:
+            c, mark = items.pop()
+            if isinstance(c, Node) and c.tag in HELPERS:
+                items.extend((k, c.tag == "x-main") for k in reversed(c.children))
+                continue
+            if isinstance(c, Node):
+                c.parent = node
+                c.marked = mark if c.marked is None else c.marked
+                if not c.text:
+                    todo.append(c)
+            out.append(c)
+        node.children = out
+        _joined(node)
     return labelled(root)
 
 
 def marked_blocks(html: str) -> tuple[list[str], list[str]]:
-    """(blocks of the marked main text, other blocks) of a page with <article> or <main>."""
-    main, other = [], []
-    todo = [(parse(html), False)]
-    while todo:
-        node, inside = todo.pop()
-        inside = inside or node.tag in ("article", "main")
-        text = " ".join(
-            " ".join(c if isinstance(c, str) else "".join(t for t in c.children if isinstance(t, str))
-                     if c.tag in INLINE else " " for c in node.children).split()
-        )
-        if text and node.tag not in INLINE:
-            (main if inside else other).append(text)
-        todo.extend((c, inside) for c in reversed(node.children) if isinstance(c, Node) and c.tag not in SILENT)
+    """(text nodes of the marked main text, others) of a page with <article> or <main>."""
+    main, other, inside = [], [], set()
+    for node in nodes_of(parse(html)):
+        if node.tag in ("article", "main") or id(node.parent) in inside:
+            inside.add(id(node))
+        if node.text:
+            text = "".join(" " if t is None else t for t, _ in _pieces(node.children))
+            (main if id(node) in inside else other).append(" ".join(text.split()))
     return main, other
 
 

@@ -278,6 +278,41 @@ def test_html_main_text(spark):
     assert "y" not in got[33].text
 
 
+STORY = ("The first paragraph of the story goes on for a while, and then it ends here.",
+         "The second one tells what came next, with some more words in it.",
+         "The third says how it all came out, and that is the end of it.")
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>About us</a></li></ul></nav>"
+ADVERT = "<div class=ad>Buy this now.</div>"
+
+
+@pytest.fixture(scope="module")
+def page_model():
+    rng = random.Random(5)
+
+    def words(low, high):
+        return " ".join("".join(rng.choices("aeinorst", k=rng.randint(1, 9)))
+                        for _ in range(rng.randint(low, high)))
+
+    return html_text.fit([
+        f"<html><body><article><h1>{words(2, 8)}</h1>" + "".join(
+            f"<p>{words(5, 30)}, {words(3, 30)}.</p>" for _ in range(rng.randint(1, 9)))
+        + f"</article><footer>{words(2, 8)}</footer></body></html>" for _ in range(60)
+    ])
+
+
+def test_html_text_directly_in_containers(page_model):
+    a, b, c = STORY
+    pages = {
+        f"<html><body>{MENU}<article>{a}<br>{b}{ADVERT}{c}</article><footer>&copy; x</footer></body></html>": (a, b, c),
+        f"<html><body>{MENU}{a}<br>{b}</body></html>": (a, b),
+        f"<html><body>{MENU}{a}<br><br>{b}<br><br>{c}</body></html>": (a, b, c),
+        f"<html><body>{MENU}{ADVERT}</body></html>{a} {b}": (a, b),
+        f"{a}\n{b}<br>{c}": (a, b, c),
+        "no tags": ("no tags",),
+    }
+    assert html_text.main_texts(list(pages), page_model) == [" ".join(w) for w in pages.values()]
+
+
 def test_html_states_never_contradict():
     rng = np.random.default_rng(7)
     for _ in range(100):
