@@ -45,9 +45,12 @@ PAGE_BYTES = 30_000  # size of sampled pages at most
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template noscript head title svg iframe object select textarea "
-                   "button option math canvas audio video datalist".split())
+                   "button option canvas audio video datalist annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
-                   "q s samp small span strike strong sub sup time tt u var wbr".split())
+                   "q s samp small span strike strong sub sup time tt u var wbr math semantics mi mn mo "
+                   "ms mtext mrow msup msub msubsup mmultiscripts mfrac msqrt mroot munder mover "
+                   "munderover mstyle mpadded mphantom menclose mtable mtr mtd".split())
+APART = frozenset(("mtr", "mtd"))  # inline, with white space around
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section "
                      "table ul x-main x-other".split())
@@ -202,6 +205,8 @@ def _pieces(items: list):
         elif item.tag not in INLINE:
             yield None, linked
         else:
+            if item.tag in APART:
+                yield None, linked
             todo.extend((c, linked or item.tag == "a") for c in reversed(item.children))
 
 
@@ -442,7 +447,7 @@ def text_where(nodes: list[Node], state) -> str:
         elif item.text and id(item) not in kept:
             out.append(" ")
         else:
-            if item.tag not in INLINE and item.tag != "#text":
+            if item.tag not in INLINE and item.tag != "#text" or item.tag in APART:
                 out.append(" ")
                 todo.append(())
             todo.extend(reversed(item.children))
@@ -527,6 +532,31 @@ def rewritten(blocks: list[str], other: list[list[str]], rng: random.Random) ->
         return box("footer", ("footer", "site-footer", "copyright"),
                    rng.choice((f"&copy; {words(8)}", paragraphs(1, 3, 30), links(4) + words(6))))
 
+    rich = rng.choice((0, 0, 0.03, 0.15))  # share of words that begin an inline element
+
+    def marked_up(text):
+        if rng.random() < (0.04 if len(text.split()) > 4 else 0.25) * (rich > 0):
+            return f'<a href="/{rng.randint(1, 99)}">{escape(text)}</a>'
+        words_of, made, at = text.split(), [], 0
+        while at < len(words_of):
+            n = 1
+            if rng.random() < rich:
+                n = rng.randint(1, 6)
+                tag = rng.choice(("a", "a", "a", "em", "strong", "code", "span", "b", "i", "sup", "cite"))
+                attr = f' href="/{n}"' if tag == "a" else ""
+                made.append(f"<{tag}{attr}>{escape(' '.join(words_of[at : at + n]))}</{tag}>")
+            else:
+                made.append(escape(words_of[at]))
+            at += n
+        return " ".join(made)
+
+    def cells(text):
+        few = re.findall(r"(?:\S+\s*){1,4}", text)
+        rows = [few[i : i + 3] for i in range(0, len(few), 3)]
+        return "<table>" + "".join("<tr>" + "".join(
+            f"<{'th' if not i and rng.random() < 0.5 else 'td'}>{marked_up(c)}" for c in r) + "</tr>"
+            for i, r in enumerate(rows)) + "</table>"
+
     extras = (menu, header, advert, notice, form, sidebar)
     if len(blocks) > 1 and rng.random() < 0.25:  # without its title
         blocks = blocks[1:]
@@ -539,21 +569,27 @@ def rewritten(blocks: list[str], other: list[list[str]], rng: random.Random) ->
         head = [escape(blocks[0]) + rng.choice(("<br>", "<br><br>"))]
     for b in blocks[1:]:
         if bare and rng.random() < mostly:
-            inner.append(escape(b) + rng.choice(("<br>", "<br>", "<br><br>", "<hr>")))
+            inner.append(marked_up(b) + rng.choice(("<br>", "<br>", "<br><br>", "<hr>")))
             if rng.random() < 0.2:
                 inner.append("<x-other>" + rng.choice((advert, notice))() + "</x-other>")
         elif style < 0.15:
-            inner.append(f"<p><b>{escape(b)}<br>")
+            inner.append(f"<p><b>{marked_up(b)}<br>")
         elif rng.random() < 0.1:
-            inner.append(f"<h2>{escape(' '.join(b.split()[:5]))}</h2><p>{escape(b)}</p>")
+            inner.append(f"<h2>{escape(' '.join(b.split()[:5]))}</h2><p>{marked_up(b)}</p>")
         elif rng.random() < 0.1:
-            inner.append("<ul>" + "".join(f"<li>{escape(x)}</li>" for x in re.findall(r"(?:\S+\s*){1,9}", b)) + "</ul>")
+            inner.append("<ul>" + "".join(f"<li>{marked_up(x)}</li>" for x in re.findall(r"(?:\S+\s*){1,9}", b)) + "</ul>")
         elif rng.random() < 0.1:
-            inner.append(f"<blockquote>{escape(b)}</blockquote>")
+            inner.append(f"<blockquote>{marked_up(b)}</blockquote>")
+        elif rng.random() < 0.06:
+            inner.append(cells(b))
+        elif rng.random() < 0.06:
+            inner.append(rng.choice((f"<pre>{marked_up(b)}</pre>", f"<pre><code>{escape(b)}</code></pre>",
+                                     f"<figure><img><figcaption>{marked_up(' '.join(b.split()[:12]))}</figcaption></figure><p>{marked_up(b)}</p>",
+                                     f"<dl><dt>{words(2)}</dt><dd>{marked_up(b)}</dd></dl>")))
         elif style > 0.9:
-            inner.append(f"<div>{escape(b)}</div>")
+            inner.append(f"<div>{marked_up(b)}</div>")
         else:
-            inner.append(f"<p>{escape(b)}</p>")
+            inner.append(f"<p>{marked_up(b)}</p>")
         if rng.random() < 0.08:
             inner.append("<x-other>" + rng.choice((advert, form, notice, sidebar))() + "</x-other>")
     inside = "".join(head + inner)

@@ -313,6 +313,20 @@ def test_html_text_directly_in_containers(page_model):
     assert html_text.main_texts(list(pages), page_model) == [" ".join(w) for w in pages.values()]
 
 
+def test_html_inline_markup_stays_in_its_sentence(page_model):
+    a, b, c = STORY
+    head, foot = f"<html><body>{MENU}<article><h1>A title of it</h1>", "</article><footer>&copy; x</footer></body></html>"
+    pages = {
+        f"{head}<p>See <a href='/x'>the long and full report</a> and <em>the</em> <code>code</code>. {a}</p><p>{b}</p>{foot}":
+            f"A title of it See the long and full report and the code. {a} {b}",
+        f"{head}<p>{a} <a href='/y'>{b}</a> <span>And</span> <strong><a href='/z'>more</a></strong>.</p><p>{c}</p>{foot}":
+            f"A title of it {a} {b} And more. {c}",
+        f"{head}<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> be. {a}</p><p>{b}</p>{foot}":
+            f"A title of it Let x=2 be. {a} {b}",
+    }
+    assert html_text.main_texts(list(pages), page_model) == list(pages.values())
+
+
 def test_html_states_never_contradict():
     rng = np.random.default_rng(7)
     for _ in range(100):
