@@ -5,8 +5,9 @@ end and all byte bi- and trigrams, each hashed to one row of a weight table with
 language. Transition weights between neighbouring words are learned. The forward-backward pass
 gives each word its probability of each language, so code-switched text gets labels per word.
 
-Fitting takes at most `per_language` documents of each language, whole ones of at most
-`fit_bytes` bytes: those with the smallest hash of their id. They are spliced word run by word run
+Every label that occurs is learned. Fitting takes at most `per_language` documents of each language,
+and fewer of each beyond SHARED languages, so that their sum is bounded: those with the smallest hash of their
+id, whole ones of at most `fit_bytes` bytes first, then runs of words of longer ones. They are spliced word run by word run
 with runs of other languages, so that the transitions see switches. The sample is bounded, so the
 model is fitted on the driver; labelling runs in Arrow batches on the executors.
 
@@ -31,6 +32,8 @@ BITS = 17
 SEGMENT = 48  # words per segment of the chain
 BLOCK = 200_000  # words labelled at a time
 WORDS = 20_000  # distinct words scored at a time
+SHARED = 32  # beyond so many languages, they share the sample of so many
+PAIRS = 20_000_000  # label pairs of words held at a time in fitting
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -163,20 +166,27 @@ def forward_backward(scores, first, steps, pairs: bool = False):
 
 
 def sample(docs: DataFrame, text: str, label: str, key: str, per_language: int,
-           languages: int, fit_bytes: int) -> DataFrame:
-    """(text, label): the bounded sample the model is fitted on."""
-    fit = docs.where(F.col(label).isNotNull() & (F.octet_length(text) <= fit_bytes)
-                     & F.col(text).rlike(r"\p{L}"))
-    known = [r[0] for r in fit.groupBy(label).count().orderBy(F.desc("count"), label)
-             .limit(languages).collect()]
+           fit_bytes: int) -> DataFrame:
+    """(text, label, key): the bounded sample the model is fitted on; every label is in it."""
+    fit = docs.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    number = max(fit.select(label).distinct().count(), 1)
+    each = max(1, min(per_language, per_language * SHARED // number))
+    long = F.octet_length(text) > fit_bytes
+    # A run of words from anywhere in a long text; characters have four bytes at most.
+    size = max(fit_bytes // 4, 1)
+    begin = F.pmod(F.xxhash64(key, text), F.greatest(F.length(text) - size, F.lit(1))).cast("int") + 1
+    run = F.substring(F.col(text), begin, F.lit(size))
+    inner = F.regexp_extract(run, r"\s([\s\S]*)\s", 1)
+    first = F.regexp_extract(text, r"\p{L}[\s\S]{0,%d}" % (size - 1), 0)
+    cut = (F.when(inner.rlike(r"\p{L}"), inner).when(run.rlike(r"\p{L}"), run).otherwise(first))
     rank = F.row_number().over(
-        Window.partitionBy("label").orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
+        Window.partitionBy("label").orderBy("long", F.xxhash64("key"), "key", F.xxhash64("text"))
     )
     return (
-        fit.where(F.col(label).isin(known))
-        .select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
+        fit.select(F.col(key).alias("key"), F.when(long, cut).otherwise(F.col(text)).alias("text"),
+                   F.col(label).alias("label"), long.alias("long"))
         .withColumn("rank", rank)
-        .where(F.col("rank") <= per_language)
+        .where(F.col("rank") <= each)
         .select("text", "label", "key")
     )
 
@@ -191,7 +201,8 @@ def fit(rows: list[tuple[str, str]], rounds: int = 30, rate: float = 0.25, seed:
         return Model([], weights.astype(np.float32), steps)
     data, offsets = text_bytes(pa.array([r[0] for r in rows], pa.string()))
     starts, ends, first = word_spans(data, offsets)
-    of_row = np.array([languages.index(r[1]) for r in rows])
+    place_of = {name: i for i, name in enumerate(languages)}
+    of_row = np.array([place_of[r[1]] for r in rows])
     truth = np.repeat(of_row, np.diff(first))
     hashes = word_hashes(data, starts, ends)
     _, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -214,11 +225,16 @@ def fit(rows: list[tuple[str, str]], rounds: int = 30, rate: float = 0.25, seed:
     inner[chains[:-1]] = False
     seen = np.zeros((k, k))
     np.add.at(seen, (truth[np.flatnonzero(inner) - 1], truth[inner]), 1)
+    # Chains are taken in groups, whose label pairs fit into memory for any number of languages.
+    groups = [chains[lo : hi + 1] for lo, hi in row_blocks(chains, max(PAIRS // k**2, 1))]
     squares, squares_steps = np.full_like(weights, 1e-2), np.full_like(steps, 1e-2)
     for _ in range(rounds):
         by_word = _sum_runs(weights[rows_of], counts)
-        marginal, pairs = forward_backward(by_word[inverse], chains, steps, pairs=True)
-        miss = -marginal
+        miss, pairs = np.empty((len(truth), k)), np.zeros((k, k))
+        for g in groups:
+            marginal, p = forward_backward(by_word[inverse[g[0] : g[-1]]], g - g[0], steps, pairs=True)
+            miss[g[0] : g[-1]] = -marginal
+            pairs += p
         miss[np.arange(len(truth)), truth] += 1
         grad = np.zeros_like(weights)
         for j in range(k):
@@ -234,9 +250,10 @@ def fit(rows: list[tuple[str, str]], rounds: int = 30, rate: float = 0.25, seed:
 
 
 def train(docs: DataFrame, text="text", label="lang", key="doc_id", per_language=150,
-          languages=32, fit_bytes=20_000, rounds=30) -> Model:
-    """The model of the labelled rows. The sample has at most per_language * languages texts."""
-    rows = sample(docs, text, label, key, per_language, languages, fit_bytes).collect()
+          fit_bytes=20_000, rounds=30) -> Model:
+    """The model of the labelled rows. The sample has at most per_language * SHARED texts, or one of
+    each language."""
+    rows = sample(docs, text, label, key, per_language, fit_bytes).collect()
     return fit(sorted((r["text"], r["label"]) for r in rows), rounds)
 
 
@@ -261,7 +278,8 @@ def _blocks(model: Model, column):
     starts, ends, first = word_spans(data, offsets)
     scores, inverse = word_scores(model, data, starts, ends)
     letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
-    for lo, hi in row_blocks(first, BLOCK):
+    k = len(model.languages)
+    for lo, hi in row_blocks(first, BLOCK if k <= SHARED else max(1, BLOCK * SHARED**2 // k**2)):
         words = slice(first[lo], first[hi])
         f = first[lo : hi + 1] - first[lo]
         p = forward_backward(scores[inverse[words]], f, model.steps)[0]

@@ -423,6 +423,24 @@ def test_language_of_texts_and_words(spark):
     assert {r.lang_pred for r in langid.predict(odd, none).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(3)
+    words_of = {f"l{i:02d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(60)]
+                for i in range(41)}
+
+    def text_of(name, n):
+        return " ".join(rng.choices(words_of[name], k=n))
+
+    # l40 has only texts that are longer than what is fitted on; l39 is the rarest.
+    rows = [(f"{name}-{j}", text_of(name, 600 if name == "l40" else 40), name)
+            for name in words_of for j in range(2 if name == "l39" else 4)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    model = langid.train(docs, per_language=3, fit_bytes=1200, rounds=12)
+    assert model.languages == sorted(words_of)
+    new = spark.createDataFrame([(name, text_of(name, 30)) for name in words_of], "lang string, text string")
+    assert all(r.lang == r.lang_pred for r in langid.predict(new, model).collect())
+
+
 # --- op9 ------------------------------------------------------------------------------------------
 
 def test_quality(spark):
