@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauseloom.llm import exact_dedup, hamming, html_text, jaccard, langid, lm, mixing, pieces, pii, quality
+from clauseloom.llm import (
+    exact_dedup, fim, hamming, html_text, jaccard, langid, lm, mixing, packing, pieces, pii, quality, spelling,
+)
 from clauseloom.llm.shared import remainder, table
 from clauseloom.llm.sql import ORACLES
 
@@ -77,6 +80,29 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_pieces", F.size("ids").cast("long"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in sequences of binary lengths up to 2048, none of them padded."""
+    model = packing.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, model, with_ids=False, digest="ids_crc32")
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """The frequent words of all documents, their near words and the form each is a variant of."""
+    counted = spelling.words(table(spark, folder, "documents"))
+    return spelling.forms(counted).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document transformed and restored, as digests."""
+    done = fim.transform(table(spark, folder, "documents").select("doc_id", "text"))
+    done = done.withColumn("output_sha256", F.sha2("output", 256)).drop("text")
+    return fim.restore(done).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_hamming_top_k": op1_hamming_top_k,
     "op2_exact_dedup": op2_exact_dedup,
@@ -88,6 +114,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_packing": op11_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -63,4 +63,33 @@ ORACLES = {
                (passes + case when rest > 0 and before < rest then 1 else 0 end)::bigint as copies
         from ordered
     """,
+    "op13_fill_in_middle": """
+        with drawn as (
+            select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+                   sha256('1:' || coalesce(doc_id::varchar, '')) as d
+            from documents),
+        hashed as (
+            select *, ('0x' || substr(d, 1, 8))::bigint % (n + 1) as c1,
+                   ('0x' || substr(d, 9, 8))::bigint % (n + 1) as c2,
+                   ('0x' || substr(d, 17, 8))::bigint % 100 as h3,
+                   ('0x' || substr(d, 25, 8))::bigint % 100 as h4
+            from drawn),
+        formed as (
+            select doc_id, t, n, least(c1, c2) as a, greatest(c1, c2) as b,
+                   case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                             or h3 >= 90 then 'plain'
+                        when h4 < 20 then 'spm' else 'psm' end as form
+            from hashed),
+        cut as (
+            select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix
+            from formed)
+        select doc_id, n, form,
+               case when form <> 'plain' then a end as prefix_chars,
+               case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then t
+                   when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(t) as restored_sha256
+        from cut
+    """,
 }
