@@ -10,8 +10,8 @@ counts of all (task, length) are added up in two levels, by groups of tasks and
 each piece adds the sum to its own count. A repeated or null key changes nothing in that.
 
 Tokenising: the tokenizer's file is read where the job is started and travels with the task. Its
-words never hold ASCII white space, so a text is encoded run by run between such characters, and a
-task remembers the ids of the runs it has seen; beyond MEMORY bytes it starts anew.
+words hold no white space and are letters, a digit, or neither, so a text is encoded in runs between
+such borders, and a task remembers the ids of the runs it has seen; beyond MEMORY bytes it starts anew.
 
 Cases: a null or empty text is the end token alone, one piece of one token. Texts of any length are
 cut whole. Repeated rows are packed each by itself; a null key stays null. An empty table gives no
@@ -20,9 +20,10 @@ rows. Columns of the input other than the key and the text are left out, so no n
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clauseloom.llm.shared import written
-from clauseloom.llm.words import parts, ranges
+from clauseloom.llm.words import parts, ranges, text_bytes, word_hashes
 
 LENGTH = 2048
 END = 1
 MEMORY = 64 << 20  # bytes of runs and ids remembered by a task
 GROUP = 4096  # tasks whose counts are added up together
+LAST = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # kinds of words: letters, a digit, neither
+LATIN = "\u0250"  # below it no character is changed by composition
+OTHER, SPACE, LETTER, POINT = range(4)
+KIND = np.zeros(256, np.uint8)
+KIND[[0x20, *range(0x09, 0x0E)]], KIND[97:123], KIND[list(b".,;:!?")] = SPACE, LETTER, POINT
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] = LOWER[97:123]
 SMALL = 1_000_000  # rows of a table of counts that is broadcast
 
 
@@ -47,37 +55,105 @@ class Memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(model)
+        parts_ = json.loads(model)
+        self.whole = Tokenizer.from_str(model)
+        # The normalizer leaves Latin letters in lower case as they are, and what is a-z alone is one word.
+        self.latin = Tokenizer.from_str(json.dumps(parts_ | {"normalizer": None}))
+        split = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.letters = Tokenizer.from_str(json.dumps(parts_ | split))
+        suffix, vocabulary = parts_["model"]["end_of_word_suffix"], parts_["model"]["vocab"]
+        self.last = np.zeros(1 + max([*vocabulary.values(), *(t["id"] for t in parts_["added_tokens"])]), bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.forget()
 
     def forget(self):
-        # Run number 0 is nothing, so that no array is empty.
         self.place: dict[bytes, int] = {}
-        self.ids, self.start, self.length, self.bytes = array("I", [0]), array("q", [0]), array("q", [0]), 0
+        self.ids, self.bound, self.bytes = np.zeros(0, np.uint32), np.zeros(1, np.int64), 0
 
     def learn(self, new: list[bytes]):
-        found = self.tokenizer.encode_batch_fast([r.decode() for r in new], add_special_tokens=False)
-        for run, one in zip(new, found):
-            self.place[run] = len(self.start)
-            self.start.append(len(self.ids))
-            self.length.append(len(one.ids))
-            self.ids.extend(one.ids)
-            self.bytes += 150 + len(run) + 4 * len(one.ids)
-
-    def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+        kinds: tuple[list, list, list] = [], [], []
+        for run in new:
+            if run.isalpha() and run.islower():  # bytes: a-z alone
+                kinds[0].append(run)
+            else:
+                text = run.decode()
+                kinds[1 if max(text) < LATIN and text.lower() == text else 2].append(run)
+        self._remember(kinds[0], *self._letters(kinds[0]))
+        for runs, tokenizer in zip(kinds[1:], (self.latin, self.whole)):
+            found = tokenizer.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)
+            lists = [one.ids for one in found]
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._remember(runs, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum()), size)
+
+    def _letters(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of words a-z, encoded some at a time: a last id tells itself."""
+        texts = [b" ".join(runs[i:i + 50]).decode() for i in range(0, len(runs), 50)]
+        found = self.letters.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(one.ids for one in found), np.uint32)
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def _remember(self, runs: list[bytes], ids: np.ndarray, size: np.ndarray):
+        if len(runs) != len(size) or len(ids) != size.sum():
+            raise ValueError("a word of this tokenizer has not one last token")
+        self.place.update(zip(runs, range(len(self.bound) - 1, len(self.bound) - 1 + len(runs))))
+        self.bound = np.concatenate([self.bound, self.bound[-1] + np.cumsum(size)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.bytes += 150 * len(runs) + sum(map(len, runs)) + 4 * len(ids)
+
+    def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): ids of text i, with the end token, are ids[first[i]:first[i + 1]]."""
         if self.bytes > MEMORY:
             self.forget()
-        runs = [(t or "").encode().split() for t in texts]
-        self.learn(list({r for row in runs for r in row if r not in self.place}))
-        numbers = np.array([self.place[r] for row in runs for r in row], np.int64)
-        length = np.frombuffer(self.length, np.int64)[numbers]
-        at = ranges(np.frombuffer(self.start, np.int64)[numbers], length)
-        ids = np.frombuffer(self.ids, np.uint32)[at]
-        words = np.concatenate([[0], np.cumsum([len(row) for row in runs])]).astype(np.int64)
-        bound = np.concatenate([[0], np.cumsum(length)])[words]
-        ids = np.insert(ids, bound[1:], np.uint32(end))  # one end token behind each row
-        return ids, bound + np.arange(len(bound))
+        data, offsets = text_bytes(column)
+        if b"<|" not in data.tobytes():  # no special token: A-Z may count as a-z
+            data = LOWER[data]
+        starts, stops, first_run = runs_of(data, offsets)
+        # Equal runs of this part are found by sorting hashes and compared as bytes; then each is looked up once.
+        _, at, same = np.unique(word_hashes(data, starts, stops, fold=False), return_index=True, return_inverse=True)
+        if not equal_spans(data, starts, stops - starts, at[same]):
+            at = same = np.arange(len(starts))
+        raw = data.tobytes()
+        runs = [raw[a:b] for a, b in zip(starts[at].tolist(), stops[at].tolist())]
+        numbers = list(map(self.place.get, runs))
+        if None in numbers:
+            self.learn(list({r for r, n in zip(runs, numbers) if n is None}))
+            numbers = list(map(self.place.get, runs))
+        numbers = np.array(numbers, np.int64)[same]
+        length = self.bound[numbers + 1] - self.bound[numbers]
+        ids = self.ids[ranges(self.bound[numbers], length)]
+        first = np.concatenate([[0], np.cumsum(length)])[first_run]
+        ids = np.insert(ids, first[1:], np.uint32(end))  # one end token behind each row
+        return ids, first + np.arange(len(first))
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first): byte spans of the runs between ASCII white space, cut also where a letter
+    a-z meets a stop; runs of row i are first[i]:first[i + 1]."""
+    n = len(data)
+    if n == 0:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(len(offsets), np.int64)
+    kind = KIND[data]
+    border = np.ones(n + 1, bool)  # whether something ends before this byte
+    border[1:-1] = (kind[1:] == SPACE) | (kind[:-1] == SPACE) | ((kind[1:] == POINT) & (kind[:-1] == LETTER))
+    border[offsets] = True
+    at = np.flatnonzero(border)
+    held = kind[at[:-1]] != SPACE
+    starts, ends = at[:-1][held], at[1:][held]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def equal_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each span equals, as bytes, the span numbered `other`."""
+    if not np.array_equal(lengths, lengths[other]):
+        return False
+    twin = np.flatnonzero(other != np.arange(len(other)))
+    for at in range(0, len(twin), 1 << 16):
+        some = twin[at:at + (1 << 16)]
+        if not np.array_equal(data[ranges(starts[some], lengths[some])],
+                              data[ranges(starts[other[some]], lengths[some])]):
+            return False
+    return True
 
 
 def cuts(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,8 +173,17 @@ def cuts(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def read_tokenizer(path: str) -> str:
+    """The tokenizer's file as text; an error if its tokens could reach over white space or from a
+    letter to a stop, or tell A-Z from a-z."""
     with open(path, encoding="utf-8") as file:
-        return file.read()
+        model = file.read()
+    parts_ = json.loads(model)
+    steps = [one["type"] for one in (parts_["normalizer"] or {}).get("normalizers", [])]
+    cut = ((parts_["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    known = cut.get("pattern", {}).get("Regex", "").endswith(LAST) and parts_["model"].get("end_of_word_suffix")
+    if steps != ["NFC", "Replace", "Lowercase"] or not known:
+        raise ValueError("this tokenizer does not encode words apart")
+    return model
 
 
 def pieces(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id",
@@ -121,7 +206,7 @@ def pieces(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id",
         counts = np.zeros(length.bit_length(), np.int64)
         for batch in batches:
             for part in parts(batch, 1):
-                ids, first = memory.encode(part.column(1).to_pylist(), end)
+                ids, first = memory.encode(part.column(1), end)
                 tokens = np.diff(first)
                 row, start, size = cuts(tokens, length)
                 bucket = np.log2(size).astype(np.int64)
