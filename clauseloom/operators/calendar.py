@@ -1,30 +1,26 @@
-"""The calendar form: business days counted once per holiday list, looked up by every loan.
+"""The calendar form: business days by ordinals, in place of a list of days per loan.
 
-The array form works out a window per loan. Loans share holiday lists, so the calendar form
-builds one calendar per list with a running count of business days; then "the third business day
-after" and "business days between" are array look-ups by day number.
+The array form works out the days of a window and looks into them. Here a day has an ordinal by
+arithmetic (`functions.ordinals`), so the window is never written out: "the third business day after"
+is an ordinal turned back into a day, "business days between" is a difference. The list of a loan is
+read once, for the few closed days of its window. There is no join, no shuffle and no limit to the
+number of lists, the length of a list or of a window; each loan takes the same steps.
 
-Every list that occurs gets a calendar, over the days its own loans span. Calendars are joined by the
-list; they are broadcast only after their size was counted and found small, and otherwise meet the
-loans in an equi-join. A caller may give lists that leave loans out, and some loans have no window;
-these take the array form in the next step of the same row, so the result is whole and the same.
+`calendar_dim` is the same arithmetic as a table, for other tables to join: each day of each list.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from clauseloom.functions import dates
+from clauseloom.functions import ordinals
 from clauseloom.model import PAD_DAYS, Pack
 from clauseloom.operators.rules import fired
 
-BROADCAST_DAYS = 2_000_000  # days of all calendars up to which they are broadcast, 8 bytes each
-
 
 def holiday_lists(loans: DataFrame) -> DataFrame:
-    """(holidays, lo, hi): every holiday list with the days its loans span.
+    """(holidays, lo, hi, list_id): every holiday list with the days its loans span.
 
     Partial aggregation leaves one row per list and task, however many loans share the list.
     """
@@ -36,139 +32,70 @@ def holiday_lists(loans: DataFrame) -> DataFrame:
             F.max(F.date_add(F.greatest("cd.issue_date", "closing_date"), PAD_DAYS)).alias("hi"),
         )
     )
-    return used.where(F.col("lo") <= F.col("hi"))
-
-
-def _placed(index: DataFrame, lists: DataFrame) -> DataFrame:
-    """The calendars, marked for broadcast if the days of all of them are few."""
-    days = lists.agg(F.sum(F.datediff("hi", "lo") + 1)).first()[0] or 0
-    return F.broadcast(index) if days <= BROADCAST_DAYS else index
+    return used.where(F.col("lo") <= F.col("hi")).withColumn("list_id", ordinals.list_id(F.col("holidays")))
 
 
 def calendar_dim(lists: DataFrame) -> DataFrame:
-    """(holidays, day, is_business, n_before): every day of each list's range with the number of
-    business days before it. One window partition is one calendar, the days its loans span."""
-    days = lists.select(
-        "holidays", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day")
-    )
-    listed = F.coalesce(F.array_contains("holidays", F.col("day")), F.lit(False))
-    marked = days.withColumn("is_business", (dates.iso_weekday(F.col("day")) != 7) & ~listed)
-    before = Window.partitionBy("holidays").orderBy("day").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    n_before = F.coalesce(F.sum(F.col("is_business").cast("int")).over(before), F.lit(0))
-    return marked.withColumn("n_before", n_before.cast("int"))
-
-
-def calendar_index(lists: DataFrame) -> DataFrame:
-    """One row per list: `lo`, `hi`, `n_before` by day number from `lo`, and the business days in
-    order. Each group is one calendar."""
-    packed = (
-        calendar_dim(lists)
-        .groupBy("holidays")
-        .agg(F.array_sort(F.collect_list(F.struct("day", "n_before", "is_business"))).alias("d"))
+    """(list_id, holidays, day, is_business, n_before): every day of each list's range with the number
+    of business days before it. Each row is worked out by itself: nothing is sorted or shuffled."""
+    closed = ordinals.closed_days(F.col("holidays"), F.col("lo"), F.col("hi"))
+    based = lists.select("list_id", "holidays", "lo", "hi", closed.alias("closed"))
+    days = based.select(
+        "list_id", "holidays", "lo", "closed",
+        F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day"),
     )
-    return packed.select(
-        F.col("holidays").alias("calendar_holidays"),
-        F.element_at("d", 1)["day"].alias("calendar_lo"),
-        F.element_at("d", -1)["day"].alias("calendar_hi"),
-        F.col("d.n_before").alias("n_before"),
-        F.filter("d", lambda x: x["is_business"])["day"].alias("open_days"),
+    day, closed = F.col("day"), F.col("closed")
+    return days.select(
+        "list_id", "holidays", "day",
+        ((F.weekday(day) != 6) & ~F.array_contains(closed, day)).alias("is_business"),
+        (ordinals.ordinal(closed, day) - ordinals.ordinal(closed, F.col("lo"))).alias("n_before"),
     )
 
 
-def with_calendar(
-    loans: DataFrame, pad: int = PAD_DAYS, lists: DataFrame | None = None
-) -> DataFrame:
+def with_calendar(loans: DataFrame, pad: int = PAD_DAYS) -> DataFrame:
     """The loans with `cd_receipt_date` and `n_days` (business days from receipt to closing).
 
-    Look-ups go in small steps: each stays below the size of generated code the JVM compiles, and
-    all run in the stage of the join, so that calendar arrays are read in place and never copied
-    into rows. Numbers and dates only leave the last of them.
+    As in the array form, a missing end of the window leaves the count null, an inverted window or a
+    missing list has no days, a mailing before the window counts from its start, and a third day beyond
+    the window is none.
     """
-    lists = holiday_lists(loans) if lists is None else lists
-    index = _placed(calendar_index(lists), lists)
     columns = loans.columns
-    bounded = loans.withColumns(
-        {
-            "window_lo": F.date_sub("cd.issue_date", pad),
-            "window_hi": F.date_add("closing_date", pad),
-            "holidays": F.col("calendar.holidays"),
-        }
+    lo, hi, closed = F.col("window_lo"), F.col("window_hi"), F.col("closed")
+    bounded = loans.select(
+        *columns, F.date_sub("cd.issue_date", pad).alias("window_lo"),
+        F.date_add("closing_date", pad).alias("window_hi"),
     )
-    joined = bounded.join(
-        index, F.col("holidays") == F.col("calendar_holidays"), "left"
+    listed = bounded.select(
+        *columns, "window_lo", "window_hi",
+        F.when(lo <= hi, ordinals.closed_days(F.col("calendar.holidays"), lo, hi)).alias("closed"),
     )
-    keep = [*columns, "window_lo", "window_hi", "holidays"]
-    lo, hi = F.col("window_lo"), F.col("window_hi")
-    in_person = F.coalesce(F.col("cd.delivery_method") == "in_person", F.lit(False))
-    placed = joined.select(
-        *keep,
-        F.coalesce(
-            (lo <= hi) & (F.col("calendar_lo") <= lo) & (hi < F.col("calendar_hi")), F.lit(False)
-        ).alias("covered"),
-        "calendar_lo", "n_before", "open_days",
-        in_person.alias("in_person"),
-        # The first day that counts: the recorded day itself, or the day after mailing.
-        F.when(in_person, F.col("cd.received_date"))
-        .otherwise(F.date_add("cd.mailed_date", 1))
-        .alias("first_day"),
-        F.greatest(F.least("closing_date", F.date_add(hi, 1)), lo).alias("end_day"),
+    start = F.greatest(F.date_add("cd.mailed_date", 1), lo)
+    mailed = listed.select(
+        *columns, "window_lo", "window_hi", "closed",
+        F.when(F.col("cd.mailed_date").isNotNull() & closed.isNotNull(),
+               ordinals.ordinal(closed, start) + 2).alias("third"),
     )
-    clipped = placed.withColumn("start_day", F.greatest("first_day", lo))
-    numbered = clipped.select(
-        *keep, "covered", "in_person", "first_day", "start_day", "end_day", "open_days",
-        F.get("n_before", F.datediff("start_day", F.col("calendar_lo"))).alias("n_start"),
-        F.get("n_before", F.datediff("end_day", F.col("calendar_lo"))).alias("n_end"),
+    found = mailed.select(
+        *columns, "window_lo", "window_hi", "closed",
+        ordinals.open_day(closed, F.col("third")).alias("third_day"),
     )
-    found = numbered.select(
-        *keep, "covered", "in_person", "first_day", "start_day", "end_day", "n_start", "n_end",
-        F.get("open_days", F.col("n_start") + 2).alias("third_day"),
-    )
-    mailed = F.col("first_day").isNotNull() & (F.col("start_day") <= hi) & (F.col("third_day") <= hi)
     received = found.select(
-        *keep, "covered", "in_person", "start_day", "end_day", "n_start", "n_end", "third_day",
-        F.when(F.col("in_person"), F.col("first_day"))
-        .when(mailed, F.col("third_day"))
-        .alias("fast_receipt"),
-    )
-    # A presumed receipt is a business day with two more before it than the day counting began.
-    begin = F.when(F.col("in_person"), F.col("start_day")).otherwise(F.col("third_day"))
-    n_begin = F.when(F.col("in_person"), F.col("n_start")).otherwise(F.col("n_start") + 2)
-    counted = received.select(
-        *keep, "covered", "fast_receipt",
-        F.when(F.col("fast_receipt").isNull() | (begin >= F.col("end_day")), 0)
-        .otherwise(F.col("n_end") - n_begin)
-        .alias("fast_days"),
-    )
-    return _complete(counted, columns)
-
-
-def _complete(looked_up: DataFrame, columns: list[str]) -> DataFrame:
-    """Loans the calendars do not cover, by the array form; the branch is not taken for others."""
-    covered = F.col("covered")
-    days = F.expr(dates.open_days_sql("window_lo", "window_hi", 7, "holidays"))
-    slow = looked_up.withColumn("days", F.when(~covered, days))
-    received = slow.withColumn(
-        "cd_receipt_date",
-        F.when(covered, F.col("fast_receipt")).otherwise(
-            dates.receipt_date(
-                F.col("cd.delivery_method"), F.col("cd.received_date"),
-                F.col("cd.mailed_date"), F.col("days"),
-            )
-        ),
-    )
-    n_days = F.when(covered, F.col("fast_days")).otherwise(
-        dates.count_days_between(F.col("days"), F.col("cd_receipt_date"), F.col("closing_date"))
+        *columns, "window_lo", "window_hi", "closed",
+        F.when(F.col("cd.delivery_method") == "in_person", F.col("cd.received_date"))
+        .when(F.col("third_day") <= hi, F.col("third_day")).alias("cd_receipt_date"),
     )
+    begin = F.greatest("cd_receipt_date", lo)
+    end = F.least("closing_date", F.date_add(hi, 1))
+    held = closed.isNotNull() & F.col("cd_receipt_date").isNotNull() & (begin < end)
+    n_days = F.when(lo.isNull() | hi.isNull(), F.lit(None).cast("int")).when(
+        held, ordinals.ordinal(closed, end) - ordinals.ordinal(closed, begin)
+    ).otherwise(0)
     return received.select(*columns, "cd_receipt_date", n_days.alias("n_days"))
 
 
-def evaluate_by_calendar(
-    loans: DataFrame, pack: Pack, key: str = "loan_id", lists: DataFrame | None = None
-) -> DataFrame:
-    """The verdicts of the timing pack through calendars: (key, rule_id, result)."""
-    ready = with_calendar(loans, lists=lists)
+def evaluate_by_calendar(loans: DataFrame, pack: Pack, key: str = "loan_id") -> DataFrame:
+    """The verdicts of the timing pack by ordinals: (key, rule_id, result)."""
+    ready = with_calendar(loans)
     timeshare = F.col("transaction.timeshare")
     general, shared = range(2)
     cells = ready.select(

@@ -67,18 +67,19 @@ def source_drift(receipts: DataFrame, sources: DataFrame) -> DataFrame:
 
     A source may be cited by a third of all receipts, so the comparison runs on the distinct
     (source, hash) pairs, which combine before the shuffle. Pairs that drifted are few, and
-    receipts meet only those.
+    receipts meet only those. A receipt of a source that is not there drifted, whatever it recorded:
+    two missing hashes are not one hash.
     """
     pairs = receipts.select("source", "source_sha256").distinct()
-    current = sources.select("source", F.col("sha256").alias("current_sha256"))
+    current = sources.select("source", F.col("sha256").alias("current_sha256"), F.lit(True).alias("there"))
     drifted = pairs.join(current, "source", "left").where(
-        ~F.col("source_sha256").eqNullSafe(F.col("current_sha256"))
+        F.col("current_sha256").isNull() | ~F.col("source_sha256").eqNullSafe(F.col("current_sha256"))
     )
     hit = receipts.join(
         drifted.select(
             F.col("source").alias("d_source"),
             F.col("source_sha256").alias("d_sha"),
-            F.col("current_sha256").isNull().alias("gone"),
+            F.col("there").isNull().alias("gone"),
         ),
         F.col("source").eqNullSafe(F.col("d_source")) & F.col("source_sha256").eqNullSafe(F.col("d_sha")),
     )
@@ -97,7 +98,7 @@ def changed_sources(recorded: DataFrame, sources: DataFrame) -> DataFrame:
     """Sources a pack was built from that have changed or gone since: one row per source."""
     current = sources.select("source", F.col("sha256").alias("current_sha256"))
     off = recorded.select("source", "sha256").distinct().join(current, "source", "left").where(
-        ~F.col("sha256").eqNullSafe(F.col("current_sha256"))
+        F.col("current_sha256").isNull() | ~F.col("sha256").eqNullSafe(F.col("current_sha256"))
     )
     return _finding(off, "source", "source", "changed since the pack was built")
 

@@ -278,3 +278,19 @@ def test_unreadable_files_are_findings(spark):
     found = {r.subject: r.detail for r in unreadable(bodies).collect()}
     assert found == {"a": "not a JSON object", "b": "not a JSON object", "c": "empty file",
                      "d": "empty file", "f": "not a JSON object"}
+
+
+def test_missing_sources_drift_whatever_was_recorded(spark):
+    receipts = spark.createDataFrame(
+        [("a", "here", "h1"), ("b", "here", "h0"), ("c", "lost", "h1"), ("d", "lost", None), ("e", None, None),
+         ("f", "here", None), ("g", "blank", None), ("h", "blank", "h1")],
+        "rule_id string, source string, source_sha256 string",
+    )
+    sources = spark.createDataFrame([("here", "h1"), ("blank", None)], "source string, sha256 string")
+    found = {r.subject: r.detail for r in gates.source_drift(receipts, sources).collect()}
+    assert found == {
+        "b": "hash differs for here", "c": "no source lost", "d": "no source lost", "e": "no source null",
+        "f": "hash differs for here", "g": "hash differs for blank", "h": "hash differs for blank",
+    }
+    recorded = spark.createDataFrame([("here", "h1"), ("lost", None)], "source string, sha256 string")
+    assert [r.subject for r in gates.changed_sources(recorded, sources).collect()] == ["lost"]

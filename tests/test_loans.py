@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clauseloom import DaySet, Derived, Pack, Rule, Vocabulary, timing_pack
 from clauseloom.model import GENERAL_RULE, LOAN_VOCABULARY, VocabularyError
+from clauseloom.functions import ordinals
 from clauseloom.operators import calendar, checks, conform, derive, rules
 from clauseloom.sources import loans as source
 from clauseloom.sources.verdicts import write_verdicts
@@ -83,21 +84,56 @@ def test_calendar_form(frame, loans):
     assert rows(calendar.evaluate_by_calendar(frame, timing_pack())) == wanted(loans)
 
 
-def test_calendar_form_with_few_calendars(frame, loans):
-    """Lists that got no calendar go through the array form of the same plan."""
-    lists = calendar.holiday_lists(frame).orderBy("lo", "holidays").limit(1)
-    assert rows(calendar.evaluate_by_calendar(frame, timing_pack(), lists=lists)) == wanted(loans)
-    none = calendar.holiday_lists(frame).where("false")
-    assert rows(calendar.evaluate_by_calendar(frame, timing_pack(), lists=none)) == wanted(loans)
+def test_calendar_form_of_awkward_lists(spark):
+    """Long runs of holidays, Sundays, repeats and nulls in lists, far days, long windows: receipt and
+    count are those of the array form."""
+    rng = random.Random(4)
+    base = date(1969, 12, 1)
+    out = []
+    for k in range(400):
+        issue = base + timedelta(days=rng.randrange(-800, 800))
+        days = [issue + timedelta(days=rng.randrange(-30, 60)) for _ in range(rng.choice([0, 3, 20, 80]))]
+        days += [issue + timedelta(days=n) for n in range(rng.choice([0, 0, 9, 15]))] + rng.choice([[], [None], days])
+        rng.shuffle(days)
+        closing = issue + timedelta(days=rng.choice([-25, -19, -5, 0, 3, 8, 30, 700]))
+        out.append({
+            "loan_id": k,
+            "cd": {"issue_date": issue, "delivery_method": rng.choice(["in_person", "mail", None]),
+                   "received_date": issue + timedelta(days=rng.randrange(-15, 20)),
+                   "mailed_date": issue + timedelta(days=rng.randrange(-30, 40)), "amount": 1.0},
+            "closing_date": closing, "transaction": {"timeshare": k % 2 == 0},
+            "calendar": {"holidays": days},
+        })
+    frame = spark.createDataFrame(out, LOAN).repartition(4)
+    want = rows(derive.days_before_closing(frame))
+    assert rows(calendar.with_calendar(frame).select("loan_id", "cd_receipt_date", "n_days")) == want
+    assert rows(calendar.evaluate_by_calendar(frame, timing_pack())) == wanted(out)
+
+
+def test_calendar_form_has_no_join_and_no_list_of_days(frame):
+    ready = calendar.with_calendar(frame.sparkSession.createDataFrame(frame.limit(5).collect(), frame.schema))
+    plan = ready._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Join", "Exchange", "Generate", "sequence", "Window"))
+
 
+def test_list_id_is_that_of_the_set(spark):
+    days = [date(2026, 1, 1), date(2026, 5, 25), date(2026, 7, 4)]
+    frame = spark.createDataFrame([(days,), (days[::-1] + [None],), (days + days,), (days[:2],), ([],), (None,)], "h array<date>")
+    ids = [r[0] for r in frame.select(ordinals.list_id(F.col("h"))).collect()]
+    assert ids[0] == ids[1] == ids[2] and len(set(ids[2:5])) == 3
 
-def test_calendar_arrays_stay_in_the_stage_of_the_join(frame):
-    """The join and all look-ups are one compiled stage, so calendars are never copied."""
-    ready = calendar.with_calendar(frame).select("loan_id", "cd_receipt_date", "n_days")
-    ready.collect()
-    plan = frame.sparkSession._jvm.PythonSQLUtils.explainString(ready._jdf.queryExecution(), "formatted")
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
-    assert "CartesianProduct" not in plan
+
+def test_calendar_dim_counts_business_days(frame, loans):
+    lists = calendar.holiday_lists(frame).where("size(holidays) > 3")
+    found = {}
+    for r in calendar.calendar_dim(lists).collect():
+        found.setdefault((r.list_id, tuple(r.holidays)), []).append((r.day, r.is_business, r.n_before))
+    assert len(found) == lists.count() == 2
+    for (_, holidays), days in found.items():
+        n = 0
+        for day, is_business, n_before in sorted(days):
+            assert is_business == (day.isoweekday() != 7 and day not in holidays) and n_before == n
+            n += is_business
 
 
 def test_every_list_and_every_day_has_its_calendar(frame):
@@ -116,11 +152,6 @@ def test_every_list_and_every_day_has_its_calendar(frame):
         assert dim.where(F.col("day") == F.lit(issue)).count() == 200
 
 
-def test_calendars_too_large_to_broadcast(frame, loans, monkeypatch):
-    monkeypatch.setattr(calendar, "BROADCAST_DAYS", 0)
-    assert rows(calendar.evaluate_by_calendar(frame, timing_pack())) == wanted(loans)
-
-
 def test_property_of_three_days(frame, loans):
     """Three business days from receipt to closing: receipt is no later than the third business
     day before closing, where closing is not before issue."""
