@@ -105,24 +105,20 @@ def changed_sources(recorded: DataFrame, sources: DataFrame) -> DataFrame:
 
 # --- one rule text ----------------------------------------------------------------------------
 
-def _uses(receipts: DataFrame, text: str, notation: str) -> DataFrame:
-    based = receipts.select("rule_id", "quote", text).withColumn(
-        "stated", tx.stated_numbers(F.col("quote"))
-    )
-    return ex.uses(based, text, notation, ["rule_id", "quote", "stated"])
-
-
-def _number_detail(notation: str) -> Column:
+def _number_detail(notation: str, use: Column, stated: Column) -> Column:
     """Detail of a number the quote does not state; null when it is stated. A list position
     counts as the ordinal it takes; the count of a duration counts as a number."""
-    name, role, value, element = (F.col(c) for c in ("name", "role", "value", "element"))
-    negative = F.col("negative")
+    name, role = use["name"], use["role"]
+    value = tx.canonical_number(F.regexp_replace(name, "^-", ""))
+    whole = value.rlike(r"^\d+$")
+    element = F.when(whole, _next_whole(value) if notation == "expression" else value).otherwise(value)
+    negative = name.startswith("-")
     below = negative if notation == "expression" else (negative | (value == "0"))
     indexed = F.when(below, F.concat(F.lit("index ["), name, F.lit("] is not allowed"))).when(
-        ~F.col("element_stated"),
+        ~F.array_contains(stated, element),
         F.concat(F.lit("index ["), name, F.lit("] (element "), element, F.lit(") is not stated")),
     )
-    unstated = ~F.col("value_stated")
+    unstated = ~F.array_contains(stated, value)
     return (
         F.when(role == "index", indexed)
         .when(
@@ -146,28 +142,18 @@ def _next_whole(digits: Column) -> Column:
 
 
 def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
-    """Numbers of a rule that its quote does not state. Quote and rule are in one row, so the
-    set difference needs no join. Steps keep the generated code small enough to be compiled."""
-    numbers = _uses(receipts, text, notation).where(
-        (F.col("kind") == "number") & (F.col("role") != "weekday")
-    )
-    shift = 1 if notation == "expression" else 0
-    value = F.col("value")
-    position = F.when(value.rlike(r"^\d+$"), _next_whole(value) if shift else value)
-    valued = numbers.select(
-        "rule_id", "name", "role", "stated",
-        F.col("name").startswith("-").alias("negative"),
-        tx.canonical_number(F.regexp_replace("name", "^-", "")).alias("value"),
-    )
-    placed = valued.withColumn("element", F.coalesce(position, value))
-    judged = placed.withColumns(
-        {
-            "value_stated": F.array_contains("stated", value),
-            "element_stated": F.array_contains("stated", F.col("element")),
-        }
+    """Numbers of a rule that its quote does not state. Quote and rule are in one row, so the set
+    difference is taken within it: only what is wrong becomes a row, and only the quotes of rules
+    with numbers are searched for theirs."""
+    cut = ex.cut_texts(receipts, text, notation, ["rule_id", "quote"])
+    counted = cut.select("rule_id", "quote", ex.number_uses(notation).alias("numbers"))
+    stated = F.when(F.size("numbers") > 0, tx.stated_numbers(F.col("quote")))
+    judged = counted.select("rule_id", "numbers", stated.alias("stated"))
+    details = F.transform("numbers", lambda u: _number_detail(notation, u, F.col("stated")))
+    found = judged.select("rule_id", F.array_compact(details).alias("details")).select(
+        "rule_id", F.explode_outer("details").alias("detail")
     )
-    found = value_rows(judged, ["rule_id"], "detail", _number_detail(notation))
-    return _finding(found, "number", "rule_id", F.col("detail"))
+    return _finding(found.where(F.col("detail").isNotNull()), "number", "rule_id", F.col("detail"))
 
 
 def vocabulary_gate(
@@ -188,7 +174,7 @@ def vocabulary_gate(
     unknown = F.lit(False)
     for k, names in known.items():
         unknown = unknown | ((kind == k) & ~name.isin(names))
-    found = _uses(receipts, text, notation).where(unknown)
+    found = ex.uses(receipts, text, notation, ["rule_id"], begin=ex.NAMES).where(unknown)
     return _finding(found, "vocabulary", "rule_id", F.concat(kind, F.lit(" "), name)).distinct()
 
 
@@ -201,11 +187,14 @@ def encoding_gate(
 ) -> DataFrame:
     """Weekday constants whose word the quote does not carry (plural and any case allowed)."""
     role = F.col("role") == "weekday" if notation == "expression" else F.col("kind") == "weekday"
+    begin = ex.NUMBERS if notation == "expression" else '"'
     allowed = F.lit(False)
     for number, word in vocabulary.encodings.items():
         name = str(number) if notation == "expression" else word
         allowed = allowed | ((F.col("name") == name) & _word_stated(word))
-    found = _uses(receipts, text, notation).where(role & ~allowed)
+    # Only a text that names a weekday can compare with one.
+    dated = receipts.where(F.contains(F.col(text), F.lit("week")))
+    found = ex.uses(dated, text, notation, ["rule_id", "quote"], begin=begin).where(role & ~allowed)
     return _finding(found, "encoding", "rule_id", F.concat(F.lit("weekday "), "name")).distinct()
 
 
@@ -247,7 +236,7 @@ def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataF
     odd_day = (F.col("kind") == "weekday") & ~F.col("name").isin(*WEEKDAYS)
     if notation == "expression":
         odd_day = F.lit(False)
-    named = ex.uses(receipts, text, notation, ["rule_id"]).where(
+    named = ex.uses(receipts, text, notation, ["rule_id"], begin=ex.MARKS[notation]).where(
         (F.col("kind") == "unsupported") | odd_day
     )
     name = F.when(F.col("kind") == "weekday", F.concat(F.lit("day name "), "name")).otherwise(F.col("name"))

@@ -143,7 +143,8 @@ SQL: dict[str, str] = {
           case k % 12
             when 0 then 'count(derived.business_days as day, d(day) >= d(derived.cd_receipt_date) and d(day) < d(closing_date)) >= ' || n
             when 1 then 'd(#).weekday() != 7 and not contains(calendar.holidays, #)'
-            when 2 then 'd(closing_date).weekday() != ' || n
+            when 2 then case when k % 24 = 2 then 'd(closing_date).weekday() != ' || n
+              else n || ' == d(cd.issue_date).add(1, "d").weekday()' end
             when 3 then 'filter(derived.business_days as day, d(day) > d(cd.mailed_date))[' || n || '] != null'
             when 4 then 'filter(derived.business_days, true)[-' || n || '] != null'
             when 5 then 'd(cd.closing) >= d(closing_date)'

@@ -119,8 +119,7 @@ BUILT = {
 def _tokens(text: str, pattern: str) -> str:
     return f"""
       select *, lag(t, 1) over w as b1, lag(t, 2) over w as b2, lag(t, 3) over w as b3,
-        lag(t, 4) over w as b4, lead(t, 1) over w as a1, lead(t, 2) over w as a2,
-        lead(t, 6) over w as a6
+        lead(t, 1) over w as a1, lead(t, 2) over w as a2
       from (select rule_id, quote, {text} as rule_text, unnest(ts) as t, generate_subscripts(ts, 1) - 1 as pos
         from (select *, regexp_extract_all({text}, {_quoted(pattern)}) as ts from {{receipts}}))
       window w as (partition by rule_id order by pos)"""
@@ -156,8 +155,8 @@ BUILT["tokens_2"] = _tokens("feel", rf"{_STRING}|{_SPACED}|{_NUMBER}|{_NAME}|{_O
 BUILT["uses_1"] = f"""
     select rule_id, quote, pos, 'number' as kind, {_VALUE} as name,
       case when {_INDEXED} then 'index'
-        when coalesce(b1 in ('==', '!=') and b2 = ')' and b3 = '(' and ends_with(b4, '.weekday'), false)
-          or coalesce(a1 in ('==', '!=') and a6 = '.weekday', false) then 'weekday'
+        when ends_with(rtrim(split_part(rule_text, '!=', 1)), '.weekday()') and b1 = '!='
+          or ends_with(rtrim(split_part(rule_text, '==', 2)), '.weekday()') and a1 = '==' then 'weekday'
         else 'plain' end as role
     from {{tokens_1}} where regexp_matches(t, '^[0-9]')
     union all select rule_id, quote, pos, 'day', t, '' from {{tokens_1}} where t = '#'
