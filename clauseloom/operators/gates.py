@@ -105,31 +105,37 @@ def changed_sources(recorded: DataFrame, sources: DataFrame) -> DataFrame:
 
 # --- one rule text ----------------------------------------------------------------------------
 
-def _number_detail(notation: str, use: Column, stated: Column) -> Column:
-    """Detail of a number the quote does not state; null when it is stated. A list position
-    counts as the ordinal it takes; the count of a duration counts as a number."""
-    name, role = use["name"], use["role"]
-    value = tx.canonical_number(F.regexp_replace(name, "^-", ""))
-    whole = value.rlike(r"^\d+$")
-    element = F.when(whole, _next_whole(value) if notation == "expression" else value).otherwise(value)
-    negative = name.startswith("-")
-    below = negative if notation == "expression" else (negative | (value == "0"))
-    indexed = F.when(below, F.concat(F.lit("index ["), name, F.lit("] is not allowed"))).when(
-        ~F.array_contains(stated, element),
-        F.concat(F.lit("index ["), name, F.lit("] (element "), element, F.lit(") is not stated")),
-    )
-    unstated = ~F.array_contains(stated, value)
-    return (
-        F.when(role == "index", indexed)
-        .when(
-            (role == "duration") & unstated,
-            F.concat(F.lit("duration of "), value, F.lit(" is not stated")),
-        )
-        .when(
-            (role == "plain") & (negative | unstated),
-            F.concat(F.lit("number "), name, F.lit(" is not stated")),
+def _number_details(notation: str, numbers: str, stated: Column) -> Column:
+    """Details of the numbers of an array (name, role) that the quote does not state, null for others. A
+    list position counts as the ordinal it takes; the count of a duration counts as a number.
+
+    Each step names what the next one asks of it more than once.
+    """
+    valued = F.transform(numbers, lambda u: F.struct(
+        u["name"].alias("name"), u["role"].alias("role"), u["name"].startswith("-").alias("negative"),
+        tx.canonical_number(F.ltrim(u["name"], F.lit("-"))).alias("value"),
+    ))
+
+    def element(u: Column) -> Column:
+        shifted = F.when((u["role"] == "index") & u["value"].rlike(r"^\d+$"), _next_whole(u["value"]))
+        return F.coalesce(shifted, u["value"]) if notation == "expression" else u["value"]
+
+    placed = F.transform(valued, lambda u: u.withField("element", element(u)))
+
+    def detail(u: Column) -> Column:
+        name, role, value, negative = u["name"], u["role"], u["value"], u["negative"]
+        below = negative if notation == "expression" else (negative | (value == "0"))
+        return (
+            F.when((role == "index") & below, F.concat(F.lit("index ["), name, F.lit("] is not allowed")))
+            .when((role == "plain") & negative, F.concat(F.lit("number "), name, F.lit(" is not stated")))
+            .when(F.array_contains(stated, u["element"]), F.lit(None))
+            .when(role == "index",
+                  F.concat(F.lit("index ["), name, F.lit("] (element "), u["element"], F.lit(") is not stated")))
+            .when(role == "duration", F.concat(F.lit("duration of "), value, F.lit(" is not stated")))
+            .when(role == "plain", F.concat(F.lit("number "), name, F.lit(" is not stated")))
         )
-    )
+
+    return F.transform(placed, detail)
 
 
 def _next_whole(digits: Column) -> Column:
@@ -149,7 +155,7 @@ def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     counted = cut.select("rule_id", "quote", ex.number_uses(notation).alias("numbers"))
     stated = F.when(F.size("numbers") > 0, tx.stated_numbers(F.col("quote")))
     judged = counted.select("rule_id", "numbers", stated.alias("stated"))
-    details = F.transform("numbers", lambda u: _number_detail(notation, u, F.col("stated")))
+    details = _number_details(notation, "numbers", F.col("stated"))
     found = judged.select("rule_id", F.array_compact(details).alias("details")).select(
         "rule_id", F.explode_outer("details").alias("detail")
     )

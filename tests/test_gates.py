@@ -1,5 +1,7 @@
 """Gates: each defect is caught and named, and good rules pass."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +215,38 @@ def test_blocking_with_shared_fields_and_chains(spark):
     assert "z" in got, "the last rule that defined its field was blocked"
 
 
+def test_blocking_equals_a_fixpoint_on_tangled_rules(spark):
+    """Chains, circles, rules that read several fields and fields of several rules, at random."""
+    rng = random.Random(8)
+    for size in (12, 40, 90):
+        names = [f"f{i}" for i in range(size)]
+        definitions = [(f"r{i}", rng.choice([*names, None]), rng.random() < 0.1) for i in range(size)]
+        definitions += [(f"r{rng.randrange(size)}", rng.choice(names), False) for _ in range(size // 6)]
+        state = {}
+        definitions = [(r, f, state.setdefault(r, o)) for r, f, o in definitions]
+        uses = [(f"r{rng.randrange(size)}", rng.choice(names)) for _ in range(size)]
+        uses += [("r0", "f1"), ("r1", "f0")]
+        d = spark.createDataFrame(definitions, "rule_id string, field string, open boolean")
+        u = spark.createDataFrame(uses, "rule_id string, field string")
+        got = {r.rule_id: r.field for r in blocking.blocked_rules(d, u).collect()}
+        want = python_blocked(definitions, uses)
+        assert set(got) == want
+        left = {f for r, f, o in definitions if f and not o and r not in want}
+        assert all(f == min(g for r, g in uses if r == rule and g not in left) for rule, f in got.items())
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    definitions = [(f"r{i:03d}", f"k{i:03d}", False) for i in range(1, 201)] + [("a", "a", False), ("b", "b", False)]
+    uses = [(f"r{i:03d}", f"k{i - 1:03d}") for i in range(1, 201)] + [("a", "b"), ("b", "a"), ("c", "a")]
+    kept = []
+    write = blocking._Tables.__call__
+    monkeypatch.setattr(blocking._Tables, "__call__", lambda t, frame, name: kept.append(name) or write(t, frame, name))
+    d = spark.createDataFrame(definitions, "rule_id string, field string, open boolean")
+    found = blocking.blocked_rules(d, spark.createDataFrame(uses, "rule_id string, field string")).collect()
+    assert {r.rule_id: r.field for r in found} == {f"r{i:03d}": f"k{i - 1:03d}" for i in range(1, 201)}
+    assert sum(name.startswith("ends-") for name in kept) <= 6
+
+
 def test_open_questions_and_fixtures(spark):
     q = spark.createDataFrame([("q1",), ("q2",)], "question_id string")
     a = spark.createDataFrame([("q1", "a"), ("q1", "b")], "question_id string, reading_id string")
