@@ -1,8 +1,8 @@
-"""The audit of a pack: every gate over its relations, as one table of findings.
+"""The audit of packs: every gate over their relations, as one table of findings.
 
-`tables` are the relations of `sources.packs.read_pack` for one pack, within which ids are unique;
-`sentences` has (sentence_id, text), `sources` has (source, sha256). Findings carry (check,
-subject, detail).
+`tables` are the relations of `sources.packs.read_pack`, of one pack or of very many: ids are unique
+within a pack, and every gate keeps packs apart. `sentences` has (sentence_id, text), `sources` has
+(source, sha256); packs share them. Findings carry (pack, check, subject, detail).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def audit(
     sources: DataFrame,
     vocabulary: Vocabulary = LOAN_VOCABULARY,
 ) -> DataFrame:
-    """All findings of the text, the rule texts and the models. No finding means a sound pack."""
+    """All findings of the text, the rule texts and the models. A pack without one is sound."""
     receipts = tables["receipt"].withColumns(
         {"feel_when": F.coalesce("dmn.applies_when", F.lit("")), "feel": F.col("dmn.requirement")}
     )
@@ -40,7 +40,7 @@ def audit(
         gates.changed_sources(tables["source"], sources),
         gates.row_mismatch(receipts, tables["row"]),
         gates.dmn_row_mismatch(receipts, tables["dmn_rule"]),
-        gates.orphans(receipts, tables["row"]),
+        gates.orphans(receipts, tables["row"], tables["dmn_rule"]),
         gates.unknown_changes(tables["change"], receipts),
         _unknown_fields(derived, vocabulary),
         _other_decisions(receipts, tables["decision"]),
@@ -72,25 +72,28 @@ def audit(
 
 def _derived_in_first_model(derived: DataFrame, nodes: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     want = derived.select(
-        "rule_id", gates.model_text(F.col("expression"), "expression", vocabulary).alias("expression")
+        *gates.own(derived, "rule_id"),
+        gates.model_text(F.col("expression"), "expression", vocabulary).alias("expression"),
     )
-    places = derived.select("rule_id", F.col("node").alias("node_id"), "field")
-    have = nodes.select("node_id", "field", "expression").join(places, ["node_id", "field"])
-    return gates.derived_mismatch(want, have)
+    places = derived.select(*gates.own(derived, "rule_id"), F.col("node").alias("node_id"), "field")
+    key = gates.own(derived, "node_id", "field")
+    return gates.derived_mismatch(want, nodes.select(*key, "expression").join(places, key))
 
 
 def _derived_in_second_model(derived: DataFrame, decisions: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    want = derived.select("rule_id", gates.model_text(F.col("feel"), "feel", vocabulary).alias("expression"))
-    places = derived.select("rule_id", F.col("dmn.decision").alias("decision"))
-    literal = decisions.where(F.col("kind") == "literal")
-    have = literal.select("decision", F.col("text").alias("expression")).join(places, "decision")
-    return gates.derived_mismatch(want, have)
+    want = derived.select(
+        *gates.own(derived, "rule_id"), gates.model_text(F.col("feel"), "feel", vocabulary).alias("expression")
+    )
+    places = derived.select(*gates.own(derived, "rule_id"), F.col("dmn.decision").alias("decision"))
+    key = gates.own(derived, "decision")
+    literal = decisions.where(F.col("kind") == "literal").select(*key, F.col("text").alias("expression"))
+    return gates.derived_mismatch(want, literal.join(places, key))
 
 
 def _texts(*parts: tuple[DataFrame, str]) -> DataFrame:
-    """(rule_id, quote, text) of the given text columns."""
+    """(pack, rule_id, quote, text) of the given text columns."""
     frames = [
-        frame.select("rule_id", "quote", F.col(text).alias("text")).where(F.col("text").isNotNull())
+        frame.select(*gates.own(frame, "rule_id"), "quote", F.col(text).alias("text")).where(F.col("text").isNotNull())
         for frame, text in parts
     ]
     return reduce(DataFrame.unionByName, frames)
@@ -100,6 +103,7 @@ def _unknown_fields(derived: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Derived receipts whose field the vocabulary does not derive."""
     lost = derived.where(~F.col("field").isin(list(vocabulary.derived)))
     return lost.select(
+        *gates.own(derived),
         F.lit("derived field").alias("check"),
         F.col("rule_id").alias("subject"),
         F.concat("field", F.lit(" is not a derived field of the vocabulary")).alias("detail"),
@@ -109,13 +113,14 @@ def _unknown_fields(derived: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def _other_decisions(receipts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Receipts without a decision in the second model, and derived ones that name another than
     that of their field."""
-    named = receipts.select("rule_id", "kind", "field", F.col("dmn.decision").alias("decision"))
-    known = decisions.select("decision", F.lit(True).alias("known")).distinct()
-    joined = named.join(known, "decision", "left")
+    named = receipts.select(*gates.own(receipts, "rule_id"), "kind", "field", F.col("dmn.decision").alias("decision"))
+    key = gates.own(receipts, "decision")
+    known = decisions.select(*key, F.lit(True).alias("known")).distinct()
+    joined = named.join(known, key, "left")
     misnamed = (F.col("kind") == "derived_field") & (F.col("decision") != names.feel_name(F.col("field")))
     detail = F.when(F.col("decision").isNull(), "no receipt in the second model").when(
         F.col("known").isNull(), "its decision is not in the second model"
     ).when(misnamed, "its decision is not that of its field")
     return joined.where(detail.isNotNull()).select(
-        F.lit("decision").alias("check"), F.col("rule_id").alias("subject"), detail.alias("detail")
+        *gates.own(receipts), F.lit("decision").alias("check"), F.col("rule_id").alias("subject"), detail.alias("detail")
     )

@@ -1,4 +1,5 @@
-"""Audit gates over a corpus of receipts. Each returns findings: (check, subject, detail).
+"""Audit gates over a corpus of receipts. Each returns findings: (check, subject, detail), and the pack
+where the receipts name theirs, so that very many packs are audited at once.
 
 A receipt ties a rule to the sentence it was compiled from, by a quote. Gates that need only the
 receipt are row-wise. Gates that compare two tables join on ids that are unique on one side; the
@@ -9,6 +10,7 @@ what is left to a shuffle is splittable by the adaptive skew join.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +31,16 @@ from clauseloom.operators.rows import value_rows
 FINDING = ("check", "subject", "detail")
 
 
+def own(frame: DataFrame, *names: str) -> list[str]:
+    """The names, with `pack` before them where the rows say which pack they are of. Rule ids are unique
+    within a pack only, so whatever joins on them joins on these."""
+    return ["pack", *names] if "pack" in frame.columns else list(names)
+
+
 def _finding(frame: DataFrame, check: str, subject: str, detail) -> DataFrame:
     detail = F.lit(detail) if isinstance(detail, str) else detail
     return frame.select(
+        *own(frame),
         F.lit(check).alias("check"),
         F.col(subject).cast("string").alias("subject"),
         detail.alias("detail"),
@@ -48,10 +57,11 @@ def quote_missing(receipts: DataFrame, sentences: DataFrame) -> DataFrame:
     to them), and only (rule_id, found) reaches the second join, whose key is unique.
     """
     cited = sentences.select(F.col("sentence_id"), F.col("text").alias("sentence_text"))
-    checked = cited.join(receipts.select("rule_id", "sentence_id", "quote"), "sentence_id").select(
-        "rule_id", F.coalesce(F.contains("sentence_text", "quote"), F.lit(False)).alias("found")
+    key = own(receipts, "rule_id")
+    checked = cited.join(receipts.select(*key, "sentence_id", "quote"), "sentence_id").select(
+        *key, F.coalesce(F.contains("sentence_text", "quote"), F.lit(False)).alias("found")
     )
-    status = receipts.select("rule_id", "sentence_id").join(checked, "rule_id", "left")
+    status = receipts.select(*key, "sentence_id").join(checked, key, "left")
     wrong = status.where(F.col("found").isNull() | ~F.col("found"))
     return _finding(
         wrong,
@@ -97,7 +107,7 @@ def source_drift(receipts: DataFrame, sources: DataFrame) -> DataFrame:
 def changed_sources(recorded: DataFrame, sources: DataFrame) -> DataFrame:
     """Sources a pack was built from that have changed or gone since: one row per source."""
     current = sources.select("source", F.col("sha256").alias("current_sha256"))
-    off = recorded.select("source", "sha256").distinct().join(current, "source", "left").where(
+    off = recorded.select(*own(recorded, "source", "sha256")).distinct().join(current, "source", "left").where(
         F.col("current_sha256").isNull() | ~F.col("sha256").eqNullSafe(F.col("current_sha256"))
     )
     return _finding(off, "source", "source", "changed since the pack was built")
@@ -151,13 +161,14 @@ def number_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     """Numbers of a rule that its quote does not state. Quote and rule are in one row, so the set
     difference is taken within it: only what is wrong becomes a row, and only the quotes of rules
     with numbers are searched for theirs."""
-    cut = ex.cut_texts(receipts, text, notation, ["rule_id", "quote"])
-    counted = cut.select("rule_id", "quote", ex.number_uses(notation).alias("numbers"))
+    key = own(receipts, "rule_id")
+    cut = ex.cut_texts(receipts, text, notation, [*key, "quote"])
+    counted = cut.select(*key, "quote", ex.number_uses(notation).alias("numbers"))
     stated = F.when(F.size("numbers") > 0, tx.stated_numbers(F.col("quote")))
-    judged = counted.select("rule_id", "numbers", stated.alias("stated"))
+    judged = counted.select(*key, "numbers", stated.alias("stated"))
     details = _number_details(notation, "numbers", F.col("stated"))
-    found = judged.select("rule_id", F.array_compact(details).alias("details")).select(
-        "rule_id", F.explode_outer("details").alias("detail")
+    found = judged.select(*key, F.array_compact(details).alias("details")).select(
+        *key, F.explode_outer("details").alias("detail")
     )
     return _finding(found.where(F.col("detail").isNotNull()), "number", "rule_id", F.col("detail"))
 
@@ -180,7 +191,7 @@ def vocabulary_gate(
     unknown = F.lit(False)
     for k, names in known.items():
         unknown = unknown | ((kind == k) & ~name.isin(names))
-    found = ex.uses(receipts, text, notation, ["rule_id"], begin=ex.NAMES).where(unknown)
+    found = ex.uses(receipts, text, notation, own(receipts, "rule_id"), begin=ex.NAMES).where(unknown)
     return _finding(found, "vocabulary", "rule_id", F.concat(kind, F.lit(" "), name)).distinct()
 
 
@@ -200,7 +211,7 @@ def encoding_gate(
         allowed = allowed | ((F.col("name") == name) & _word_stated(word))
     # Only a text that names a weekday can compare with one.
     dated = receipts.where(F.contains(F.col(text), F.lit("week")))
-    found = ex.uses(dated, text, notation, ["rule_id", "quote"], begin=begin).where(role & ~allowed)
+    found = ex.uses(dated, text, notation, own(receipts, "rule_id", "quote"), begin=begin).where(role & ~allowed)
     return _finding(found, "encoding", "rule_id", F.concat(F.lit("weekday "), "name")).distinct()
 
 
@@ -209,7 +220,7 @@ def day_test_gate(receipts: DataFrame, text: str, notation: str) -> DataFrame:
     day = "#" if notation == "expression" else "item"
     toks = ex.tokens(F.col(text), notation)
     mentioned = F.exists(toks, lambda t: (t == day) | t.startswith(day + "."))
-    silent = value_rows(receipts, ["rule_id"], "silent", F.when(~mentioned, day))
+    silent = value_rows(receipts, own(receipts, "rule_id"), "silent", F.when(~mentioned, day))
     return _finding(silent, "day test", "rule_id", f"the test does not use {day}")
 
 
@@ -222,7 +233,8 @@ def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataF
     """Assignments, templates, literals of objects, several statements, odd durations and day
     names, and texts that end in the middle or leave a bracket open."""
     toks = ex.tokens(F.col(text), notation)
-    cut = receipts.select("rule_id", text, toks.alias("toks"))
+    key = own(receipts, "rule_id")
+    cut = receipts.select(*key, text, toks.alias("toks"))
     # A single dash stands for "any" in a cell.
     last = F.when(F.trim(F.col(text)) != "-", F.try_element_at("toks", F.lit(-1)))
 
@@ -231,7 +243,7 @@ def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataF
 
     shape = value_rows(
         cut,
-        ["rule_id"],
+        key,
         "detail",
         F.when(
             last.rlike(r"^(?:[-+*/%^<>?:,.=]|==|!=|<=|>=|\?\?|\*\*)$|^(?:and|or|not|in|then|else|return)$"),
@@ -242,7 +254,7 @@ def forbidden_constructs(receipts: DataFrame, text: str, notation: str) -> DataF
     odd_day = (F.col("kind") == "weekday") & ~F.col("name").isin(*WEEKDAYS)
     if notation == "expression":
         odd_day = F.lit(False)
-    named = ex.uses(receipts, text, notation, ["rule_id"], begin=ex.MARKS[notation]).where(
+    named = ex.uses(receipts, text, notation, key, begin=ex.MARKS[notation]).where(
         (F.col("kind") == "unsupported") | odd_day
     )
     name = F.when(F.col("kind") == "weekday", F.concat(F.lit("day name "), "name")).otherwise(F.col("name"))
@@ -276,15 +288,15 @@ def expected_rows(receipts: DataFrame) -> DataFrame:
             F.concat(F.lit("not ("), "requirement", F.lit(")")).alias("i2"),
         ),
     )
+    key = own(receipts)
     rules = receipts.where(F.col("kind") == "rule")
-    return rules.select("rule_id", F.col("applies_when").alias("i1"), F.explode(pair).alias("r")).select(
-        F.concat("rule_id", F.lit("/"), "r.result").alias("row_id"), "rule_id", "i1", "r.i2", "r.result"
+    return rules.select(*key, "rule_id", F.col("applies_when").alias("i1"), F.explode(pair).alias("r")).select(
+        *key, F.concat("rule_id", F.lit("/"), "r.result").alias("row_id"), "rule_id", "i1", "r.i2", "r.result"
     )
 
 
 def row_mismatch(receipts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows that a receipt promises and that are missing or differ. Row ids are unique on both
-    sides, so the join spreads evenly."""
+    """Rows that a receipt promises and that are missing, differ, or are there more than once."""
     return _mismatch(expected_rows(receipts), rows, "row_id", ["rule_id", "i1", "i2", "result"], "row")
 
 
@@ -323,10 +335,12 @@ def expected_dmn_rows(receipts: DataFrame) -> DataFrame:
         F.struct(F.lit("pass").alias("result"), input_entry(F.col("feel")).alias("requirement")),
         F.struct(F.lit("fail").alias("result"), input_entry(negated).alias("requirement")),
     )
+    key = own(receipts)
     rules = receipts.where(F.col("kind") == "rule").select(
-        "rule_id", input_entry(F.col("feel_when")).alias("applies_when"), F.explode(pair).alias("r")
+        *key, "rule_id", input_entry(F.col("feel_when")).alias("applies_when"), F.explode(pair).alias("r")
     )
     return rules.select(
+        *key,
         names.rule_xml_id(F.col("rule_id"), F.col("r.result")).alias("xml_id"),
         "applies_when",
         "r.requirement",
@@ -343,11 +357,24 @@ def dmn_row_mismatch(receipts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def _mismatch(want: DataFrame, have: DataFrame, key: str, cells: list[str], check: str) -> DataFrame:
-    wanted = want.select(key, F.struct(*cells).alias("want"))
-    given = have.select(key, F.struct(*cells).alias("have"))
-    off = wanted.join(given, key, "left").where(~F.col("want").eqNullSafe(F.col("have")))
-    detail = F.when(F.col("have").isNull(), f"missing {check}").otherwise(f"{check} differs")
-    return _finding(off, check, key, detail)
+    """Both sides are tagged and grouped once by (pack, key): counts, and the least and the greatest of
+    the cells, combine before the shuffle, so neither many rows of one key nor a small side matter."""
+    group = own(want, key)
+    sides = [
+        frame.select(*group, F.struct(*cells).alias("cells"), F.lit(n).alias("given"))
+        for frame, n in ((want, 0), (have, 1))
+    ]
+    met = sides[0].unionByName(sides[1]).groupBy(*group).agg(
+        F.count(F.when(F.col("given") == 0, 1)).alias("n_want"), F.count(F.when(F.col("given") == 1, 1)).alias("n_have"),
+        F.min("cells").alias("least"), F.max("cells").alias("most"),
+    ).where(F.col("n_want") > 0)
+    detail = (
+        F.when(F.col("n_have") == 0, f"missing {check}")
+        .when(F.col("least") != F.col("most"), f"{check} differs")
+        .when(F.col("n_have") > F.col("n_want"), f"{check} is there more than once")
+    )
+    off = value_rows(met, group, "detail", detail)
+    return _finding(off, check, key, F.col("detail"))
 
 
 def model_text(text: Column, notation: str, vocabulary: Vocabulary = LOAN_VOCABULARY) -> Column:
@@ -366,21 +393,33 @@ def model_text(text: Column, notation: str, vocabulary: Vocabulary = LOAN_VOCABU
 def derived_mismatch(receipts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Derived fields whose model expression is not the receipt's. Both sides carry
     (rule_id, expression), the receipt's as `model_text` gives it."""
-    off = receipts.select("rule_id", F.col("expression").alias("want")).join(
-        nodes.select("rule_id", F.col("expression").alias("have")), "rule_id", "left"
+    key = own(receipts, "rule_id")
+    off = receipts.select(*key, F.col("expression").alias("want")).join(
+        nodes.select(*key, F.col("expression").alias("have")), key, "left"
     ).where(~F.col("want").eqNullSafe(F.col("have")))
     return _finding(off, "derived field", "rule_id", "the model differs from the receipt")
 
 
-def orphans(receipts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rules in the model without a receipt, and receipts of rules without a row."""
-    modelled = rows.select("rule_id").distinct()
-    written = receipts.where(F.col("kind") == "rule").select("rule_id")
-    return _finding(
-        modelled.join(receipts.select("rule_id"), "rule_id", "left_anti"), "orphan", "rule_id", "no receipt"
-    ).unionByName(
-        _finding(written.join(modelled, "rule_id", "left_anti"), "orphan", "rule_id", "no row")
+def orphans(receipts: DataFrame, *models: DataFrame) -> DataFrame:
+    """Rules in a model without a receipt, and receipts of rules without a row, for the models of either
+    format given, each by itself. One grouping by (pack, rule) over tagged rows, with counts only."""
+    group = own(receipts, "rule_id")
+    tagged = receipts.select(
+        *group, F.lit(True).alias("receipt"), (F.col("kind") == "rule").alias("rule"), F.lit(-1).alias("model"))
+    for n, rows in enumerate(models):
+        tagged = tagged.unionByName(
+            rows.select(*group, F.lit(False).alias("receipt"), F.lit(False).alias("rule"), F.lit(n).alias("model")))
+    met = tagged.groupBy(*group).agg(
+        F.max("receipt").alias("receipt"), F.max("rule").alias("rule"),
+        *[F.max(F.col("model") == n).alias(f"in_{n}") for n in range(len(models))],
+    )
+    there = [F.col(f"in_{n}") for n in range(len(models))]
+    found = value_rows(
+        met, group, "detail",
+        F.when(~F.col("receipt"), "no receipt"),
+        F.when(F.col("rule") & ~reduce(Column.__and__, there), "no row"),  # in one model or in several
     )
+    return _finding(found, "orphan", "rule_id", F.col("detail"))
 
 
 def graph_integrity(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -400,7 +439,8 @@ def graph_integrity(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     named = ends.select("pack", "node_id").distinct().alias("e")
     same = F.col("e.pack").eqNullSafe(F.col("n.pack")) & F.col("e.node_id").eqNullSafe(F.col("n.node_id"))
     lost = named.join(there.alias("n"), same, "left_anti").alias("n")
-    dangling = ends.alias("e").join(lost, same).select("edge", "e.pack", "e.node_id")
+    dangling = ends.alias("e").join(lost, same).select(
+        "edge", F.concat(F.lit("names no node: "), F.concat_ws("/", "e.pack", "e.node_id")).alias("detail"))
     broken = there.select(
         subject.alias("subject"),
         F.explode(F.array(
@@ -409,7 +449,7 @@ def graph_integrity(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )).alias("detail"),
     ).where(F.col("detail").isNotNull())
     return _finding(broken, "graph", "subject", F.col("detail")).unionByName(
-        _finding(dangling, "graph", "edge", F.concat(F.lit("names no node: "), subject))
+        _finding(dangling, "graph", "edge", F.col("detail"))
     )
 
 
@@ -432,8 +472,9 @@ def pack_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def unknown_changes(changes: DataFrame, receipts: DataFrame) -> DataFrame:
     """Added or changed rules that have no receipt."""
-    named = changes.where(F.col("change").isin("added", "changed")).select("rule_id").distinct()
-    lost = named.join(receipts.select("rule_id"), "rule_id", "left_anti")
+    key = own(receipts, "rule_id")
+    named = changes.where(F.col("change").isin("added", "changed")).select(*key).distinct()
+    lost = named.join(receipts.select(*key), key, "left_anti")
     return _finding(lost, "change", "rule_id", "the change names no receipt")
 
 

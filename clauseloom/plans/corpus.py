@@ -178,11 +178,11 @@ SQL: dict[str, str] = {
           from {orders}) as base""",
     # Decision-table rows as a pack carries them: two per rule, some lost, some edited, some stray.
     "model_rows": """
-        select rule_id || '/pass' as row_id, rule_id, applies_when as i1,
+        select pack, rule_id || '/pass' as row_id, rule_id, applies_when as i1,
           case when k % 23 = 0 then requirement || ' ' else requirement end as i2, 'pass' as result
         from {receipts} where kind = 'rule' and k % 29 <> 0
         union all
-        select case when k % 37 = 0 then 'stray' || cast(k as string) || '/r1/fail'
+        select pack, case when k % 37 = 0 then 'stray' || cast(k as string) || '/r1/fail'
                     else rule_id || '/fail' end as row_id,
           case when k % 37 = 0 then 'stray' || cast(k as string) || '/r1' else rule_id end as rule_id,
           applies_when as i1,
@@ -191,7 +191,7 @@ SQL: dict[str, str] = {
         from {receipts} where kind = 'rule'""",
     # The same rows in the second format, some lost, some without the parentheses they need.
     "dmn_model_rows": """
-        select 'rule_o' || cast(k as string) || '_r1_pass' as xml_id, rule_id, 'pass' as result,
+        select pack, 'rule_o' || cast(k as string) || '_r1_pass' as xml_id, rule_id, 'pass' as result,
           rule_id || '/pass' as description,
           case when feel_when = '' then '-'
                when feel_when = 'not(transaction.timeshare)' and k % 19 <> 0 then '(' || feel_when || ')'
@@ -199,7 +199,7 @@ SQL: dict[str, str] = {
           feel as requirement
         from {receipts} where kind = 'rule' and k % 31 <> 0
         union all
-        select 'rule_o' || cast(k as string) || '_r1_fail' as xml_id, rule_id, 'fail' as result,
+        select pack, 'rule_o' || cast(k as string) || '_r1_fail' as xml_id, rule_id, 'fail' as result,
           rule_id || '/fail' as description,
           case when feel_when = '' then '-'
                when feel_when = 'not(transaction.timeshare)' and k % 19 <> 0 then '(' || feel_when || ')'

@@ -504,18 +504,18 @@ CHECKS: dict[str, str] = {
         select distinct 'allow list' as "check", name as subject, 'function is not documented' as detail
         from {{uses_2}} where kind = 'function' and name not in {_names(FEEL_FUNCTIONS)}""",
     "row_receipt_mismatch": """
-        select 'row' as "check", w.row_id as subject,
+        select w.pack, 'row' as "check", w.row_id as subject,
           case when m.row_id is null then 'missing row' else 'row differs' end as detail
-        from (select rule_id || '/' || result as row_id, rule_id, applies_when as i1, result,
+        from (select pack, rule_id || '/' || result as row_id, rule_id, applies_when as i1, result,
             case result when 'pass' then requirement else 'not (' || requirement || ')' end as i2
           from {receipts}, (values ('pass'), ('fail')) r(result) where kind = 'rule') w
-        left join {model_rows} m on m.row_id = w.row_id
+        left join {model_rows} m on m.row_id = w.row_id and m.pack = w.pack
         where m.row_id is null or (m.rule_id, m.i1, m.i2, m.result) <> (w.rule_id, w.i1, w.i2, w.result)""",
     "dmn_row_receipt_mismatch": """
-        select 'dmn rule' as "check", 'rule_o' || k || '_r1_' || w.result as subject,
+        select r.pack, 'dmn rule' as "check", 'rule_o' || k || '_r1_' || w.result as subject,
           case when m.xml_id is null then 'missing dmn rule' else 'dmn rule differs' end as detail
-        from {receipts} cross join (values ('pass'), ('fail')) w(result)
-          left join {dmn_model_rows} m on m.xml_id = 'rule_o' || k || '_r1_' || w.result
+        from {receipts} r cross join (values ('pass'), ('fail')) w(result)
+          left join {dmn_model_rows} m on m.xml_id = 'rule_o' || k || '_r1_' || w.result and m.pack = r.pack
         where kind = 'rule' and (m.xml_id is null or (k % 19 = 0 and k % 5 in (3, 4))
           or (w.result = 'fail' and k % 17 = 0))""",
     "rule_sentences": f"""
@@ -523,11 +523,13 @@ CHECKS: dict[str, str] = {
           || ', and ' || {_labelled('i2')} || ', the result is **' || result || '**.' as line
         from {{model_rows}}""",
     "orphan_rows": """
-        select distinct 'orphan' as "check", rule_id as subject, 'no receipt' as detail from {model_rows}
-          where rule_id not in (select rule_id from {receipts})
+        select distinct pack, 'orphan' as "check", rule_id as subject, 'no receipt' as detail from (
+            select pack, rule_id from {model_rows} union all select pack, rule_id from {dmn_model_rows})
+          where (pack, rule_id) not in (select (pack, rule_id) from {receipts})
         union all
-        select 'orphan', rule_id, 'no row' from {receipts}
-          where kind = 'rule' and rule_id not in (select rule_id from {model_rows})""",
+        select pack, 'orphan', rule_id, 'no row' from {receipts}
+          where kind = 'rule' and ((pack, rule_id) not in (select (pack, rule_id) from {model_rows})
+            or (pack, rule_id) not in (select (pack, rule_id) from {dmn_model_rows}))""",
     "graph_integrity": """
         select 'graph' as "check", pack || '/' || node_id as subject, 'id is used twice' as detail
           from {nodes} group by pack, node_id having count(*) > 1

@@ -284,3 +284,42 @@ def test_gates_over_a_pack_that_was_read(pack):
     assert gates.derived_mismatch(derived, built).count() == 0
     nodes = one["node"].select("pack", "node_id", F.lit(2).alias("n_inputs"), F.lit(2).alias("n_outputs"))
     assert [r.detail[-4:] for r in gates.graph_integrity(nodes, one["edge"]).collect()] == ["gone"]
+
+
+def test_packs_with_shared_ids_are_kept_apart(spark):
+    """Two sound packs whose rules have the same ids: no finding. Then one row of one pack is edited, one
+    given twice, one rule is lost in the second format and one has no receipt: four findings, each in its pack."""
+    receipts = spark.createDataFrame(
+        [(p, r, "rule", "x", need, "x", need) for p, need in (("one", "ltv > 3"), ("two", "ltv > 5")) for r in ("a/r1", "b/r1")],
+        "pack string, rule_id string, kind string, applies_when string, requirement string, feel_when string, feel string",
+    )
+    rows, dmn = gates.expected_rows(receipts), gates.expected_dmn_rows(receipts)
+
+    def found(rows, dmn):
+        parts = gates.row_mismatch(receipts, rows).unionByName(gates.dmn_row_mismatch(receipts, dmn)).unionByName(
+            gates.orphans(receipts, rows, dmn))
+        return sorted((r.pack, r.check, r.subject, r.detail) for r in parts.collect())
+
+    assert found(rows, dmn) == []
+    edited = rows.withColumn("i2", F.when(F.expr("pack = 'two' and row_id = 'a/r1/pass'"), "y").otherwise(F.col("i2")))
+    twice = edited.unionByName(rows.where("pack = 'one' and row_id = 'b/r1/fail'"))
+    stray = twice.unionByName(rows.where("pack = 'one' and row_id = 'b/r1/fail'").withColumns(
+        {"rule_id": F.lit("z/r1"), "row_id": F.lit("z/r1/fail")}))
+    lost = dmn.where("not (pack = 'two' and rule_id = 'b/r1')")
+    assert found(stray, lost) == [
+        ("one", "orphan", "z/r1", "no receipt"), ("one", "row", "b/r1/fail", "row is there more than once"),
+        ("two", "dmn rule", "rule_b_r1_fail", "missing dmn rule"), ("two", "dmn rule", "rule_b_r1_pass", "missing dmn rule"),
+        ("two", "orphan", "b/r1", "no row"), ("two", "row", "a/r1/pass", "row differs"),
+    ]
+
+
+def test_audit_of_several_packs_is_that_of_each(spark, pack):
+    sentences = spark.createDataFrame([("p", "Within three days.")], "sentence_id string, text string")
+    sources = spark.createDataFrame([("s.txt", "01")], "source string, sha256 string")
+    at_once = sorted(tuple(r) for r in audit.audit(pack, sentences, sources).collect())
+    packs = sorted({r.pack for r in pack["receipt"].select("pack").collect()})
+    singly = []
+    for name in packs:
+        one = {k: v.where(F.col("pack") == name) for k, v in pack.items()}
+        singly += [tuple(r) for r in audit.audit(one, sentences, sources).collect()]
+    assert at_once == sorted(singly) and len(packs) > 1
