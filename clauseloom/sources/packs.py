@@ -7,12 +7,11 @@ of packs are one read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clauseloom.sources.questions import question_rows
+
 RECEIPT = (
     "kind string, sentence_id string, source string, source_sha256 string, quote string,"
     " node string, field string, applies_when string, requirement string, expression string,"
@@ -167,55 +166,42 @@ def change_rows(bodies: DataFrame) -> DataFrame:
     ).where(F.col("rule_id").isNotNull())
 
 
-QUESTIONS = (
-    "pack string, part string, id string, sentence_id string, text string, reading_id string,"
-    " answered_by string"
-)
+def unreadable(bodies: DataFrame, name: str = "pack", body: str = "body", form: str = "json") -> DataFrame:
+    """(check, subject, detail): files of one form (json, xml, yaml) that do not parse, or JSON files whose
+    top is no object. Readers make no rows of them, so without this finding an unreadable pack would look
+    sound."""
+    text = F.col(body)
+    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
+    if form == "yaml":
+        rows = question_rows(bodies.select(F.col(name).alias("pack"), text.alias("body")))
+        lost = rows.where(F.col("part") == "unreadable").select(F.col("pack").alias("subject"), F.col("text").alias("detail"))
+        none = bodies.where(blank).select(F.col(name).alias("subject"), F.lit("empty file").alias("detail"))
+        found = lost.unionByName(none)
+    else:
+        fails = F.json_object_keys(text).isNull() if form == "json" else corrupt_xml(text).isNotNull()
+        found = bodies.where(blank | fails).select(
+            F.col(name).alias("subject"),
+            F.when(blank, "empty file").otherwise("not a JSON object" if form == "json" else "not an XML document").alias("detail"),
+        )
+    return found.select(
+        F.lit("unreadable").alias("check"), F.col("subject").cast("string").alias("subject"), "detail"
+    )
 
 
-def question_rows(bodies: DataFrame) -> DataFrame:
-    """Question and answer files (YAML) as rows with a `part`: question, reading, answer, blocked,
-    skipped_fixture. Files are parsed where they lie, a batch at a time.
+def corrupt_xml(body: Column) -> Column:
+    """The text of a model file that does not parse; null for one that does."""
+    schema = f"{DMN_FILE}, _corrupt string"
+    return F.from_xml(body, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})["_corrupt"]
 
-    The parser is a local function, which travels to the executors by value: they need PyYAML, not
-    this package.
-    """
-    columns = [c.split()[0] for c in QUESTIONS.split(", ")]
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
-
-        for batch in batches:
-            rows = []
-            for pack, text in zip(batch["pack"], batch["body"]):
-                data = yaml.safe_load(text) or {}
-                for q in data.get("questions") or []:
-                    asked = (q["id"], q["sentence_id"])
-                    rows.append((pack, "question", *asked, q["issue"], None, None))
-                    for r in q.get("readings") or []:
-                        rows.append((pack, "reading", *asked, r["reading"], r["id"], None))
-                for a in data.get("answers") or []:
-                    rows.append((pack, "answer", a["question_id"], a["sentence_id"], a["reading"],
-                                 a["reading_id"], a.get("answered_by")))
-                for b in data.get("blocked") or []:
-                    rows.append((pack, "blocked", b["id"], b["sentence_id"], b["reason"], None, None))
-                for s in data.get("skipped_fixtures") or []:
-                    rows.append((pack, "skipped_fixture", s["fixture"], s["subsection"], s["reason"],
-                                 None, None))
-            yield pd.DataFrame(rows, columns=columns)
-
-    return bodies.select("pack", "body").mapInPandas(parse, QUESTIONS)
-
-
-def unreadable(bodies: DataFrame, name: str = "pack", body: str = "body") -> DataFrame:
-    """(check, subject, detail): JSON files that do not parse, or whose top is no object. Readers
-    make no rows of them, so without this finding an unreadable pack would look sound."""
-    keys = F.json_object_keys(F.col(body))
-    return bodies.where(keys.isNull()).select(
-        F.lit("unreadable").alias("check"), F.col(name).cast("string").alias("subject"),
-        F.when(F.trim(F.coalesce(F.col(body), F.lit(""))) == "", "empty file")
-        .otherwise("not a JSON object").alias("detail"),
-    )
+
+def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file of the packs under `folder` that cannot be read, with its pack."""
+    forms = {"json": ["receipts.json", "rules.jdm.json", "changes.json"], "xml": ["rules.dmn"],
+             "yaml": ["questions.yaml", "answers.yaml"]}
+    parts = []
+    for form, files in forms.items():
+        parts.append(unreadable(read_bodies(spark, [f"{folder}/{f}" for f in files]), form=form))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def read_pack(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -241,6 +241,25 @@ def test_read_loan_files(spark, tmp_path):
     assert got["b.json"].closing_date == date(2026, 10, 19) and got["b.json"].cd.issue_date is None
 
 
+def test_rejected_loans_are_findings_in_batch_and_stream(spark, tmp_path):
+    good = json.dumps({"loan_id": "1", "closing_date": "2026-10-19"})
+    bad = ['{"closing_date": "2026-', "not json"]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "lines.json").write_text("\n".join([bad[0], good, bad[1], good]))
+    path = str(folder / "*.json")
+    assert [r.closing_date for r in source.read_loans(spark, path, one_per_file=False).collect()] == [date(2026, 10, 19)] * 2
+    assert sorted(r.detail for r in source.rejected_loans(spark, path, one_per_file=False).collect()) == sorted(bad)
+    (tmp_path / "whole.json").write_text(bad[0])
+    assert source.read_loans(spark, str(tmp_path / "whole.json")).count() == 0
+    lost = source.rejected_loans(spark, str(tmp_path / "whole.json")).collect()
+    assert [(r.check, r.subject[-10:], r.detail) for r in lost] == [("unreadable", "whole.json", bad[0])]
+    out = str(tmp_path / "out")
+    stream.append_findings(stream.rejected_stream(spark, str(folder)), out).awaitTermination()
+    assert sorted(r.detail for r in spark.read.parquet(f"{out}/findings").collect()) == sorted(bad)
+    assert stream.loan_stream(spark, str(folder)).isStreaming
+
+
 def test_conformance(spark):
     raw = spark.createDataFrame(
         [

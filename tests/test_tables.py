@@ -323,3 +323,52 @@ def test_audit_of_several_packs_is_that_of_each(spark, pack):
         one = {k: v.where(F.col("pack") == name) for k, v in pack.items()}
         singly += [tuple(r) for r in audit.audit(one, sentences, sources).collect()]
     assert at_once == sorted(singly) and len(packs) > 1
+
+
+YAML_FILES = {
+    "block": "questions:\n- id: q1\n  sentence_id: 's: 1'\n  issue: a plain text\n    over lines, it's \"so\" # no more\n"
+             "  readings:\n  - id: a\n    reading: \"first \\\"one\\\"\"\n  - id: b\n    reading: >\n      folded\n      text\n"
+             "  quote: ''\n  answer: null\n- id: q2\n  sentence_id: p\n  issue: 'two\n    it''s lines'\n",
+    "inline": "# a comment\nanswers:\n  - {question_id: q1, sentence_id: p, reading_id: a, reading: 'x, y', answered_by: me}\n"
+              "blocked: []\nskipped_fixtures:\n  - fixture: f\n    subsection: 1(a)\n    reason: waits\n",
+    "none": "", "sections only": "questions: []\nanswers:\n",
+}
+BAD_FILES = {
+    "open quote": "questions:\n- id: 'x\n  issue: y\n", "no section": "some text\nmore", "item without section": "- id: a\n",
+    "text among keys": "questions:\n- id: a\n  some text\n", "open braces": "answers:\n- {question_id: q\n",
+    "top value": "questions: all\n", "anchor": "blocked:\n- id: *other\n",
+}
+
+
+def test_question_files_are_read_as_a_yaml_parser_does(spark):
+    """The parser is that of the tests, not of the library."""
+    yaml = pytest.importorskip("yaml")
+    rows = [(k, v) for k, v in {**YAML_FILES, **BAD_FILES}.items()] + [("null", None)]
+    got = packs.question_rows(spark.createDataFrame(rows, "pack string, body string")).collect()
+    want = set()
+    for pack, text in YAML_FILES.items():
+        data = yaml.safe_load(text) or {}
+        for q in data.get("questions") or []:
+            want.add((pack, "question", q["id"], q["sentence_id"], q["issue"].strip(), None, None))
+            for r in q.get("readings") or []:
+                want.add((pack, "reading", q["id"], q["sentence_id"], r["reading"].strip(), r["id"], None))
+        for a in data.get("answers") or []:
+            want.add((pack, "answer", a["question_id"], a["sentence_id"], a["reading"], a["reading_id"], a.get("answered_by")))
+        for s in data.get("skipped_fixtures") or []:
+            want.add((pack, "skipped_fixture", s["fixture"], s["subsection"], s["reason"], None, None))
+    assert {tuple(r) for r in got if r.part != "unreadable"} == want
+    assert {r.pack for r in got if r.part == "unreadable"} == set(BAD_FILES)
+
+
+def test_unreadable_files_of_each_form(spark, tmp_path):
+    bodies = spark.createDataFrame(
+        [("a", DMN), ("b", "<definitions><decision id="), ("c", "no xml"), ("d", " "), ("e", None), ("f", "<a><b></a>")],
+        "pack string, body string")
+    found = {r.subject: r.detail for r in packs.unreadable(bodies, form="xml").collect()}
+    assert found == {"b": "not an XML document", "c": "not an XML document", "d": "empty file", "e": "empty file",
+                     "f": "not an XML document"}
+    for name, text in {"receipts.json": "{", "rules.jdm.json": "{}", "changes.json": "[]", "rules.dmn": "<a",
+                       "questions.yaml": "questions:\n- id: 'x\n", "answers.yaml": "answers: []\n"}.items():
+        (tmp_path / name).write_text(text)
+    assert sorted(r.detail for r in packs.unreadable_files(spark, str(tmp_path)).collect()) == [
+        "not a JSON object", "not a JSON object", "not a file of questions and answers", "not an XML document"]
