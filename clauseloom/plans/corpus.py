@@ -251,6 +251,28 @@ SQL: dict[str, str] = {
     "facts": """
         select o_orderkey as fact_id, c_mktsegment as tier, o_totalprice as total
         from {orders} join {customer} on o_custkey = c_custkey""",
+    # A decision table of a row per order line: a tier or any, an interval of the total, some one-sided.
+    "table_rows": """
+        select l_orderkey * 10 + l_linenumber as row_no,
+          case l_suppkey % 6 when 0 then 'AUTOMOBILE' when 1 then 'BUILDING' when 2 then 'FURNITURE'
+            when 3 then 'MACHINERY' when 4 then 'HOUSEHOLD' end as tier_eq,
+          case when l_orderkey % 19999 = 7 then null else l_extendedprice * 5 end as total_lo,
+          case when l_orderkey % 19999 = 8 then null
+            when l_orderkey % 19999 = 7 then l_extendedprice / 20 else l_extendedprice * 5 + l_quantity end as total_hi,
+          l_linenumber = 2 as total_lo_open, l_linenumber = 3 as total_hi_open,
+          'p' || cast(l_partkey as string) as price
+        from {lineitem}""",
+    # Model files and question files as they arrive, some cut off. chr(10) ends a line.
+    "arrived_models": """
+        select 'm' || cast(o_orderkey as string) as name,
+          case when o_orderkey % 41 = 0 then '<definitions><decision id=' when o_orderkey % 43 = 0 then ' '
+            else '<definitions><decision id="d"/></definitions>' end as body
+        from {orders}""",
+    "arrived_questions": """
+        select 'q' || cast(c_custkey as string) as name,
+          case when c_custkey % 41 = 0 then 'questions:' || chr(10) || '- id: "' || c_name
+            when c_custkey % 43 = 0 then '' else 'questions:' || chr(10) || '- id: ' || c_name end as body
+        from {customer}""",
     # Quotes: every sentence of a document is quoted by a receipt; some quotes are altered, some
     # name a sentence or a source state that is not there.
     "quotes": """

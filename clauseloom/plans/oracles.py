@@ -284,6 +284,13 @@ BUILT["by_ordinal"] = f"""
       union all
       select loan_id, '{TIMESHARE_RULE}', timeshare, receipt <= closing_date from {{ordinal_receipts}})
     where applies and met is not null"""
+BUILT["table_best"] = """
+    select fact_id, count(*) as n, min(row_no) as first_row, arg_min(price, row_no) as price
+    from {facts} join {table_rows}
+      on total >= coalesce(total_lo, -1e300) and total <= coalesce(total_hi, 1e300)
+    where (tier_eq is null or tier_eq = tier) and not (total_lo_open and total = coalesce(total_lo, -1e300))
+      and not (total_hi_open and total = coalesce(total_hi, 1e300))
+    group by fact_id"""
 BUILT["readback_states"] = """
     select *, case when (doc_id + n) % 11 = 0 then 'QUESTION' when n % 3 = 0 then 'NOT_A_RULE'
       else 'RULE' end as state from {doc_sentences}"""
@@ -319,7 +326,13 @@ CHECKS: dict[str, str] = {
         select 'unreadable' as "check", cast(loan_id as string) as subject,
           case when trim(body) = '' then 'empty file' else 'not a JSON object' end as detail
         from {arrived_bodies}
-        where not json_valid(body) or json_type(case when json_valid(body) then body end) <> 'OBJECT'""",
+        where not json_valid(body) or json_type(case when json_valid(body) then body end) <> 'OBJECT'
+        union all
+        select 'unreadable', name, case when trim(body) = '' then 'empty file' else 'not an XML document' end
+        from {arrived_models} where not ends_with(body, '</definitions>')
+        union all
+        select 'unreadable', name, case when body = '' then 'empty file' else 'not a file of questions and answers' end
+        from {arrived_questions} where body = '' or contains(body, '"')""",
     "conformance_report": f"""
         select loan_id, 'cd.issue_date' as field, 'not a date' as problem from {{raw_loans}}
           where issue_date is not null and {_parsed('issue_date')} is null
@@ -443,6 +456,10 @@ CHECKS: dict[str, str] = {
             case when tier = 'BUILDING' and total > 250000 then '3' end,
             case when total >= 400000 then '4' end, '5'], lambda x: x is not null), ',') as rows
         from {facts}""",
+    "decision_tables_as_data": """
+        select fact_id, coalesce(n, 0) as n_hits, coalesce(n, 0) > 1 as violation, first_row, price as first,
+          case when n = 1 then price end as only
+        from {facts} left join {table_best} using (fact_id)""",
     "rule_functions": """
         select o_orderkey, isodow(d) as weekday, d + 3 as added, d - 3 as subtracted, e - d as diff,
           strftime(d, '%Y-%m-%d') as formatted, d < e as before, d > e as after, d = e as same,

@@ -29,6 +29,7 @@ from clauseloom.operators import (
     gates,
     quotes,
     report,
+    rule_tables,
     rules,
     sentences,
     tables,
@@ -80,8 +81,12 @@ def loan_files(i: Inputs) -> DataFrame:
 
 @query
 def unreadable_files(i: Inputs) -> DataFrame:
-    """Bodies of loan files as they arrive: some are cut off, some empty, some no object."""
-    return packs.unreadable(i["arrived_bodies"], "loan_id")
+    """Files as they arrive, of loans, models and questions: some are cut off, some empty, some no object."""
+    return (
+        packs.unreadable(i["arrived_bodies"], "loan_id")
+        .unionByName(packs.unreadable(i["arrived_models"], "name", form="xml"))
+        .unionByName(packs.unreadable(i["arrived_questions"], "name", form="yaml"))
+    )
 
 
 @query
@@ -465,6 +470,14 @@ def field_cells(i: Inputs) -> DataFrame:
     return out.select("fact_id", F.array_join("rows", ",").alias("rows"))
 
 
+@query
+def decision_tables_as_data(i: Inputs) -> DataFrame:
+    """The hit policies first and unique of a table with a row per order line."""
+    facts = i["facts"]
+    found = rule_tables.matches(facts, i["table_rows"], "fact_id", ["tier"], ["total"], "price")
+    return rule_tables.hit_policies(facts, found, "fact_id", "price")
+
+
 @query
 def rule_functions(i: Inputs) -> DataFrame:
     """The calls a rule may make, on order dates, through the language table."""

@@ -1,13 +1,14 @@
 """Decision tables, the rule language, pack files."""
 
 import json
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from clauseloom.functions import language
-from clauseloom.operators import audit, gates, tables
+from clauseloom.operators import audit, gates, rule_tables, tables
 from clauseloom.sources import packs
 
 DISCOUNTS = ({"tier": '"gold"', "total": ">= 100", "discount": 0.15}, {"tier": "", "total": "-", "discount": 0.0})
@@ -372,3 +373,40 @@ def test_unreadable_files_of_each_form(spark, tmp_path):
         (tmp_path / name).write_text(text)
     assert sorted(r.detail for r in packs.unreadable_files(spark, str(tmp_path)).collect()) == [
         "not a JSON object", "not a JSON object", "not a file of questions and answers", "not an XML document"]
+
+
+def test_tables_as_data_equal_every_row_tried(spark):
+    """Intervals of all widths, open and missing bounds, points, any texts, missing fields, empty sides."""
+    rng = random.Random(12)
+    values = [None, 0.0, -3.5, 7.0, 7.25, 1e9, -1e-3, 123456.75, *[rng.uniform(-50, 50) for _ in range(30)]]
+    facts = [(k, rng.choice(["a", "b", None]), rng.choice(["x", "y"]), rng.choice(values), rng.choice(values)) for k in range(150)]
+    rows = []
+    for n in range(200):
+        lo = rng.choice([v for v in values if v is not None] + [None])
+        hi = None if rng.random() < 0.2 else (lo or 0.0) + rng.choice([0.0, 0.001, 3.0, 40.0, 1e6, -1.0])
+        other = rng.choice([None, None, -1.0])
+        rows.append((n, rng.choice(["a", "b", None]), rng.choice(["x", None, None]), lo, hi, rng.choice([True, False, None]),
+                     rng.random() < 0.5, other, None, False, False, f"out{n}"))
+    f = spark.createDataFrame(facts, "k int, s string, t string, u double, v double")
+    t = spark.createDataFrame(rows, "row_no int, s_eq string, t_eq string, u_lo double, u_hi double, u_lo_open boolean,"
+                                    " u_hi_open boolean, v_lo double, v_hi double, v_lo_open boolean, v_hi_open boolean, out string")
+
+    def inside(x, lo, hi, lo_open, hi_open):
+        above = lo is None or (x is not None and (x > lo if lo_open else x >= lo))
+        return above and (hi is None or (x is not None and (x < hi if hi_open else x <= hi)))
+
+    want = {
+        (k, n) for k, s, t_, u, v in facts for n, se, te, lo, hi, lo_o, hi_o, vlo, vhi, *_ in rows
+        if se in (None, s) and te in (None, t_) and inside(u, lo, hi, lo_o, hi_o) and inside(v, vlo, vhi, False, False)
+    }
+    found = rule_tables.matches(f, t, "k", ["s", "t"], ["u", "v"], "out")
+    got = [(r.k, r.row_no) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    policies = {r.k: (r.n_hits, r.first_row, r.only) for r in rule_tables.hit_policies(f, found, "k", "out").collect()}
+    for k, *_ in facts:
+        hits = sorted(n for j, n in want if j == k)
+        assert policies[k] == (len(hits), hits[0] if hits else None, f"out{hits[0]}" if len(hits) == 1 else None)
+    assert rule_tables.matches(f.limit(0), t, "k", ["s", "t"], ["u", "v"], "out").count() == 0
+    assert rule_tables.matches(f, t.limit(0), "k", ["s", "t"], ["u", "v"], "out").count() == 0
