@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from html import escape
 from html.parser import HTMLParser
 
@@ -87,11 +88,13 @@ class Node:
 
 
 class Tree(HTMLParser):
-    """Builds the tree of one page."""
+    """Builds the tree of one page. The open elements are a stack, with the places of each tag in it, so
+    that closing an element looks at no ancestor that stays open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
+        self.path, self.places = [self.root], {}
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
@@ -109,6 +112,8 @@ class Tree(HTMLParser):
         node = Node(tag, words, self.at)
         self.at.children.append(node)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -121,11 +126,14 @@ class Tree(HTMLParser):
         self.at.children.append(data)
 
     def _close(self, tag, stop):
-        node = self.at
-        while node.parent is not None and node.tag != tag and node.tag not in stop:
-            node = node.parent
-        if node.parent is not None and node.tag == tag:
-            self.at = node.parent
+        """Closes the last open element of the tag, unless one of `stop` was opened since."""
+        places = self.places.get(tag)
+        if not places or any(self.places.get(s) and self.places[s][-1] > places[-1] for s in stop):
+            return
+        at = places[-1]
+        while len(self.path) > at:
+            self.places[self.path.pop().tag].pop()
+        self.at = self.path[-1]
 
 
 def parse(html: str) -> Node:
@@ -284,9 +292,10 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
         kids.setdefault(int(parent[i]), []).append(i)
     for siblings in kids.values():
         tags = [nodes[i].tag for i in siblings]
+        times = Counter(tags)
         longest = max(total[i, 0] for i in siblings)
         for k, i in enumerate(siblings):
-            x[i, 0:4] = k, len(siblings), tags.count(tags[k]), total[i, 0] / max(longest, 1)
+            x[i, 0:4] = k, len(siblings), times[tags[k]], total[i, 0] / max(longest, 1)
     chars, words, stops, linked, tags = total.T
     x[:, 4] = np.log1p(chars)
     x[:, 5] = chars / np.maximum(tags, 1)

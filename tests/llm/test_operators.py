@@ -496,3 +496,16 @@ def test_pieces_are_the_best_path_and_come_back(spark):
     back = pieces.decoded(coded.drop("text"), p)
     assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
     assert pieces.with_ids(docs.limit(0), p).count() == 0
+
+
+def test_pages_deep_and_wide_take_linear_time():
+    """A hundred thousand elements inside each other or side by side; closing tags out of order."""
+    import time
+
+    for page in ("<div>" * 100_000 + "x", "<p>a b</p>" * 100_000, "<p>" + "<span>a</span>" * 50_000, "<ul>" + "<li>a" * 50_000):
+        started = time.time()
+        html_text.features(html_text.nodes_of(html_text.parse(page)))
+        assert time.time() - started < 40
+    odd = html_text.parse("<table><tr><td><p>a<table><tr><td>b</p>c</table>d</td></tr></table><b>e</i></b>f</p></div>g")
+    texts = [n for n in html_text.nodes_of(odd) if n.tag == "table"]
+    assert len(texts) == 2 and texts[1].parent.tag in ("p", "td")
