@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clauseloom.functions import names
@@ -277,6 +277,13 @@ def allowlist_gate(functions: DataFrame, notation: str = "expression") -> DataFr
     return _finding(unknown, "allow list", "name", F.concat(F.col("kind"), F.lit(" is not documented")))
 
 
+def listed_names(spark: SparkSession, vocabulary: Vocabulary = LOAN_VOCABULARY) -> DataFrame:
+    """(kind, name): the functions and methods a vocabulary lists, which `allowlist_gate` holds against
+    the language. Rules may call no others, so an undocumented one among them must not be listed."""
+    names = [("function", n) for n in vocabulary.functions] + [("method", n) for n in vocabulary.methods]
+    return spark.createDataFrame(names, "kind string, name string")
+
+
 # --- receipts against the model ---------------------------------------------------------------
 
 def expected_rows(receipts: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ tokens for rule text.
 from __future__ import annotations
 
 from clauseloom.functions import text as tx
-from clauseloom.functions.language import FEEL_FUNCTIONS
+from clauseloom.functions.language import DATE_METHODS, EXPRESSION_FUNCTIONS, FEEL_FUNCTIONS
 from clauseloom.model import (
     GENERAL_PARAGRAPH,
     GENERAL_RULE,
@@ -220,6 +220,10 @@ def _names(names) -> str:
     return "(" + ", ".join(_quoted(n) for n in names) + ")"
 
 
+def _listed(names) -> str:
+    return "[" + ", ".join(_quoted(n) for n in names) + "]"
+
+
 _FIELDS = [*LOAN_VOCABULARY.fields, *LOAN_VOCABULARY.derived]
 _FEEL_FIELDS = [*LOAN_VOCABULARY.fields, *[d.replace(".", "_") for d in LOAN_VOCABULARY.derived]]
 
@@ -519,7 +523,14 @@ CHECKS: dict[str, str] = {
         union all select rule_id, pos, kind, name, role, 'feel' from {uses_2}""",
     "allowlist_gate": f"""
         select distinct 'allow list' as "check", name as subject, 'function is not documented' as detail
-        from {{uses_2}} where kind = 'function' and name not in {_names(FEEL_FUNCTIONS)}""",
+        from {{uses_2}} where kind = 'function' and name not in {_names(FEEL_FUNCTIONS)}
+        union all
+        select distinct 'allow list', name, kind || ' is not documented' from (
+            select kind, name from {{uses_1}}
+            union all select 'function', unnest({_listed(LOAN_VOCABULARY.functions)})
+            union all select 'method', unnest({_listed(LOAN_VOCABULARY.methods)}))
+        where kind = 'function' and name not in {_names(EXPRESSION_FUNCTIONS)}
+          or kind = 'method' and name not in {_names(DATE_METHODS)}""",
     "row_receipt_mismatch": """
         select w.pack, 'row' as "check", w.row_id as subject,
           case when m.row_id is null then 'missing row' else 'row differs' end as detail

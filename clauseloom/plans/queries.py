@@ -601,8 +601,11 @@ def expression_uses(i: Inputs) -> DataFrame:
 
 @query
 def allowlist_gate(i: Inputs) -> DataFrame:
-    used = expressions.uses(i["receipts"], "feel", "feel", ["rule_id"]).where("kind = 'function'")
-    return gates.allowlist_gate(used, "feel")
+    """What the rules of both notations call, and what the vocabulary lets them call."""
+    called = expressions.uses(i["receipts"], "requirement", "expression", ["rule_id"], begin=expressions.NAMES)
+    first = called.where("kind in ('function', 'method')").select("kind", "name").unionByName(gates.listed_names(i.spark))
+    second = expressions.uses(i["receipts"], "feel", "feel", ["rule_id"], begin=expressions.NAMES).where("kind = 'function'")
+    return gates.allowlist_gate(first).unionByName(gates.allowlist_gate(second, "feel"))
 
 
 @query

@@ -1,11 +1,13 @@
 """Gates: each defect is caught and named, and good rules pass."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from clauseloom.functions import language
+from clauseloom.model import LOAN_VOCABULARY
 from clauseloom.operators import blocking, checks, expressions, gates, report
 
 # Fixed published samples: the quote, the rules and expressions below are given test values.
@@ -118,6 +120,10 @@ def test_uses_of_the_documented_examples(spark):
 def test_allow_lists(spark):
     listed = spark.createDataFrame([("function", "d"), ("method", "weekday"), ("function", "eval")], "kind string, name string")
     assert [r.subject for r in gates.allowlist_gate(listed).collect()] == ["eval"]
+    assert gates.allowlist_gate(gates.listed_names(spark)).count() == 0
+    odd = replace(LOAN_VOCABULARY, functions=(*LOAN_VOCABULARY.functions, "eval"), methods=("weekday", "shift"))
+    found = {(r.subject, r.detail) for r in gates.allowlist_gate(gates.listed_names(spark, odd)).collect()}
+    assert found == {("eval", "function is not documented"), ("shift", "method is not documented")}
     assert len(language.EXPRESSION_FUNCTIONS) == 42 and len(language.DATE_METHODS) == 29
     assert len(language.FEEL_FUNCTIONS) == 99
 
