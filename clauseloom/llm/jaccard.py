@@ -21,7 +21,8 @@ and codes of boilerplate come last. (4) Each run of what is left gives pairs of
 as many as nodes. They are checked, by the Hamming bound of a dense sketch first, then by the sets.
 (5) In runs
 whose nodes are still in several components, nodes of different components are all compared, by size and sketch within the
-task; only pairs that may link leave it, so no link between components is lost. (6) Components.
+task; only pairs that may link leave it, so no link between components is lost. Large runs are cut by size and
+into blocks, and pairs of blocks are dealt to many tasks. (6) Components.
 
 Keys and shingles are 64-bit hashes. Cases: null text is empty; null and repeated doc_ids get a row
 each; the component is named by its smallest doc_id. An empty table gives no rows. Other columns are
@@ -30,6 +31,8 @@ not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +46,7 @@ from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, wor
 BLOCK = 300_000  # words worked on at a time
 PER_BUCKET = 2_000_000  # segment codes in a bucket, on average
 PER_GROUP = 20_000  # rows of runs compared in one group, on average
+PER_BLOCK = 2_000  # nodes of a run in a block, on average
 STARS = 1  # turns of checks against one node of each run, before all pairs across components
 FILTER_BITS = 1 << 23  # of the filter that tells which texts are needed again
 
@@ -420,23 +424,83 @@ def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
+def cells(rows: DataFrame, percent: int) -> DataFrame:
+    """rows with `unit` and `side`: what is compared with what.
+
+    A run of at most PER_BLOCK nodes is a unit by itself. A larger one is cut by bands of sizes, of
+    which linked sets are in one or in two neighbouring, and each band into blocks of some PER_BLOCK
+    nodes; a unit is a block alone (all in `side` 0) or two blocks, one on each side. Every pair that
+    sizes allow is in exactly one unit of its run, and no unit outgrows two blocks.
+    """
+    wide = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)
+    banded = rows.withColumn("band", F.floor(F.log("n") / wide))
+    counted = banded.groupBy("run", "band").agg(F.count("*").alias("m"))
+    whole = counted.groupBy("run").agg(
+        F.sum("m").alias("all"),
+        # As many as there are sizes of texts, on a scale of logarithms.
+        F.map_from_entries(F.collect_list(F.struct(
+            "band", F.ceil(F.col("m") / PER_BLOCK).alias("blocks")
+        ))).alias("blocks"),
+    )
+    few = whole.where(F.col("all") <= PER_BLOCK).select("run")
+    small = rows.join(few, "run", "left_semi").withColumns({"unit": F.col("run"), "side": F.lit(0)})
+    large = banded.join(whole.where(F.col("all") > PER_BLOCK), "run")
+    large = large.withColumn(
+        "block", F.pmod(F.xxhash64("key"), F.try_element_at("blocks", F.col("band")))
+    )
+
+    def others(step: int):
+        """The blocks of a band `step` away."""
+        there = F.coalesce(F.try_element_at("blocks", F.col("band") + step), F.lit(0))
+        return F.when(there > 0, F.sequence(F.lit(0).cast("long"), there - 1)).otherwise(
+            F.array().cast("array<long>")
+        )
+
+    def unit(low, i, high, j):
+        return F.xxhash64("run", low, i, high, j)
+
+    band, block = F.col("band"), F.col("block")
+    units = F.concat(
+        F.transform(others(0), lambda j: F.struct(
+            unit(band, F.least(block, j), band, F.greatest(block, j)).alias("unit"),
+            (block > j).cast("int").alias("side"),
+        )),
+        F.transform(others(1), lambda j: F.struct(
+            unit(band, block, band + 1, j).alias("unit"), F.lit(0).alias("side")
+        )),
+        F.transform(others(-1), lambda j: F.struct(
+            unit(band - 1, j, band, block).alias("unit"), F.lit(1).alias("side")
+        )),
+    )
+    large = large.select(*rows.columns, F.explode_outer(units).alias("u")).select(
+        *rows.columns, "u.unit", "u.side"
+    )
+    return small.unionByName(large)
+
+
 def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs of nodes of one run in different components whose sizes and sketches allow
-    a link. Only these leave the task; runs are dealt to groups of some PER_GROUP rows."""
-    rows = placed.join(sets.select("key", "n", "sketch"), "key")
-    groups = max(shuffle_partitions(placed.sparkSession), placed.count() // PER_GROUP + 1)
-    # Runs with the same first node mostly have the same nodes: they go together.
-    first = rows.groupBy("run").agg(F.min("key").alias("first"))
-    dealt = rows.join(first, "run").withColumn(
-        "group", F.pmod(F.xxhash64("first"), F.lit(groups))
-    ).drop("first")
+    a link. Only these leave the task; units are dealt to groups of some PER_GROUP rows."""
+    rows = cells(placed.join(sets.select("key", "n"), "key"), percent)
+    rows = written(rows.select("key", "root", "n", "unit", "side"), "units")
+    # Units with the same first node mostly have the same nodes: they go together, as far as a
+    # group holds them.
+    first = rows.groupBy("unit").agg(F.min("key").alias("first"), F.count("*").alias("m"))
+    family = first.groupBy("first").agg(F.ceil(F.sum("m") / PER_GROUP).alias("shares"))
+    groups = max(shuffle_partitions(placed.sparkSession), rows.count() // PER_GROUP + 1)
+    dealt = first.join(family, "first").select("unit", F.pmod(
+        F.xxhash64("first", F.pmod(F.xxhash64("unit"), "shares")), F.lit(groups)
+    ).alias("group"))
+    dealt = rows.join(dealt, "unit").join(sets.select("key", "sketch"), "key")
 
     def compare(table: pa.Table) -> pa.Table:
-        run, key, root, n = (table.column(c).to_numpy() for c in ("run", "key", "root", "n"))
+        unit, side, key, root, n = (
+            table.column(c).to_numpy() for c in ("unit", "side", "key", "root", "n")
+        )
         sketches = table.column("sketch").to_pylist()
-        order = np.argsort(run, kind="stable")
-        cut = np.flatnonzero(np.concatenate([[True], run[order][1:] != run[order][:-1], [True]]))
-        out = [np.zeros((2, 0), np.int64)]
+        order = np.lexsort((side, unit))
+        cut = np.flatnonzero(np.concatenate([[True], unit[order][1:] != unit[order][:-1], [True]]))
+        out, waiting = [np.zeros((2, 0), np.int64)], 0
         for lo, hi in zip(cut[:-1], cut[1:]):
             at = order[lo:hi]
             size = min(len(sketches[i]) for i in at)
@@ -445,17 +509,20 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint8).reshape(-1, size), axis=0)
                 for i in at
             ])
+            bits = bits.view(np.uint64) if size % 8 == 0 else bits
             k, r, m = key[at], root[at], n[at]
-            for j in range(len(at) - 1):
-                rest = slice(j + 1, None)
+            left = np.count_nonzero(side[at] == 0)
+            for j in range(left):
+                rest = slice(j + 1 if left == len(at) else left, None)
                 apart = np.bitwise_count(bits[rest] ^ bits[j]).sum(axis=1, dtype=np.int64)
                 fits = (r[rest] != r[j]) & (apart <= (m[rest] + m[j]) * (100 - percent) // (100 + percent))
                 fits &= 100 * np.minimum(m[rest], m[j]) >= percent * np.maximum(m[rest], m[j])
                 if fits.any():
                     other = k[rest][fits]
                     out.append(np.stack([np.minimum(other, k[j]), np.maximum(other, k[j])]))
-            if sum(o.shape[1] for o in out) > 100_000:
-                out = [np.unique(np.concatenate(out, axis=1), axis=1)]
+                    waiting += len(other)
+                if waiting > 100_000:
+                    out, waiting = [np.unique(np.concatenate(out, axis=1), axis=1)], 0
         pairs = np.unique(np.concatenate(out, axis=1), axis=1)
         return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
