@@ -1,12 +1,17 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension (positive or not), cut into m segments of about log2(rows)
-bits, each with an index: segment value to codes. Two codes at distance d agree in some segment
-up to d / m bits. Round r looks up, in every segment, the values at exactly r bits from the
-query's. After it every code within m * (r + 1) - 1 bits has been met, so a query is finished
-as soon as its k-th verified distance is no larger; only the others go on to the next radius.
+bits, each with an index: segment value to codes. Radii grow by one in one segment after the other. A step
+looks up, in its segment, the values at exactly r bits from the query's. A code that no step so far
+has met differs in each segment by more than its radius, so the sum of radius + 1 over the segments
+bounds its distance from below. A query is finished as soon as its k-th verified distance is below that
+sum; only the others go on to the next step. Radii 0 and 1 have few values and are one step each.
 At the full radius all codes have been met, so every answer is exact.
 
+Which values of a segment are near which is told once for each value that open queries have, not once a
+query, and against the values that occur: a table of at most 2^size values a segment, broadcast while
+count * 2^size is at most VALUES. Only pairs of values that occur meet queries and codes.
+
 Equal codes are one entry of the index with its k + 1 smallest ids, so a vector that is
 repeated over and over costs no more than one. Queries with equal codes are answered once, for k + 1
 rows; a query then drops itself. Each meeting of two codes counts in the first round and segment
@@ -23,11 +28,14 @@ from __future__ import annotations
 import itertools
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clauseloom.llm.shared import written
+from clauseloom.llm.shared import shuffle_partitions, written
+
+VALUES = 1 << 20  # values of all segments that are broadcast, at most
 
 
 def segments_of(vector: str, bits: int, size: int):
@@ -46,6 +54,14 @@ def masks(size: int, radius: int) -> list[int]:
     return [sum(1 << b for b in c) for c in itertools.combinations(range(size), radius)]
 
 
+def steps(count: int, size: int) -> list[tuple[int, list[int]]]:
+    """(radius, segments) in order: radii 0 and 1 in all segments at once, then one at a time."""
+    segments = list(range(count))
+    return [(r, segments) for r in range(min(2, size + 1))] + [
+        (r, [j]) for r in range(2, size + 1) for j in segments
+    ]
+
+
 def _distance(a: str, b: str):
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, d) -> s + d)")
 
@@ -95,16 +111,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     asked = written(coded(queries), "queries")
     pending = asked.select(F.col("code").alias("query")).distinct()
     enough = min(most, entries.select("id").count())
+    values = written(index.select("segment", "value").distinct(), "code-values")
+    values = F.broadcast(values) if count << size <= VALUES else values.hint("merge")
+    dealt = shuffle_partitions(vectors.sparkSession)
     best = None
-    for radius in range(size + 1):
-        flips = F.array(*(F.lit(m) for m in masks(size, radius)))
-        probes = (
-            pending.select("query", F.posexplode("query").alias("segment", "whole"))
-            .select("query", "segment", "whole", F.explode(flips).alias("flip"))
-            .select("query", "segment", F.col("whole").bitwiseXOR(F.col("flip")).alias("value"))
+    for radius, parts in steps(count, size):
+        flips = F.lit(np.array(masks(size, radius), np.int32))
+        open_ = pending.select("query", F.posexplode("query").alias("segment", "whole")).where(
+            F.col("segment").isin(parts)
+        )
+        near = (
+            open_.select("segment", "whole").distinct().repartition(dealt, "segment", "whole")
+            .select("segment", "whole", F.explode(flips).alias("flip"))
+            .select("segment", "whole", F.col("whole").bitwiseXOR(F.col("flip")).alias("value"))
+            .join(values, ["segment", "value"])
         )
         met = (
-            probes.join(index.hint("merge"), ["segment", "value"])
+            open_.join(near.hint("merge"), ["segment", "whole"])
+            .join(index.hint("merge"), ["segment", "value"])
             .where(_first_meeting("query", "code", count) == radius * count + F.col("segment"))
             .select("query", "code", _distance("query", "code").alias("distance"))
         )
@@ -115,10 +139,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
         if best is not None:
             found = found.unionByName(best.select("query", "distance", "id"))
         best = written(_best(found, most), f"best-{radius}")
-        covered = count * (radius + 1) - 1
+        covered = count * radius + parts[-1]
         settled = best.where((F.col("nth") == enough) & (F.col("distance") <= covered)).select("query")
         pending = written(pending.join(settled.hint("merge"), "query", "left_anti"), "pending")
-        if radius == size or pending.isEmpty():
+        if pending.isEmpty():
             break
     answers = asked.join(best.withColumnRenamed("id", "other").hint("merge"), asked["code"] == best["query"])
     answers = answers.where(~F.col("id").eqNullSafe(F.col("other")))
