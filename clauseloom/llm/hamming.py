@@ -8,9 +8,8 @@ bounds its distance from below. A query is finished as soon as its k-th verified
 sum; only the others go on to the next step. Radii 0 and 1 have few values and are one step each.
 At the full radius all codes have been met, so every answer is exact.
 
-Which values of a segment are near which is told once for each value that open queries have, not once a
-query, and against the values that occur: a table of at most 2^size values a segment, broadcast while
-count * 2^size is at most VALUES. Only pairs of values that occur meet queries and codes.
+Values that do not occur in a segment are not looked up: a bitmap tells which do, while all bitmaps have
+VALUES bits at most (128 KB). It only saves work; beyond that size all values are looked up.
 
 Equal codes are one entry of the index with its k + 1 smallest ids, so a vector that is
 repeated over and over costs no more than one. Queries with equal codes are answered once, for k + 1
@@ -35,7 +34,7 @@ from pyspark.sql.window import Window
 
 from clauseloom.llm.shared import shuffle_partitions, written
 
-VALUES = 1 << 20  # values of all segments that are broadcast, at most
+VALUES = 1 << 20  # values of all segments that have bitmaps, at most
 
 
 def segments_of(vector: str, bits: int, size: int):
@@ -62,16 +61,29 @@ def steps(count: int, size: int) -> list[tuple[int, list[int]]]:
     ]
 
 
-def _distance(a: str, b: str):
-    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, d) -> s + d)")
+def _apart(a: str, b: str, j: int) -> str:
+    return f"bit_count(get({a}, {j}) ^ get({b}, {j}))"
+
+
+def _distance(a: str, b: str, count: int):
+    return F.expr(" + ".join(_apart(a, b, j) for j in range(count)))
 
 
 def _first_meeting(a: str, b: str, count: int):
     """radius * count + segment of the first round and segment in which two codes meet."""
-    return F.expr(
-        f"array_min(transform(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), "
-        f"(d, j) -> d * {count} + j))"
+    orders = [f"{_apart(a, b, j)} * {count} + {j}" for j in range(count)]
+    return F.expr(f"least({', '.join(orders)})" if count > 1 else orders[0])
+
+
+def occurring(index: DataFrame, count: int, size: int) -> list[np.ndarray]:
+    """Of each segment, a bit for each of its 2^size values that occur, in words of 64."""
+    words = index.groupBy("segment", F.expr("value >> 6").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, value & 63))").alias("bits")
     )
+    maps = [np.zeros(max(1, (1 << size) >> 6), np.int64) for _ in range(count)]
+    for r in words.toLocalIterator():
+        maps[r.segment][r.word] = r.bits
+    return maps
 
 
 def _best(rows: DataFrame, most: int) -> DataFrame:
@@ -111,26 +123,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     asked = written(coded(queries), "queries")
     pending = asked.select(F.col("code").alias("query")).distinct()
     enough = min(most, entries.select("id").count())
-    values = written(index.select("segment", "value").distinct(), "code-values")
-    values = F.broadcast(values) if count << size <= VALUES else values.hint("merge")
+    maps = occurring(index, count, size) if count << size <= VALUES else None
     dealt = shuffle_partitions(vectors.sparkSession)
     best = None
     for radius, parts in steps(count, size):
         flips = F.lit(np.array(masks(size, radius), np.int32))
-        open_ = pending.select("query", F.posexplode("query").alias("segment", "whole")).where(
-            F.col("segment").isin(parts)
-        )
-        near = (
-            open_.select("segment", "whole").distinct().repartition(dealt, "segment", "whole")
-            .select("segment", "whole", F.explode(flips).alias("flip"))
-            .select("segment", "whole", F.col("whole").bitwiseXOR(F.col("flip")).alias("value"))
-            .join(values, ["segment", "value"])
+        probes = (
+            pending.repartition(dealt, "query")
+            .select("query", F.posexplode("query").alias("segment", "whole"))
+            .where(F.col("segment").isin(parts))
+            .select("query", "segment", "whole", F.explode(flips).alias("flip"))
+            .select("query", "segment", F.col("whole").bitwiseXOR(F.col("flip")).alias("value"))
         )
+        if maps and len(parts) == 1:
+            probes = probes.withColumn("words", F.lit(maps[parts[0]])).where(
+                "shiftright(get(words, value >> 6), value & 63) & 1 = 1"
+            ).drop("words")
         met = (
-            open_.join(near.hint("merge"), ["segment", "whole"])
-            .join(index.hint("merge"), ["segment", "value"])
+            probes.join(index.hint("merge"), ["segment", "value"])
             .where(_first_meeting("query", "code", count) == radius * count + F.col("segment"))
-            .select("query", "code", _distance("query", "code").alias("distance"))
+            .select("query", "code", _distance("query", "code", count).alias("distance"))
         )
         # A code gives one row at least: codes beyond the k + 1 nearest cannot matter.
         nearest = Window.partitionBy("query").orderBy("distance")
