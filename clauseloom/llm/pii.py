@@ -1,22 +1,29 @@
 """Personal data in whole texts by bootstrapped contextual extraction, in DataFrame functions only.
 
-Base spans of four kinds come from fixed patterns. They are the seeds: the word before and the word
-after an entity are a lexical pattern. Every other token with a digit or an at sign that could
-be of a kind is a candidate, with its own pattern. Patterns and instances (the texts of
-entities and candidates) make a graph that is scored in turns: a pattern's confidence in a kind is the
-share of its occurrences that belong to instances believed to be of the kind; an unlabelled instance
-is believed as far as its patterns are. Candidates in patterns of high confidence that at least
-`support` different seeds share are added. Base spans always stay.
-
-A pattern is hot where its words are frequent: occurrences are counted per pattern and instance before
+Base spans of four kinds come from fixed patterns. They are the seeds. A lexical pattern is the word
+before, the word after, or both; a mention has up to three of them. Candidates are runs of
+neighbouring groups of digits, and every other token with a digit or an at sign, that could be of a
+kind and are no base spans. Patterns and instances (the texts of entities and candidates) make a
+graph that is scored in turns:
+
+- a pattern's confidence in a kind is the share of its mentions that belong to instances believed to
+  be of the kind; it counts once `support` different instances are believed for certain;
+- a candidate in a pattern of high confidence is believed for certain from then on, so what a pattern
+  discovers supports the patterns of the next turn; any other is believed as far as its patterns
+  with support are on average, times `DAMPING`, so that doubt does not grow into belief by repetition.
+
+Candidates in patterns of high confidence after the last turn are added, each as the kind its patterns are surest of
+(equal: the first as listed). Base spans always stay.
+
+A pattern is hot where its words are frequent: mentions are counted per pattern and instance before
 anything is joined, all sums are partial aggregates, and joins are plain equi-joins that can be split.
 
 Offsets are in code points. They come from splitting the text at the matches: the pieces between
 and the matches add up. The patterns are written so that no match is tried twice at one place
 (possessive loops, looks behind), with the same matches as the plain patterns they stand for.
 
-Cases: null text is empty; a row each for null, repeated and empty ones. No seeds: nothing is added.
-Empty tables give no rows. Other columns are not read.
+Cases: null text is empty; a row each for null, repeated and empty ones. A mention at an end of the text, or next
+to marks only, has fewer patterns. No seeds: nothing is added. Empty tables give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +34,8 @@ from pyspark.sql import functions as F
 from clauseloom.llm.shared import written
 
 KINDS = ("email", "ip", "card", "phone")
-TURNS, SUPPORT, CONFIDENCE = 3, 3, 0.8
-CONTEXT = 80  # characters next to an entity that its neighbouring words are looked for in
+TURNS, SUPPORT, CONFIDENCE = 4, 3, 0.8
+DAMPING = 0.75  # of the belief in a candidate that no pattern of high confidence holds
 
 # Fixed patterns; each stands for the plain one of the contract.
 FIND = {
@@ -38,10 +45,16 @@ FIND = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-WORD_BEFORE = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
-WORD_AFTER = r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)"
-MARKS = r"^[^\p{L}\p{N}+@]+|[^\p{L}\p{N}]+$"
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# A whole run of neighbouring groups of 7 to 19 digits; no part of a longer one, nor four parts with dots.
+RUN = (
+    r"(?<![^\x20\x09-\x0D])(?<![0-9)]\x20)(?![0-9]++(?:[.:,][0-9]++){3})"
+    r"\(?(?:[0-9][()./_\x20-]*+){7,19}+(?![0-9*@])(?:(?<=\x20)|(?![\p{L}\p{N}]))"
+)
+CANDIDATE = f"{RUN}|{TOKEN}"
+BLANKS = "\t\n\x0b\x0c\r"
+MARKS_BEFORE = r"^(?:(?!\([0-9]+\))[^\p{L}\p{N}+@])+"  # but the bracket of an area code
+MARKS_AFTER = r"[^\p{L}\p{N}]+$"
 
 
 def _digits(value):
@@ -70,8 +83,8 @@ VALID = {
 POSSIBLE = {
     "email": lambda v: v.rlike(r"^[^@]+@[^@]+$"),
     "ip": lambda v: v.rlike(r"^[0-9]+(?:[.:,][0-9]+){3}$"),
-    "card": lambda v: v.rlike("^[0-9*xX./_-]+$") & F.length(_digits(v)).between(12, 19),
-    "phone": lambda v: v.rlike("^[0-9()./_-]+$") & F.length(_digits(v)).between(7, 15)
+    "card": lambda v: v.rlike(r"^[0-9*xX./_\x20-]+$") & F.length(_digits(v)).between(12, 19),
+    "phone": lambda v: v.rlike(r"^[0-9()./_\x20-]+$") & F.length(_digits(v)).between(7, 15)
     & ~v.rlike(r"^[0-9]+(?:\.[0-9]+)+$"),
 }
 
@@ -97,13 +110,17 @@ def _starts(pieces: str, hits: str):
     ).otherwise(none)
 
 
+def _blank(piece):
+    return F.translate(piece, BLANKS, " " * len(BLANKS))
+
+
 def _spans(pieces: str, hits: str, starts: str):
     def span(start, i):
         value = F.get(hits, i)
         return F.struct(
             start.alias("start"), (start + F.length(value)).alias("end"),
-            F.regexp_extract(F.right(F.get(pieces, i), F.lit(CONTEXT)), WORD_BEFORE, 1).alias("left"),
-            F.regexp_extract(F.substring(F.get(pieces, i + 1), 1, CONTEXT), WORD_AFTER, 1).alias("right"),
+            F.substring_index(F.rtrim(_blank(F.get(pieces, i))), " ", -1).alias("left"),
+            F.substring_index(F.ltrim(_blank(F.get(pieces, i + 1))), " ", 1).alias("right"),
             value.alias("value"),
         )
 
@@ -148,18 +165,35 @@ def found(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _pattern(left, right):
-    return F.concat_ws("\x01", F.lower(F.regexp_replace(left, MARKS, "")),
-                       F.lower(F.regexp_replace(right, MARKS, "")))
+def _patterns(left, right):
+    """The patterns of a mention: its two neighbouring words, and each by itself."""
+    def word(side):
+        return F.lower(F.regexp_replace(F.regexp_replace(side, MARKS_BEFORE, ""), MARKS_AFTER, ""))
+
+    a, b = word(left), word(right)
+    return F.filter(
+        F.array(
+            F.when((a != "") & (b != ""), F.concat_ws("\x01", F.lit("both"), a, b)),
+            F.when(a != "", F.concat_ws("\x01", F.lit("left"), a)),
+            F.when(b != "", F.concat_ws("\x01", F.lit("right"), b)),
+        ),
+        lambda p: p.isNotNull(),
+    )
 
 
 def mentions(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(seeds, candidates): row, kind, start, end, pattern, value."""
+    """(seeds, candidates): row, kind, start, end, patterns, value, first.
+
+    A candidate that could be of several kinds has a row for each; `first` holds for one of them.
+    """
     seeds = None
     for kind in KINDS:
         one = base.where(F.size(kind) > 0).select("row", F.explode(kind).alias("s"), F.lit(kind).alias("kind"))
         seeds = one if seeds is None else seeds.unionByName(one)
-    seeds = seeds.select("row", "kind", "s.start", "s.end", _pattern("s.left", "s.right").alias("pattern"), "s.value")
+    seeds = seeds.select(
+        "row", "kind", "s.start", "s.end", _patterns("s.left", "s.right").alias("patterns"), "s.value",
+        F.lit(True).alias("first"),
+    )
     taken = F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"))) for k in KINDS))
     free = F.filter(
         "tokens",
@@ -168,50 +202,68 @@ def mentions(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     tokens = base.where(F.size("tokens") > 0).select("row", F.explode_outer(free).alias("s")).where("s is not null")
     cut = tokens.select(
         "row", "s.start", "s.left", "s.right",
-        F.regexp_extract("s.value", r"^[^\p{L}\p{N}+@]*", 0).alias("before"),
-        F.regexp_replace("s.value", MARKS, "").alias("value"),
+        F.regexp_extract("s.value", MARKS_BEFORE, 0).alias("before"),
+        F.regexp_replace(F.regexp_replace("s.value", MARKS_BEFORE, ""), MARKS_AFTER, "").alias("value"),
     )
     kinds = F.filter(
         F.array(*(F.when(POSSIBLE[k](F.col("value")), F.lit(k)) for k in KINDS)), lambda k: k.isNotNull()
     )
-    candidates = cut.select(
-        "row", F.explode_outer(kinds).alias("kind"),
+    candidates = cut.withColumn("kinds", kinds).select(
+        "row", F.explode_outer("kinds").alias("kind"),
         (F.col("start") + F.length("before")).cast("int").alias("start"),
         (F.col("start") + F.length("before") + F.length("value")).cast("int").alias("end"),
-        _pattern("left", "right").alias("pattern"), "value",
+        _patterns("left", "right").alias("patterns"), "value", F.get("kinds", F.lit(0)).alias("one"),
     ).where("kind is not null")
-    return seeds, candidates
+    return seeds, candidates.withColumn("first", F.col("kind") == F.col("one")).drop("one")
 
 
 def confident(seeds: DataFrame, candidates: DataFrame, turns: int, support: int,
               confidence: float) -> DataFrame:
-    """(pattern, kind) of high confidence, from the scored graph of patterns and instances."""
+    """(pattern, kind, confidence) of high confidence, from the scored graph of patterns and instances."""
     def edges(frame, seed):
-        return frame.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n")).withColumn("seed", F.lit(seed))
+        each = frame.select("kind", "value", "first", F.explode_outer("patterns").alias("pattern"))
+        return each.where("pattern is not null").groupBy("pattern", "kind", "value").agg(
+            F.count("*").alias("n"), F.count_if("first").alias("mentions")
+        ).withColumn("seed", F.lit(seed))
 
     graph = written(edges(seeds, 1.0).unionByName(edges(candidates, 0.0)), "graph")
-    # Occurrences of a pattern in all: a candidate that could be of two kinds counts in each.
-    whole = graph.groupBy("pattern").agg(F.sum("n").alias("all"))
-    held = graph.where("seed > 0").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    held = written(held.where(F.col("seeds") >= support).join(whole, "pattern"), "supported")
-    believed = graph.select("pattern", "kind", "value", "n", F.col("seed").alias("belief"), "seed")
+    # A candidate that could be of two kinds is one mention of its patterns.
+    whole = written(graph.groupBy("pattern").agg(F.sum("mentions").alias("all")), "mentions")
+    believed = graph.withColumn("belief", F.col("seed"))
     for turn in range(turns):
-        of_pattern = believed.groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("sum"))
+        of_pattern = believed.groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("belief")).alias("sum"),
+            F.count_if(F.col("belief") >= 1).alias("known"),
+        )
         scored = written(
-            held.join(of_pattern, ["pattern", "kind"])
-            .select("pattern", "kind", (F.col("sum") / F.col("all")).alias("confidence")),
+            of_pattern.where(F.col("known") >= support).join(whole, "pattern")
+            .select("pattern", "kind", F.round(F.col("sum") / F.col("all"), 9).alias("confidence")),
             "patterns",
         )
         if turn + 1 < turns:
-            open_ = graph.where("seed = 0").join(scored, ["pattern", "kind"], "left")
-            mean = open_.groupBy("kind", "value").agg(
-                (F.sum(F.col("n") * F.coalesce("confidence", F.lit(0.0))) / F.sum("n")).alias("belief")
-            )
-            rest = graph.where("seed = 0").join(mean, ["kind", "value"])
-            believed = graph.where("seed > 0").withColumn("belief", F.lit(1.0)).unionByName(
-                rest.select(*graph.columns, "belief")
+            held = graph.where("seed = 0").join(scored, ["pattern", "kind"], "left")
+            marks = held.groupBy("kind", "value").agg(
+                F.max("confidence").alias("best"),
+                (F.sum(F.col("n") * F.col("confidence")) / F.sum(F.when(F.col("confidence").isNotNull(), F.col("n"))))
+                .alias("mean"),
+            ).where("best is not null")  # patterns without support tell nothing
+            belief = F.when(F.col("best") >= confidence, 1.0).otherwise(DAMPING * F.col("mean"))
+            believed = graph.join(marks, ["kind", "value"], "left").select(
+                *(F.col(c) for c in graph.columns), F.greatest("seed", F.coalesce(belief, F.lit(0.0))).alias("belief")
             )
-    return scored.where(F.col("confidence") >= confidence).select("pattern", "kind")
+    return scored.where(F.col("confidence") >= confidence)
+
+
+def _added(candidates: DataFrame, good: DataFrame) -> DataFrame:
+    """(row, added): the candidates in good patterns, each of one kind, as many as one text has."""
+    places = candidates.select("row", "start", "end", "kind", F.explode_outer("patterns").alias("pattern"))
+    order = F.when(F.col("kind") == KINDS[0], 0)
+    for nth, kind in enumerate(KINDS[1:], 1):
+        order = order.when(F.col("kind") == kind, -nth)
+    surest = places.join(good, ["pattern", "kind"]).groupBy("row", "start", "end").agg(
+        F.max_by("kind", F.struct("confidence", order.alias("order"))).alias("kind")
+    )
+    return surest.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
 
 
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", turns: int = TURNS,
@@ -221,9 +273,7 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", turns: int
     seeds, candidates = mentions(base)
     candidates = written(candidates, "candidates")
     good = confident(seeds, candidates, turns, support, confidence)
-    added = candidates.join(good, ["pattern", "kind"]).groupBy("row").agg(
-        F.collect_list(F.struct("kind", "start", "end")).alias("added")
-    )  # as many as one text has
+    added = _added(candidates, good)
 
     def named(kind, spans):
         return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))

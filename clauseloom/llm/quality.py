@@ -12,7 +12,8 @@ features are worked out by Spark and only these come to the driver. Scoring cove
 
 Cases: null text counts as empty, and has a score. Labels other than 0 and 1 and null labels are
 left out; several labels of one key count as their mean, above one half as 1. No labels, or one
-class only: every score is the smoothed share of label 1. Repeated rows are scored each.
+class only: every score is the smoothed share of label 1. Repeated rows are scored each; the least text
+of a labelled key is learned from.
 """
 
 from __future__ import annotations
@@ -254,7 +255,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         F.col(key).alias("__key"), (F.col("share") > 0.5).cast("double").alias("label")
     )
     texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))
-    fitted = texts.join(F.broadcast(few), "__key").select("__key", "label", "text")
+    # Of a repeated key the least text, so that no more than `rows` come and always the same.
+    fitted = texts.join(F.broadcast(few), "__key").groupBy("__key", "label").agg(F.min("text").alias("text"))
 
     def run(batches):
         for batch in (p for b in batches for p in parts(b, 2)):
@@ -266,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     schema = fitted.select("__key", "label", F.array(F.lit(0.0)).alias("x")).schema
     found = sorted(
-        (tuple(r) for r in fitted.mapInArrow(run, schema).limit(2 * rows).collect()),
+        (tuple(r) for r in fitted.mapInArrow(run, schema).collect()),
         key=lambda r: (r[0], r[2]),
     )
     if not found:

@@ -63,3 +63,15 @@ def test_every_pair_that_sizes_allow_is_in_one_unit(spark, monkeypatch):
         if q == run and a < b and 100 * min(size[run, a], size[run, b]) >= 75 * max(size[run, a], size[run, b])
     }
     assert allowed <= set(pairs)
+
+
+def test_quality_learns_the_same_of_repeated_keys(spark):
+    rows = [(i % 40, f"{'good plain words here. ' * (i % 7 + 1) if i % 2 else 'X1 # ' * (i % 9 + 1)}{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id int, quality int")
+    models = [
+        quality.train(spark.createDataFrame(order, "doc_id int, text string").repartition(n), labels, rows=30)
+        for order, n in ((rows, 2), (rows[::-1], 7))
+    ]
+    texts = spark.createDataFrame(rows, "doc_id int, text string")
+    first, second = (sorted(quality.predict(texts, m, keep=["doc_id"]).collect()) for m in models)
+    assert first == second
