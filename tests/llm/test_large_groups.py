@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from clauseloom.llm import jaccard
+from clauseloom.llm import jaccard, quality
 from tests.llm.test_operators import brute_components, docs_of
 
 
