@@ -32,6 +32,7 @@ not read.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from clauseloom.llm.shared import shuffle_partitions, written
 from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, word_hashes, word_spans
 
 BLOCK = 300_000  # words worked on at a time
-PER_BUCKET = 2_000_000  # segment codes in a bucket, on average
+PER_BUCKET = 1_000_000  # segment codes in a bucket, on average
 PER_GROUP = 20_000  # rows of runs compared in one group, on average
 PER_BLOCK = 2_000  # nodes of a run in a block, on average
 STARS = 1  # turns of checks against one node of each run, before all pairs across components
@@ -229,14 +230,31 @@ def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: in
 
 def runs_of(codes: np.ndarray):
     """(places in order of code, run of each place) for codes that occur more than once."""
-    both = (codes.astype(np.uint64) << np.uint64(32)) | np.arange(len(codes), dtype=np.uint64)
+    both = codes.astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= np.arange(len(codes), dtype=np.uint32)
     both.sort()
-    code, place = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    # The upper halves are the codes, read in place: most codes occur once, and only others are copied.
+    code = both.view(np.uint32)[int(sys.byteorder == "little")::2]
     same = code[1:] == code[:-1]
     keep = np.zeros(len(codes), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    return place[keep], np.cumsum(np.concatenate([[True], ~same])[keep]) if len(codes) else place
+    both = both[keep]
+    code, place = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return place, np.cumsum(code != np.append(~code[:1], code[:-1]))
+
+
+def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """The arrays that the rows of a binary column hold, one behind the other."""
+    found = []
+    for chunk in column.chunks:
+        chunk = chunk.cast(pa.large_binary())
+        _, where, data = chunk.buffers()
+        if len(chunk) and data is not None:
+            ends = np.frombuffer(where, np.int64)
+            found.append(np.frombuffer(data, np.uint8)[ends[chunk.offset] : ends[chunk.offset + len(chunk)]])
+    return np.concatenate(found or [np.zeros(0, np.uint8)]).view(kind)
 
 
 def in_runs(dealt: DataFrame) -> DataFrame:
@@ -245,15 +263,15 @@ def in_runs(dealt: DataFrame) -> DataFrame:
     schema = "kind int, a long, turn int, b long, n long"
 
     def run(group: pa.Table) -> pa.Table:
-        def joined(name, kind):
-            return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
-
-        counts = joined("counts", np.uint32).astype(np.int64)
-        slot = np.repeat(np.arange(len(counts)), counts)
-        keys, turns, spare = joined("keys", np.uint64), joined("turns", np.uint8), joined("spare", np.uint32)
-        codes = joined("codes", np.uint32)
+        codes = joined(group.column("codes"), np.uint32)
         place, number = runs_of(codes)
-        code, slot = codes[place], slot[place]
+        code = codes[place]
+        del codes
+        slot = np.searchsorted(np.cumsum(joined(group.column("counts"), np.uint32), dtype=np.int64), place, "right")
+        keys, turns, spare = (
+            joined(group.column(c), kind)
+            for c, kind in (("keys", np.uint64), ("turns", np.uint8), ("spare", np.uint32))
+        )
         key = keys[slot]
         order = np.lexsort((key, number))
         key, number, code, slot = key[order], number[order], code[order], slot[order]

@@ -1,7 +1,9 @@
 """Groups that would outgrow a task: families of texts that are alike but below the limit."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from clauseloom.llm import jaccard, quality
@@ -75,3 +77,21 @@ def test_quality_learns_the_same_of_repeated_keys(spark):
     texts = spark.createDataFrame(rows, "doc_id int, text string")
     first, second = (sorted(quality.predict(texts, m, keep=["doc_id"]).collect()) for m in models)
     assert first == second
+
+
+def test_the_codes_of_a_bucket_need_few_arrays():
+    """Runs of codes, with less than three arrays of 64 bits a code at once."""
+    codes = np.random.default_rng(3).integers(0, 1 << 32, 500_000).astype(np.uint32)
+    codes[::1000] = 77
+    tracemalloc.start()
+    place, run = jaccard.runs_of(codes)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * 8 * len(codes)
+    found = {}
+    for p, r in zip(place.tolist(), run.tolist()):
+        found.setdefault(r, set()).add(p)
+    want = {}
+    for p, c in enumerate(codes.tolist()):
+        want.setdefault(c, set()).add(p)
+    assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
