@@ -21,8 +21,9 @@ and codes of boilerplate come last. (4) Each run of what is left gives pairs of
 as many as nodes. They are checked, by the Hamming bound of a dense sketch first, then by the sets.
 (5) In runs
 whose nodes are still in several components, nodes of different components are all compared, by size and sketch within the
-task; only pairs that may link leave it, so no link between components is lost. Large runs are cut by size and
-into blocks, and pairs of blocks are dealt to many tasks. (6) Components.
+task; only pairs that may link leave it. At first a task hands on a forest of them, the nearest first, which is
+checked and joins components; then all pairs that are left are looked at, so no link between components is
+lost. Large runs are cut by size and into blocks, and pairs of blocks are dealt to many tasks. (6) Components.
 
 Keys and shingles are 64-bit hashes. Cases: null text is empty; null and repeated doc_ids get a row
 each; the component is named by its smallest doc_id. An empty table gives no rows. Other columns are
@@ -48,6 +49,7 @@ BLOCK = 300_000  # words worked on at a time
 PER_BUCKET = 1_000_000  # segment codes in a bucket, on average
 PER_GROUP = 20_000  # rows of runs compared in one group, on average
 PER_BLOCK = 2_000  # nodes of a run in a block, on average
+FORESTS = 1  # turns of checks of a forest of the pairs across components, before all that are left
 STARS = 1  # turns of checks against one node of each run, before all pairs across components
 FILTER_BITS = 1 << 23  # of the filter that tells which texts are needed again
 
@@ -496,9 +498,32 @@ def cells(rows: DataFrame, percent: int) -> DataFrame:
     return small.unionByName(large)
 
 
-def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def forest(pairs: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """The columns of `pairs` (two numbers of components) that connect all that they connect together,
+    the least apart first: at most one fewer than there are components."""
+    top: dict[int, int] = {}
+
+    def find(x):
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    kept = []
+    for i in np.argsort(apart, kind="stable").tolist():
+        x, y = find(int(pairs[0, i])), find(int(pairs[1, i]))
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int, every: bool = True) -> DataFrame:
     """(a, b): the pairs of nodes of one run in different components whose sizes and sketches allow
-    a link. Only these leave the task; units are dealt to groups of some PER_GROUP rows."""
+    a link. Only these leave the task; units are dealt to groups of some PER_GROUP rows.
+
+    Unless `every` is asked for, a group gives only a forest of its pairs, fewer than it has nodes,
+    with `more` true if it has left out any.
+    """
     rows = cells(placed.join(sets.select("key", "n"), "key"), percent)
     rows = written(rows.select("key", "root", "n", "unit", "side"), "units")
     # Units with the same first node mostly have the same nodes: they go together, as far as a
@@ -518,7 +543,15 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sketches = table.column("sketch").to_pylist()
         order = np.lexsort((side, unit))
         cut = np.flatnonzero(np.concatenate([[True], unit[order][1:] != unit[order][:-1], [True]]))
-        out, waiting = [np.zeros((2, 0), np.int64)], 0
+        # Rows (a, b, root of a, root of b) and how much of what a link allows they are apart.
+        out, shares, waiting, more = [np.zeros((4, 0), np.int64)], [np.zeros(0)], 0, False
+
+        def kept():
+            pairs, at = np.unique(np.concatenate(out, axis=1), axis=1, return_index=True)
+            share = np.concatenate(shares)[at]
+            few = np.arange(len(share)) if every else forest(pairs[2:], share)
+            return pairs[:, few], share[few], len(few) < len(share)
+
         for lo, hi in zip(cut[:-1], cut[1:]):
             at = order[lo:hi]
             size = min(len(sketches[i]) for i in at)
@@ -533,19 +566,26 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for j in range(left):
                 rest = slice(j + 1 if left == len(at) else left, None)
                 apart = np.bitwise_count(bits[rest] ^ bits[j]).sum(axis=1, dtype=np.int64)
-                fits = (r[rest] != r[j]) & (apart <= (m[rest] + m[j]) * (100 - percent) // (100 + percent))
+                most = (m[rest] + m[j]) * (100 - percent) // (100 + percent)
+                fits = (r[rest] != r[j]) & (apart <= most)
                 fits &= 100 * np.minimum(m[rest], m[j]) >= percent * np.maximum(m[rest], m[j])
                 if fits.any():
-                    other = k[rest][fits]
-                    out.append(np.stack([np.minimum(other, k[j]), np.maximum(other, k[j])]))
+                    other, its, low = k[rest][fits], r[rest][fits], k[rest][fits] < k[j]
+                    out.append(np.stack([
+                        np.minimum(other, k[j]), np.maximum(other, k[j]),
+                        np.where(low, its, r[j]), np.where(low, r[j], its),
+                    ]))
+                    shares.append(apart[fits] / np.maximum(most[fits], 1))
                     waiting += len(other)
                 if waiting > 100_000:
-                    out, waiting = [np.unique(np.concatenate(out, axis=1), axis=1)], 0
-        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-        return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                    pairs, share, less = kept()
+                    out, shares, waiting, more = [pairs], [share], 0, more or less
+        pairs, _, less = kept()
+        return pa.table([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(len(pairs[0]), more or less))],
+                        names=["a", "b", "more"])
 
-    found = dealt.groupBy("group").applyInArrow(compare, "a long, b long")
-    return found.distinct()
+    found = dealt.groupBy("group").applyInArrow(compare, "a long, b long, more boolean")
+    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 # --- the join ------------------------------------------------------------------------------------
@@ -575,12 +615,17 @@ def links(docs: DataFrame, sets: DataFrame, text: str, size: int, percent: int)
         roots = components(found)
         # A run of two nodes has been checked as a whole.
         placed = split_runs(members.where("size > 2").drop("size"), roots)
-    more = written(cross_pairs(placed, sets, percent), "more-pairs")
-    if more.isEmpty():
-        return found
-    return found.unionByName(
-        written(checked(more, docs, sets, text, size, percent), "more-links")
-    )
+    # Forests first: links found join components, so that few pairs are left to look at one by one.
+    for turn in range(FORESTS + 1):
+        more = written(cross_pairs(placed, sets, percent, every=turn == FORESTS), "more-pairs")
+        if more.isEmpty():
+            break
+        new = written(checked(more, docs, sets, text, size, percent), "more-links")
+        found = found.unionByName(new)
+        if more.where("more").isEmpty():
+            break
+        placed = split_runs(placed.drop("root"), components(found))
+    return found
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,

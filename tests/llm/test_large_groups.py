@@ -79,6 +79,44 @@ def test_quality_learns_the_same_of_repeated_keys(spark):
     assert first == second
 
 
+def test_a_task_hands_on_a_forest_of_alike_nodes_and_then_all_pairs(spark):
+    """One run of 40 nodes that may all link: as many pairs as join them, not all of them."""
+    rows = [(5, k, k) for k in range(40)]
+    placed = spark.createDataFrame(rows, "run long, key long, root long")
+    sketch = bytes([7] * 8)
+    sets = spark.createDataFrame([(k, 30, bytearray(sketch)) for k in range(40)], "key long, n long, sketch binary")
+    few = jaccard.cross_pairs(placed, sets, 75, every=False).collect()
+    assert len(few) == 39 and all(r.more for r in few) and {x for r in few for x in (r.a, r.b)} == set(range(40))
+    every = jaccard.cross_pairs(placed, sets, 75).collect()
+    assert len(every) == 40 * 39 // 2 and not any(r.more for r in every)
+
+
+def test_pairs_checked_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Near copies, most of which are not linked with the node that leads their runs."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    base = rng.choices(words, k=150)
+    texts = []
+    for i in range(80):
+        own = list(base)
+        for j in rng.sample(range(150), 2 if i else 7):
+            own[j] = rng.choice(words)
+        texts.append(" ".join(own))
+    seen, check = [], jaccard.checked
+
+    def checked(pairs, *rest):
+        seen.append(pairs.count())
+        return check(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "checked", checked)
+    monkeypatch.setattr(jaccard, "star_pairs", lambda placed, turn: placed.select(
+        placed.key.alias("a"), placed.key.alias("b")).limit(0))
+    want = brute_components(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(docs_of(spark, texts)).collect()}
+    assert got == want
+    assert sum(seen) < 5 * len(texts)
+
+
 def test_the_codes_of_a_bucket_need_few_arrays():
     """Runs of codes, with less than three arrays of 64 bits a code at once."""
     codes = np.random.default_rng(3).integers(0, 1 << 32, 500_000).astype(np.uint32)
