@@ -474,7 +474,7 @@ def field_cells(i: Inputs) -> DataFrame:
 def decision_tables_as_data(i: Inputs) -> DataFrame:
     """The hit policies first and unique of a table with a row per order line."""
     facts = i["facts"]
-    found = rule_tables.matches(facts, i["table_rows"], "fact_id", ["tier"], ["total"], "price")
+    found = rule_tables.matches(facts, i["table_rows"], "fact_id", ["tier"], ["total"], "price", counted=True)
     return rule_tables.hit_policies(facts, found, "fact_id", "price")
 
 

@@ -410,3 +410,50 @@ def test_tables_as_data_equal_every_row_tried(spark):
         assert policies[k] == (len(hits), hits[0] if hits else None, f"out{hits[0]}" if len(hits) == 1 else None)
     assert rule_tables.matches(f.limit(0), t, "k", ["s", "t"], ["u", "v"], "out").count() == 0
     assert rule_tables.matches(f, t.limit(0), "k", ["s", "t"], ["u", "v"], "out").count() == 0
+
+
+def test_counted_matches_equal_every_row_tried(spark, monkeypatch):
+    """Slabs of few numbers, frequent numbers, repeated and missing keys, open, missing and inverted bounds."""
+    monkeypatch.setattr(rule_tables, "PER_SLAB", 25)
+    rng = random.Random(7)
+    values = [None, 0.0, 7.0, 7.0, 7.0, float("inf"), *[round(rng.uniform(-50, 50), 1) for _ in range(40)]]
+    facts = [(rng.choice([None, *range(150)]), rng.choice(["a", "b", None]), rng.choice(["x", "y"]), rng.choice(values))
+             for _ in range(300)]
+    rows = []
+    for n in range(400):
+        lo = rng.choice(values)
+        hi = rng.choice([None, lo, rng.choice(values), (lo or 0.0) + 0.3, (lo or 0.0) + 30])
+        rows.append((n // 2 if n < 20 else n, rng.choice(["a", "b", None]), rng.choice(["x", None, None]), lo, hi,
+                     rng.choice([True, False, None]), rng.random() < 0.5, f"out{n}"))
+    f = spark.createDataFrame(facts, "k int, s string, t string, u double")
+    t = spark.createDataFrame(rows, "row_no int, s_eq string, t_eq string, u_lo double, u_hi double, u_lo_open boolean,"
+                                    " u_hi_open boolean, out string")
+    found = rule_tables.matches(f, t, "k", ["s", "t"], ["u"], "out", counted=True)
+
+    def hits(fact):
+        _, s, t_, u = fact
+        for n, se, te, lo, hi, lo_o, hi_o, out in rows:
+            above = lo is None or (u is not None and (u > lo if lo_o else u >= lo))
+            below = hi is None or (u is not None and (u < hi if hi_o else u <= hi))
+            if se in (None, s) and te in (None, t_) and above and below:
+                yield n, out
+
+    per_key = {}
+    for fact in facts:
+        per_key.setdefault(fact[0], []).extend(hits(fact))
+    got = {}
+    for r in found.collect():
+        had = got.get(r.k, (0, (1 << 30, "")))
+        got[r.k] = (had[0] + r["__n"], min(had[1], (r.row_no, r.out)))
+    assert got == {k: (len(v), min(v)) for k, v in per_key.items() if v}
+    policies = {r.k: (r.n_hits, r.first_row, r.first) for r in rule_tables.hit_policies(f, found, "k", "out").collect()}
+    assert all(policies[k] == (len(v), *(min(v) if v else (None, None))) for k, v in per_key.items() if k is not None)
+    # Rows of one number, whatever holds: pairs are never made.
+    everywhere = t.selectExpr("row_no", "null s_eq", "null t_eq", "-1e9D u_lo", "cast(null as double) u_hi",
+                              "false u_lo_open", "false u_hi_open", "out").withColumns({
+                                  "s_eq": F.lit(None).cast("string"), "t_eq": F.lit(None).cast("string")})
+    few = rule_tables.matches(f, everywhere, "k", ["s", "t"], ["u"], "out", counted=True)
+    assert few.count() < 2 * len(facts)  # of 290 times 400 pairs
+    assert few.agg(F.sum("__n")).first()[0] == 400 * f.where("u is not null").count()
+    assert rule_tables.matches(f.limit(0), t, "k", ["s", "t"], ["u"], "out", counted=True).count() == 0
+    assert rule_tables.matches(f, t.limit(0), "k", ["s", "t"], ["u"], "out", counted=True).count() == 0
