@@ -11,7 +11,8 @@ each piece adds the sum to its own count. A repeated or null key changes nothing
 
 Tokenising: the tokenizer's file is read where the job is started and travels with the task. Its
 words hold no white space and are letters, a digit, or neither, so a text is encoded in runs between
-such borders, and a task remembers the ids of the runs it has seen; beyond MEMORY bytes it starts anew.
+such borders, and a worker remembers the ids of the runs it has seen, from task to task; beyond MEMORY bytes it
+starts anew.
 
 Cases: a null or empty text is the end token alone, one piece of one token. Texts of any length are
 cut whole. Repeated rows are packed each by itself; a null key stays null. An empty table gives no
@@ -126,6 +127,17 @@ class Memory:
         return ids, first + np.arange(len(first))
 
 
+_LAST_MEMORY: dict[str, Memory] = {}
+
+
+def memory_of(model: str) -> Memory:
+    """The memory of this process: what one task has learned serves the next ones with the same tokenizer."""
+    if model not in _LAST_MEMORY:
+        _LAST_MEMORY.clear()
+        _LAST_MEMORY[model] = Memory(model)
+    return _LAST_MEMORY[model]
+
+
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte spans of the runs between ASCII white space, cut also where a letter
     a-z meets a stop; runs of row i are first[i]:first[i + 1]."""
@@ -202,7 +214,7 @@ def pieces(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id",
     ).schema
 
     def run(batches):
-        memory, task = Memory(model), TaskContext.get().partitionId()
+        memory, task = memory_of(model), TaskContext.get().partitionId()
         counts = np.zeros(length.bit_length(), np.int64)
         for batch in batches:
             for part in parts(batch, 1):

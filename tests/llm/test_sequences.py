@@ -160,3 +160,14 @@ def test_index_of_exceptions_converts_both_ways():
             place = offsets[i] + len(t[:cut].encode())
             assert index.to_bytes(np.array([i]), np.array([cut]))[0] == place
             assert index.to_points(np.array([i]), np.array([place]))[0] == cut
+
+
+def test_a_worker_learns_runs_once_for_all_its_tasks():
+    """The next task of a worker finds what the last one has learned."""
+    model = packing.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    column = pa.array(["some words, twice some words", "more"])
+    ids, first = packing.memory_of(model).encode(column, 1)
+    known = dict(packing.memory_of(model).place)
+    again, first_again = packing.memory_of(model).encode(column, 1)
+    assert packing.memory_of(model) is packing.memory_of(model) and packing.memory_of(model).place == known
+    assert ids.tolist() == again.tolist() and first.tolist() == first_again.tolist()
