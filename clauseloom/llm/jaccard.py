@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clauseloom.llm.components import components
-from clauseloom.llm.shared import shuffle_partitions, written
+from clauseloom.llm.shared import lean, shuffle_partitions, written
 from clauseloom.llm.words import mix, parts, ranges, row_blocks, text_bytes, word_hashes, word_spans
 
 BLOCK = 300_000  # words worked on at a time
@@ -116,7 +116,7 @@ def nodes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 names=["doc_id", "key", "n", "sketch"],
             )
 
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
 
 # --- bands and segments ----------------------------------------------------------------------
@@ -226,7 +226,7 @@ def dealt_codes(docs: DataFrame, text: str, size: int, percent: int, buckets: in
                     )
 
     return docs.select(text).mapInArrow(
-        run, "bucket int, codes binary, counts binary, keys binary, turns binary, spare binary"
+        lean(run), "bucket int, codes binary, counts binary, keys binary, turns binary, spare binary"
     )
 
 
@@ -299,7 +299,7 @@ def in_runs(dealt: DataFrame) -> DataFrame:
         ]
         return pa.table([pa.array(c) for c in columns], names=["kind", "a", "turn", "b", "n"])
 
-    return dealt.groupBy("bucket").applyInArrow(run, schema)
+    return dealt.groupBy("bucket").applyInArrow(lean(run), schema)
 
 
 def kept_members(found: DataFrame) -> DataFrame:
@@ -371,7 +371,7 @@ def needed_sets(docs: DataFrame, keys: DataFrame, text: str, size: int) -> DataF
                         names=["key", "members"],
                     )
 
-    found = docs.select(text).mapInArrow(run, "key long, members binary")
+    found = docs.select(text).mapInArrow(lean(run), "key long, members binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
@@ -421,10 +421,10 @@ def checked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text: str, size:
     sized = sides(pairs.select("a", "b"), sets, "n", "sketch").where(
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     )
-    close = written(sized.mapInArrow(near, "a long, b long"), "close")
+    close = written(sized.mapInArrow(lean(near), "a long, b long"), "close")
     ends = close.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     whole = needed_sets(docs, written(ends, "ends"), text, size)
-    return sides(close, whole, "members").mapInArrow(linked, "a long, b long")
+    return sides(close, whole, "members").mapInArrow(lean(linked), "a long, b long")
 
 
 def split_runs(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -584,7 +584,7 @@ def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int, every: bool =
         return pa.table([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(len(pairs[0]), more or less))],
                         names=["a", "b", "more"])
 
-    found = dealt.groupBy("group").applyInArrow(compare, "a long, b long, more boolean")
+    found = dealt.groupBy("group").applyInArrow(lean(compare), "a long, b long, more boolean")
     return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 

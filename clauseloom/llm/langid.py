@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from clauseloom.llm.shared import lean
 from clauseloom.llm.words import parts, ranges, row_blocks, text_bytes, word_hashes, word_spans
 
 BITS = 17
@@ -331,7 +332,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                 names=[*keep, label, score],
             )
 
-    return read.mapInArrow(label_batches, schema)
+    return read.mapInArrow(lean(label_batches), schema)
 
 
 def label_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -350,4 +351,4 @@ def label_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
                 [batch.column(0), pa.array(rows, pa.list_(pa.string()))], names=[key, "languages"]
             )
 
-    return docs.select(key, text).mapInArrow(label_batches, schema)
+    return docs.select(key, text).mapInArrow(lean(label_batches), schema)

@@ -33,11 +33,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clauseloom.llm.shared import lean
 from clauseloom.llm.words import parts, ranges
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KEPT_WORDS = 200_000  # distinct words remembered by a task
+KEPT_WORDS = 50_000  # distinct words remembered by a task
+PART = 1 << 18  # bytes of text encoded at a time: a word of it takes some 100 bytes meanwhile
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -71,7 +73,7 @@ def load(path: str = MODEL) -> Pieces:
 
 
 class Encoder:
-    """Encodes words with a memory of those seen; built once per task."""
+    """Encodes words with a memory of those seen."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
@@ -191,6 +193,18 @@ class Decoder:
         return [x[1:] if self.prefix and x[:1] == b" " else x for x in out]
 
 
+_LAST_ENCODER: list[Encoder] = []
+
+
+def encoder_of(pieces: Pieces) -> Encoder:
+    """The encoder of this process, which remembers no words yet: the next tasks with the same pieces
+    have its automaton, too."""
+    if not _LAST_ENCODER or _LAST_ENCODER[0].pieces != pieces:
+        _LAST_ENCODER[:] = [Encoder(pieces)]
+    _LAST_ENCODER[0].forget()
+    return _LAST_ENCODER[0]
+
+
 def _lists(ids, first, valid=None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))
 
@@ -206,10 +220,10 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
     ).schema
 
     def run(batches):
-        encoder, decoder = Encoder(pieces), Decoder(pieces)
+        encoder, decoder = encoder_of(pieces), Decoder(pieces) if trip else None
         for batch in batches:
             place = batch.schema.get_field_index(text)
-            for part in parts(batch, place, 2 << 20):
+            for part in parts(batch, place, PART):
                 texts = part.column(place).to_pylist()
                 ids, first, sums = encoder.encode(texts)
                 columns = [part.column(part.schema.get_field_index(c)) for c in keep]
@@ -222,8 +236,9 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
                         [b == (t or "").encode("utf-8", "surrogatepass") for b, t in zip(back, texts)]
                     ))
                 yield pa.RecordBatch.from_arrays(columns, schema=None, names=schema.names)
+        encoder.forget()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decoded(frame: DataFrame, pieces: Pieces, ids: str = "ids", name: str = "text") -> DataFrame:
@@ -243,4 +258,4 @@ def decoded(frame: DataFrame, pieces: Pieces, ids: str = "ids", name: str = "tex
                 [*columns, pa.array(texts, pa.string())], names=schema.names
             )
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(lean(run), schema)
